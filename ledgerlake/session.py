@@ -25,6 +25,8 @@ def build_session(master: str | None = None, app: str = "ledgerlake",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", "16g")
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in RUNTIME_SQL_CONF.items():
         builder = builder.config(k, v)
