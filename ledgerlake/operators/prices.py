@@ -104,16 +104,16 @@ def _last_non_null(c: str, order: Column) -> Column:
     return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order))
 
 
-def daily_to_monthly(daily: DataFrame) -> DataFrame:
+def daily_to_monthly(daily: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per (security, month): last known identifiers and prices,
     observation count, compounded return, volatility, average volumes (A5).
 
     "Last" follows the day; rows sharing a day are ordered by file position
     when the scan recorded it, else by their values (deterministic)."""
-    value_cols = [c for c in daily.columns if c != ROW_ORDER]
+    value_cols = [c for c in daily.columns if c != ROW_ORDER and c not in extra_keys]
     tie = F.col(ROW_ORDER) if ROW_ORDER in daily.columns else F.struct(*value_cols)
     order = F.struct(F.col(DAY), tie)
-    monthly = daily.groupBy(SECURITY, "month_end").agg(
+    monthly = daily.groupBy(SECURITY, "month_end", *extra_keys).agg(
         _last_non_null("cusip8", order).alias("cusip8"),
         _last_non_null("Ticker", order).alias("crsp_ticker"),
         _last_non_null("PERMCO", order).alias("permco"),
