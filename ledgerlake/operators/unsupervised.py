@@ -13,8 +13,9 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,10 @@ class ClusterArtifacts:
     centers: list[list[float]]
     training_cost: float
     restarts: list[float] = field(default_factory=list)
+    pca_model: PCAModel | None = None
+    kmeans_model: KMeansModel | None = None
+    pca_signs: list[float] = field(default_factory=list)
+    label_of_center: list[int] = field(default_factory=list)
 
 
 def _scaled_names(cols: list[str]) -> list[str]:
@@ -54,10 +59,18 @@ def fix_signs(components: list[list[float]]) -> list[list[float]]:
     return out
 
 
-def _fit_kmeans(train_vec: DataFrame, k: int, seeds: list[int], parallelism: int):
+def kmeans_tolerance(k: int, mean_variance: float, rel_tol: float = 1e-4) -> float:
+    """Per-centre shift bound equivalent to stopping when the total squared
+    centre shift is at most rel_tol × mean feature variance: if every one of
+    the k centres moves less than sqrt(rel_tol · var / k), the sum of squared
+    shifts is below rel_tol · var."""
+    return max(1e-12, (rel_tol * mean_variance / k) ** 0.5)
+
+
+def _fit_kmeans(train_vec: DataFrame, k: int, seeds: list[int], parallelism: int, tol: float):
     def one(seed):
-        m = KMeans(k=k, seed=seed, featuresCol=_VEC, maxIter=300, tol=1e-4).fit(train_vec)
-        return m.summary.trainingCost, seed, [list(map(float, c)) for c in m.clusterCenters()]
+        m = KMeans(k=k, seed=seed, featuresCol=_VEC, predictionCol="__cluster_idx", maxIter=300, tol=tol).fit(train_vec)
+        return m.summary.trainingCost, seed, [list(map(float, c)) for c in m.clusterCenters()], m
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(one, seeds))
@@ -66,7 +79,7 @@ def _fit_kmeans(train_vec: DataFrame, k: int, seeds: list[int], parallelism: int
 
 def fit_cluster_features(train: DataFrame, cols: list[str], k: int = N_CLUSTERS,
                          restarts: int = N_CLUSTER_RESTARTS, seed: int = RANDOM_STATE,
-                         n_components: int = N_PCA_COMPONENTS, parallelism: int = 4,
+                         n_components: int = N_PCA_COMPONENTS, parallelism: int = 8,
                          exact: bool = True) -> ClusterArtifacts:
     """Fit the numeric pipeline, PCA and k-means on the training rows only.
 
@@ -81,55 +94,59 @@ def fit_cluster_features(train: DataFrame, cols: list[str], k: int = N_CLUSTERS,
     train_vec = train_vec.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pca = PCA(k=n_components, inputCol=_VEC, outputCol="__pca").fit(train_vec)
-        comps = fix_signs([list(map(float, pca.pc.toArray()[:, j])) for j in range(n_components)])
+        raw_comps = [list(map(float, pca.pc.toArray()[:, j])) for j in range(n_components)]
+        comps = fix_signs(raw_comps)
+        signs = [1.0 if a[0] == b[0] else -1.0 for a, b in zip(raw_comps, comps)]
         evr = [float(x) for x in pca.explainedVariance.toArray()]
-        means = _vector_means(prep.transform(train), scaled)
-        runs = _fit_kmeans(train_vec, k, [seed + i for i in range(restarts)], parallelism)
+        means, variance = _vector_moments(prep.transform(train), scaled)
+        tol = kmeans_tolerance(k, variance)
+        runs = _fit_kmeans(train_vec, k, [seed + i for i in range(restarts)], min(parallelism, restarts), tol)
     finally:
         train_vec.unpersist()
         train.unpersist()
     best = min(runs, key=lambda r: (r[0], r[1]))
-    centers = sorted(best[2])
-    return ClusterArtifacts(cols, prep, means, comps, evr, centers, float(best[0]),
-                            [float(r[0]) for r in runs])
+    order = sorted(range(len(best[2])), key=lambda i: best[2][i])
+    label_of_center = [0] * len(order)
+    for rank, i in enumerate(order):
+        label_of_center[i] = rank
+    return ClusterArtifacts(cols, prep, means, comps, evr, [best[2][i] for i in order], float(best[0]),
+                            [float(r[0]) for r in runs], pca, best[3], signs, label_of_center)
 
 
-def _vector_means(df: DataFrame, cols: list[str]) -> list[float]:
-    row = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    return [float(row[c]) for c in cols]
+def _vector_moments(df: DataFrame, cols: list[str]) -> tuple[list[float], float]:
+    """Per-feature means and the mean per-feature variance, one pass."""
+    row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+                 *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(cols)]).first()
+    means = [float(row[f"m{i}"]) for i in range(len(cols))]
+    var = sum(float(row[f"v{i}"] or 0.0) for i in range(len(cols))) / max(1, len(cols))
+    return means, var
 
 
 CLUSTER_OUTPUT_COLUMNS = ["cluster_pca1", "cluster_pca2", "finance_cluster"]
 
 
 def add_cluster_features(df: DataFrame, art: ClusterArtifacts, only_where: Column | None = None) -> DataFrame:
-    """Add cluster_pca1..n and finance_cluster as native expressions (M7, M8).
-
-    Staged projections: scaled features first, then projections and squared
-    distances over those columns, then the nearest-centre label — so no
-    expression is inlined into another many times. With `only_where`, rows
-    not matching it get missing values."""
+    """Add cluster_pca1..n and finance_cluster (M7, M8) with the fitted
+    pyspark.ml models: scaled features → VectorAssembler → PCAModel →
+    KMeansModel, each a single JVM expression, so predicates on the outputs
+    stay small when Catalyst pushes them down. PCA outputs are centred on
+    the training mean and sign-fixed; cluster indices are renamed by sorted
+    centre. With `only_where`, rows not matching it get missing values."""
     scaled = _scaled_names(art.features)
-    exprs = art.prep.expressions()
-    staged = df.withColumns({s: exprs[s] for s in scaled})
-    xs = [F.col(s) for s in scaled]
-    proj = {}
+    staged = art.prep.transform(df)
+    staged = VectorAssembler(inputCols=scaled, outputCol=_VEC).transform(staged)
+    staged = art.kmeans_model.transform(art.pca_model.transform(staged))
+    arr = vector_to_array(F.col("__pca"))
+    outs = {}
     for j, comp in enumerate(art.pca_components):
-        proj[f"cluster_pca{j + 1}"] = sum(((x - F.lit(m)) * F.lit(w) for x, m, w in zip(xs, art.pca_mean, comp)),
-                                          F.lit(0.0))
-    dist_names = [f"__d{i}" for i in range(len(art.centers))]
-    for name, center in zip(dist_names, art.centers):
-        proj[name] = sum(((x - F.lit(c)) * (x - F.lit(c)) for x, c in zip(xs, center)), F.lit(0.0))
-    staged = staged.withColumns(proj)
-    best = F.least(*[F.col(n) for n in dist_names])
-    label = F.lit(None).cast("string")
-    for i in reversed(range(len(dist_names))):
-        label = F.when(F.col(dist_names[i]) == best, F.lit(f"cluster_{i}")).otherwise(label)
-    staged = staged.withColumn("finance_cluster", label)
+        raw = [v * art.pca_signs[j] for v in comp]  # the model's own orientation
+        offset = sum(m * w for m, w in zip(art.pca_mean, raw))
+        outs[f"cluster_pca{j + 1}"] = (arr[j] - F.lit(offset)) * F.lit(art.pca_signs[j])
+    names = F.array(*[F.lit(f"cluster_{r}") for r in art.label_of_center])
+    outs["finance_cluster"] = F.element_at(names, F.col("__cluster_idx") + 1)
     if only_where is not None:
-        staged = staged.withColumns({c: F.when(only_where, F.col(c)) for c in proj if not c.startswith("__")}
-                                    | {"finance_cluster": F.when(only_where, F.col("finance_cluster"))})
-    return staged.drop(*scaled, *dist_names)
+        outs = {k: F.when(only_where, v) for k, v in outs.items()}
+    return staged.withColumns(outs).drop(*scaled, _VEC, "__pca", "__cluster_idx")
 
 
 def cluster_profile(train_labelled: DataFrame, cols: list[str]) -> DataFrame:

@@ -374,8 +374,7 @@ def q_feature_correlations(spark, sf):
 
 def q_missingness_top20(spark, sf):
     """Top-20 missingness (%) of the panel after the split/cluster write-back."""
-    m = model(spark, sf)
-    _, art = mf.fit_clusters(m, restarts=None)
+    _, art = _clustered(spark, sf)
     wb = mf.write_back(engineered(spark, sf), art)
     return rounded(pf.top_missing(pf.missingness(wb)))
 
@@ -461,9 +460,21 @@ def q_one_hot_levels(spark, sf):
     return category_levels(tr, cats)
 
 
+_FITS: dict = {}
+
+
 def _clustered(spark, sf, restarts=None):
+    """Model frame with cluster features. The fit (numeric pipeline, PCA,
+    k-means restarts on the training rows) is done once per session and
+    input folder and reused, as a fitted model is."""
     m = model(spark, sf)
-    return mf.fit_clusters(m, restarts=restarts)
+    key = (spark.sparkContext.applicationId, sf, restarts)
+    if key not in _FITS:
+        _, art = mf.fit_clusters(m, restarts=restarts)
+        _FITS[key] = art
+    art = _FITS[key]
+    from ledgerlake.operators.unsupervised import add_cluster_features
+    return add_cluster_features(m, art), art
 
 
 def q_feature_vectors(spark, sf):
