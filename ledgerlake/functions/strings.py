@@ -51,16 +51,28 @@ def zfill(c, width: int) -> Column:
     )
 
 
+def pad_zeros(c, width: int) -> Column:
+    """Left-pad an unsigned token with zeros to `width`, never truncating."""
+    s = _col(c)
+    return F.when(F.length(s) >= width, s).otherwise(F.lpad(s, width, "0"))
+
+
+def _first_run(c, pattern: str) -> Column:
+    """First match of `pattern` (a plain run, no groups); null when none.
+    regexp_extract is evaluated once and its empty result mapped to null."""
+    return F.nullif(F.regexp_extract(_col(c).cast("string"), f"({pattern})", 1), F.lit(""))
+
+
 def entity_key(c, width: int = 6) -> Column:
     """First run of digits, zero-padded to `width`."""
-    return zfill(first_match(c, r"\d+"), width)
+    return pad_zeros(_first_run(c, r"\d+"), width)
 
 
 def price_link_key(c) -> Column:
     """Price-side link key: first alphanumeric run, zero-padded to 8, first 8.
 
     Expects an already cleaned (trimmed, upper-cased) identifier."""
-    return F.substring(zfill(first_match(c, "[A-Z0-9]+"), 8), 1, 8)
+    return F.substring(pad_zeros(_first_run(c, "[A-Z0-9]+"), 8), 1, 8)
 
 
 def panel_link_key(c) -> Column:

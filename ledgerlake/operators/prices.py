@@ -182,6 +182,11 @@ def join_market(monthly: DataFrame, market: DataFrame) -> DataFrame:
 def monthly_features(daily_typed: DataFrame) -> DataFrame:
     """Typed daily rows → monthly features with market-relative target,
     before the cusip-month dedupe."""
-    monthly = daily_to_monthly(drop_bad_price_keys(daily_typed))
-    monthly = trailing_and_forward_returns(monthly)
-    return join_market(monthly, market_series(monthly))
+    return monthly_returns(daily_to_monthly(drop_bad_price_keys(daily_typed)))
+
+
+def monthly_returns(monthly: DataFrame) -> DataFrame:
+    """Monthly aggregates → trailing/forward returns, market series and the
+    excess-return target. `monthly` is read twice (windows and market
+    average): pass a written table to avoid recomputing the daily pass."""
+    return join_market(trailing_and_forward_returns(monthly), market_series(monthly))

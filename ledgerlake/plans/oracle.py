@@ -364,6 +364,13 @@ def oracle_sql() -> dict[str, str]:
         KEY + [f"coalesce({c}, 'Unknown') AS {c}" for c in ["costat", "curcdq", "sic2", "sic_division",
                                                             "calendar_quarter"]], src="q_eng2"))
     q["model_rows"] = chain("q_model", body=sel(KEY, ["target_next_niq_growth"], "q_model"))
+    q["drop_bad_price_keys"] = chain("p_clean", body=(
+        "SELECT count(*) AS crsp_raw_rows, CAST(count_if(PERMNO IS NULL OR DlyCalDt IS NULL OR cusip8 IS NULL "
+        "OR month_end IS NULL) AS BIGINT) AS crsp_rows_dropped_bad_key_or_date, "
+        "(SELECT strftime(min(DlyCalDt), '%Y-%m-%d') FROM p_clean) AS crsp_min_date, "
+        "(SELECT strftime(max(DlyCalDt), '%Y-%m-%d') FROM p_clean) AS crsp_max_date, "
+        "(SELECT count(DISTINCT PERMNO) FROM p_clean) AS crsp_unique_permnos, "
+        "(SELECT count(DISTINCT cusip8) FROM p_clean) AS crsp_unique_cusip8 FROM p_typed"))
     q["cusip8_panel"] = chain("l_panel", body=sel(KEY + ["cusip", "cusip8", "month_end"], src="l_panel"))
     q["cusip8_price"] = chain("p_typed", body=sel(["PERMNO", "DlyCalDt", "HdrCUSIP", "cusip8"], src="p_typed"))
     q["price_scalars"] = chain("p_typed", body=sel(

@@ -18,7 +18,7 @@ from ledgerlake.operators import dedupe as dd
 from ledgerlake.operators import profile as pf
 from ledgerlake.operators.features import feature_columns
 from ledgerlake.operators.invalid import invalid_value_audit
-from ledgerlake.operators.prices import daily_profile, monthly_features, type_daily
+from ledgerlake.operators.prices import daily_profile, daily_to_monthly, drop_bad_price_keys, monthly_returns, type_daily
 from ledgerlake.operators.split import split_summary
 from ledgerlake.operators.standardize import standardize_metrics, type_quarterly
 from ledgerlake.operators.unsupervised import cluster_profile
@@ -70,7 +70,8 @@ def run(spark: SparkSession, quarterly_path: str, out: str, daily_path: str | No
     if raw_daily is not None or daily_path:
         daily = raw_daily if raw_daily is not None else read_daily_csv(spark, daily_path)
         typed = type_daily(daily)
-        monthly = _stage(spark, monthly_features(typed), p("monthly_before_dedupe"))
+        aggregated = _stage(spark, daily_to_monthly(drop_bad_price_keys(typed)), p("monthly_aggregates"))
+        monthly = _stage(spark, monthly_returns(aggregated), p("monthly_before_dedupe"))
         final = _stage(spark, dd.dedupe_cusip_month(monthly), p("monthly_prices"))
         merged = _stage(spark, pp.linked_panel(written_back, final), p("merged_panel"))
         pmodel = pp.price_model_frame(merged)

@@ -225,6 +225,15 @@ def q_model_rows(spark, sf):
     return rounded(model_rows(engineered(spark, sf)).select(*KEY, TARGET_COL))
 
 
+def q_drop_bad_price_keys(spark, sf):
+    """Price-side drop of rows missing security, day, link key or month, with counts."""
+    p = daily_profile(typed_d(spark, sf))
+    return p.select("crsp_raw_rows", "crsp_rows_dropped_bad_key_or_date",
+                    F.date_format("crsp_min_date", "yyyy-MM-dd").alias("crsp_min_date"),
+                    F.date_format("crsp_max_date", "yyyy-MM-dd").alias("crsp_max_date"),
+                    "crsp_unique_permnos", "crsp_unique_cusip8")
+
+
 def q_cusip8_panel(spark, sf):
     """Panel-side link key."""
     m = merged(spark, sf)
@@ -548,6 +557,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_flags": q_missing_flags,
     "categorical_clean": q_categorical_clean,
     "model_rows": q_model_rows,
+    "drop_bad_price_keys": q_drop_bad_price_keys,
     "cusip8_panel": q_cusip8_panel,
     "cusip8_price": q_cusip8_price,
     "price_scalars": q_price_scalars,
