@@ -9,6 +9,7 @@ search stay inside whole-stage codegen, no vector UDF on the hot path.
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -28,6 +29,7 @@ from ledgerlake.constants import (
 from ledgerlake.operators.prep import NumericPrep, NumericPrepModel
 
 _VEC = "__cluster_vec"
+_TARGET_PARTITION_BYTES = 64 * 1024 * 1024
 
 
 @dataclass
@@ -79,7 +81,7 @@ def _fit_kmeans(train_vec: DataFrame, k: int, seeds: list[int], parallelism: int
 
 def fit_cluster_features(train: DataFrame, cols: list[str], k: int = N_CLUSTERS,
                          restarts: int = N_CLUSTER_RESTARTS, seed: int = RANDOM_STATE,
-                         n_components: int = N_PCA_COMPONENTS, parallelism: int = 8,
+                         n_components: int = N_PCA_COMPONENTS, parallelism: int = N_CLUSTER_RESTARTS,
                          exact: bool = True) -> ClusterArtifacts:
     """Fit the numeric pipeline, PCA and k-means on the training rows only.
 
@@ -91,7 +93,11 @@ def fit_cluster_features(train: DataFrame, cols: list[str], k: int = N_CLUSTERS,
     prep = NumericPrep(inputCols=cols, outputCols=scaled, exact=exact).fit(train)
     vec = VectorAssembler(inputCols=scaled, outputCol=_VEC)
     train_vec = vec.transform(prep.transform(train).select(*scaled)).select(_VEC)
-    train_vec = train_vec.persist(StorageLevel.MEMORY_AND_DISK)
+    # Iterative fits pay a scheduling cost per task per iteration: size the
+    # matrix's partitions by its bytes (~64 MB each), not by the upstream plan.
+    rows = train.count()
+    parts = max(1, math.ceil(rows * len(cols) * 8 / _TARGET_PARTITION_BYTES))
+    train_vec = train_vec.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pca = PCA(k=n_components, inputCol=_VEC, outputCol="__pca").fit(train_vec)
         raw_comps = [list(map(float, pca.pc.toArray()[:, j])) for j in range(n_components)]

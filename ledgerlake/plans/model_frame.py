@@ -24,7 +24,7 @@ def train_rows(model: DataFrame, label: str = "split") -> DataFrame:
 
 
 def fit_clusters(model: DataFrame, restarts: int | None = None, exact: bool = True,
-                 parallelism: int = 8) -> tuple[DataFrame, ClusterArtifacts]:
+                 parallelism: int = 20) -> tuple[DataFrame, ClusterArtifacts]:
     """Fit PCA / k-means on the training rows; label every model row."""
     _, _, cluster_cols = feature_columns(model.columns)
     kw = {"restarts": restarts} if restarts else {}

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,8 +79,16 @@ def deduped_q(spark, sf):
     return dd.dedupe_most_complete(typed_q(spark, sf))
 
 
+def _shared(df: DataFrame) -> DataFrame:
+    """A stage read by many queries (and twice inside split queries: once for
+    the cut dates, once for the rows) is persisted; Spark's cache manager
+    matches it by plan, so every query built from the same inputs reuses it.
+    MEMORY_AND_DISK keeps lineage: lost blocks are recomputed."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def engineered(spark: SparkSession, sf: str) -> DataFrame:
-    return quarterly.engineered_panel(raw_q(spark, sf))
+    return _shared(quarterly.engineered_panel(raw_q(spark, sf)))
 
 
 def model(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,7 +112,7 @@ def monthly_joined(spark, sf):
 
 
 def monthly_final(spark, sf):
-    return pp.monthly_prices(fixtures.panel_d(spark, sf))
+    return _shared(pp.monthly_prices(fixtures.panel_d(spark, sf)))
 
 
 def merged(spark, sf):
