@@ -72,24 +72,23 @@ def top_missing(miss: DataFrame, k: int = TOP_MISSING) -> DataFrame:
             .select("column", (F.col("missing_pct") * 100).alias("missing_pct")))
 
 
-def pearson(a: str, b: str):
-    """Pearson correlation over rows where both are present; a zero variance
-    gives missing instead of an ANSI divide-by-zero error."""
-    x = F.when(F.col(b).isNotNull(), F.col(a))
-    y = F.when(F.col(a).isNotNull(), F.col(b))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def feature_correlations(df: DataFrame, cols=None) -> DataFrame:
-    """Pairwise-complete Pearson correlation of every feature pair, in one
-    aggregate pass (A10)."""
+    """Pairwise-complete Pearson correlation of every feature pair (A10).
+
+    Each row is expanded in-pipeline into one (pair, x, y) record per pair,
+    with x and y kept only where both are present, then aggregated by pair:
+    a hash aggregate with one small buffer per pair, combined map-side (at
+    most #pairs rows leave each task). A zero variance gives missing instead
+    of an ANSI divide-by-zero error."""
     cols = [c for c in (cols or CORRELATION_FEATURES) if c in df.columns]
     pairs = list(combinations(cols, 2))
-    row = df.agg(*[pearson(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    long = row.unpivot([], [f"{i}" for i in range(len(pairs))], "pair", "corr")
-    left = F.create_map(*[x for i, (a, _) in enumerate(pairs) for x in (F.lit(f"{i}"), F.lit(a))])
-    right = F.create_map(*[x for i, (_, b) in enumerate(pairs) for x in (F.lit(f"{i}"), F.lit(b))])
-    return long.select(left[F.col("pair")].alias("feature_a"), right[F.col("pair")].alias("feature_b"), "corr")
+    recs = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                              F.when(F.col(b).isNotNull(), F.col(a)).alias("x"),
+                              F.when(F.col(a).isNotNull(), F.col(b)).alias("y"))
+                     for a, b in pairs])
+    long = df.select(F.inline(recs))
+    return long.groupBy("feature_a", "feature_b").agg(
+        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("corr"))
 
 
 def plot_sample(df: DataFrame, n: int = PLOT_SAMPLE_SIZE, seed: int = RANDOM_STATE,
