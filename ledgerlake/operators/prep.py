@@ -11,10 +11,10 @@ aggregates over the training rows; each returns a bounded row (a few
 numbers per feature) that the next pass uses as literals. The pyspark.ml
 estimators below persist those values with the standard ML writers.
 
-Quantiles: `exact=True` uses Spark's exact percentile, whose buffer is a
-map of distinct value → count merged map-side; for training sets with a
-very large number of distinct values per column use `exact=False`
-(`percentile_approx`, a bounded-size sketch with rank error 1/accuracy).
+Quantiles: `exact=True` (default) finds exact order statistics with
+bounded per-task state (`operators/quantiles.py`: sketch bracket, exact
+counts, running count inside the bracket); `exact=False` uses the sketch
+alone (`percentile_approx`, rank error 1/accuracy, one pass).
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ from ledgerlake.constants import (
     MIN_CATEGORY_FREQUENCY,
 )
 from ledgerlake.functions import categorical_clean, clip
+from ledgerlake.operators.quantiles import exact_quantile_row
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon
 APPROX_ACCURACY = 100000
@@ -67,9 +68,17 @@ class NumericParams:
         # (MEMORY_AND_DISK, recomputable from lineage if an executor is lost).
         cached = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            med = cached.agg(*[_median(F.col(c), exact).alias(c) for c in cols]).first()
+            if exact:
+                med = {c: v[0] for c, v in exact_quantile_row(cached, cols, [0.5]).items()}
+            else:
+                row = cached.agg(*[_median(F.col(c), False).alias(c) for c in cols]).first()
+                med = {c: row[c] for c in cols}
             self.median = {c: (0.0 if med[c] is None else float(med[c])) for c in cols}
-            q = cached.agg(*[_quantiles(self.imputed(c), [lower, upper], exact).alias(c) for c in cols]).first()
+            if exact:
+                q = exact_quantile_row(cached, cols, [lower, upper], exprs={c: self.imputed(c) for c in cols})
+            else:
+                row = cached.agg(*[_quantiles(self.imputed(c), [lower, upper], False).alias(c) for c in cols]).first()
+                q = {c: row[c] for c in cols}
             self.lower = {c: float(q[c][0]) for c in cols}
             self.upper = {c: float(q[c][1]) for c in cols}
             mom = cached.agg(*[F.avg(self.clipped(c)).alias(f"m{i}") for i, c in enumerate(cols)],

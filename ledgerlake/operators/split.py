@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.constants import DATE_COL, TRAIN_FRACTION, VALIDATION_FRACTION
 from ledgerlake.functions import date_string
+from ledgerlake.operators.quantiles import grouped_median
 
 
 def _cut_index(n: Column, fraction: float) -> Column:
@@ -66,6 +67,8 @@ def split_summary(df: DataFrame, label: str = "split", target: str = "target_nex
         date_string(F.min(date)).alias("start_date"),
         date_string(F.max(date)).alias("end_date"),
         F.avg(target).alias("target_mean"),
-        F.median(target).alias("target_median"),
     ]
-    return df.groupBy(label).agg(*aggs)
+    # Exact median with bounded per-task state; joined on the split label
+    # (two aggregates of at most three rows each).
+    med = grouped_median(df.select(label, target), [label], [target]).withColumnRenamed(target, "target_median")
+    return df.groupBy(label).agg(*aggs).join(med, label, "left")

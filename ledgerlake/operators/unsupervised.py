@@ -27,6 +27,7 @@ from ledgerlake.constants import (
     RANDOM_STATE,
 )
 from ledgerlake.operators.prep import NumericPrep, NumericPrepModel
+from ledgerlake.operators.quantiles import grouped_median
 
 _VEC = "__cluster_vec"
 _TARGET_PARTITION_BYTES = 64 * 1024 * 1024
@@ -158,8 +159,10 @@ def add_cluster_features(df: DataFrame, art: ClusterArtifacts, only_where: Colum
 def cluster_profile(train_labelled: DataFrame, cols: list[str]) -> DataFrame:
     """Per cluster over the training rows: median of each feature (rounded
     half-even to 4 decimals) and the row count (A9)."""
-    return train_labelled.groupBy("finance_cluster").agg(
-        *[F.bround(F.median(c), 4).alias(c) for c in cols], F.count(F.lit(1)).alias("row_count"))
+    med = grouped_median(train_labelled.select("finance_cluster", *cols), ["finance_cluster"], cols)
+    counts = train_labelled.groupBy("finance_cluster").agg(F.count(F.lit(1)).alias("row_count"))
+    return (counts.join(med, "finance_cluster", "left")
+            .select("finance_cluster", *[F.bround(F.col(c), 4).alias(c) for c in cols], "row_count"))
 
 
 def explained_variance(spark, art: ClusterArtifacts) -> DataFrame:
