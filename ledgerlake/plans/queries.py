@@ -116,7 +116,7 @@ def monthly_final(spark, sf):
 
 
 def merged(spark, sf):
-    return pp.linked_panel(engineered(spark, sf), monthly_final(spark, sf))
+    return _shared(pp.linked_panel(engineered(spark, sf), monthly_final(spark, sf)))
 
 
 def price_model(spark, sf):
