@@ -14,8 +14,7 @@ from ledgerlake.constants import SAFE_DIVIDE_MIN_ABS
 # A plain decimal or scientific number, optional sign, optional padding, or an
 # infinity / NaN spelling. Rejects Java-only suffixes such as "1d" and "1f" and
 # thousands separators, which a pandas numeric coercion rejects as well.
-NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-SPECIAL_PATTERN = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*$"
+NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 
 
 def _col(c) -> Column:
@@ -36,7 +35,7 @@ def finite_or_null(c) -> Column:
 def coerce_numeric(c) -> Column:
     """Text → double, unparseable → null, NaN → null; ±Inf is kept."""
     s = _col(c).cast("string")
-    ok = s.rlike(NUMBER_PATTERN) | s.rlike(SPECIAL_PATTERN)
+    ok = s.rlike(NUMBER_PATTERN)
     return nan_to_null(F.when(ok, F.trim(s).try_cast("double")))
 
 

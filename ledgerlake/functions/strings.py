@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.constants import CLEANED_NULL_TOKENS, CSV_NA_TOKENS
 
-# Leading/trailing whitespace (Spark's trim() only removes spaces).
-_EDGE_SPACE = r"^\s+|\s+$"
+# Whitespace removed at both ends (Spark's one-argument trim() only removes
+# spaces).
+_WHITESPACE = " \t\n\x0b\x0c\r"
 
 
 def _col(c) -> Column:
@@ -16,8 +17,9 @@ def _col(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Remove leading and trailing whitespace, tabs and newlines included."""
-    return F.regexp_replace(_col(c).cast("string"), _EDGE_SPACE, "")
+    """Remove leading and trailing whitespace (space, tab, newline, vertical
+    tab, form feed, carriage return) — a character-set trim, no regex."""
+    return F.btrim(_col(c).cast("string"), F.lit(_WHITESPACE))
 
 
 def clean_string(c) -> Column:

@@ -108,10 +108,13 @@ def daily_to_monthly(daily: DataFrame, extra_keys: tuple[str, ...] = ()) -> Data
     """One row per (security, month): last known identifiers and prices,
     observation count, compounded return, volatility, average volumes (A5).
 
-    "Last" follows the day; rows sharing a day are ordered by file position
-    when the scan recorded it, else by their values (deterministic)."""
+    "Last" follows the day; rows sharing a security-day are ordered by file
+    position when the scan recorded it, else by a 64-bit hash of their values
+    — deterministic, fixed-width (small aggregation buffers), and only a hash
+    collision between two different rows of one security-day could leave
+    their order open."""
     value_cols = [c for c in daily.columns if c != ROW_ORDER and c not in extra_keys]
-    tie = F.col(ROW_ORDER) if ROW_ORDER in daily.columns else F.struct(*value_cols)
+    tie = F.col(ROW_ORDER) if ROW_ORDER in daily.columns else F.xxhash64(*[F.col(c) for c in value_cols])
     order = F.struct(F.col(DAY), tie)
     monthly = daily.groupBy(SECURITY, "month_end", *extra_keys).agg(
         _last_non_null("cusip8", order).alias("cusip8"),
