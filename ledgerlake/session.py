@@ -73,3 +73,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder below the shared checkpoint directory for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name) if "://" not in base else f"{base.rstrip('/')}/tables/{name}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through Hadoop's FileSystem (local, HDFS, object stores)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -106,9 +106,11 @@ def _maybe_materialized(spark: SparkSession, sf_dir: str, name: str, build) -> D
     cache = _cache_dir(spark)
     if not cache:
         return build()
+    from ledgerlake.session import path_exists
+
     tag = os.path.basename(os.path.normpath(sf_dir))
-    path = os.path.join(cache, tag, f"{name}.parquet")
-    if not os.path.exists(os.path.join(path, "_SUCCESS")):
+    path = f"{cache.rstrip('/')}/{tag}/{name}.parquet"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
