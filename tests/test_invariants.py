@@ -83,3 +83,15 @@ def test_no_python_udf_in_registered_plans(spark):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
             assert bad not in plan, (name, bad)
+
+
+def test_plot_sample_equals_global_top_n(spark):
+    from ledgerlake.operators.profile import plot_sample
+    rows = [("%06d" % i, D(2020, 1, 1) + dt.timedelta(days=i % 300), 0.0, 0.0, "c") for i in range(5000)]
+    df = spark.createDataFrame(rows, "gvkey_str string, datadate date, cluster_pca1 double, cluster_pca2 double, "
+                                     "finance_cluster string").repartition(9)
+    h = F.xxhash64("gvkey_str", "datadate", F.lit(42))
+    exact = {r["gvkey_str"] for r in df.orderBy(h).limit(300).collect()}
+    got = {r["gvkey_str"] for r in plot_sample(df, n=300).collect()}
+    assert got == exact and len(got) == 300
+    assert plot_sample(df, n=10000).count() == 5000
