@@ -84,7 +84,9 @@ def _shared(df: DataFrame) -> DataFrame:
     the cut dates, once for the rows) is persisted; Spark's cache manager
     matches it by plan, so every query built from the same inputs reuses it.
     MEMORY_AND_DISK keeps lineage: lost blocks are recomputed."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if df.storageLevel == StorageLevel.NONE:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df
 
 
 def engineered(spark: SparkSession, sf: str) -> DataFrame:

@@ -36,11 +36,11 @@ q1 AS (
          CAST(sum(ext * tax) AS BIGINT) AS tax_c, CAST(sum(qty) AS BIGINT) AS qty,
          CAST(sum(CASE WHEN rf = 'R' THEN -ext ELSE ext END) AS BIGINT) AS ni_c
   FROM q0 GROUP BY ck, datadate, qn)
-SELECT CAST(ck AS VARCHAR(20)) AS gvkey, datadate,
+SELECT CAST(ck AS STRING) AS gvkey, datadate,
        CASE WHEN ck % 13 = 0 THEN NULL ELSE CAST(50 + (ck * 37) % 9950 AS DOUBLE) END AS sic,
        CASE WHEN ck % 5 = 0 THEN ' a ' WHEN ck % 17 = 0 THEN 'null' ELSE 'I' END AS costat,
        'usd' AS curcdq,
-       concat(' c', lpad(CAST(ck % 90 AS VARCHAR(20)), 7, '0'), '9 ') AS cusip,
+       concat(' c', lpad(CAST(ck % 90 AS STRING), 7, '0'), '9 ') AS cusip,
        CASE WHEN (ck * 7 + qn) % 23 = 0 THEN -CAST(sale_c AS DOUBLE) / 100 ELSE CAST(sale_c AS DOUBLE) / 100 END AS saleq,
        CAST(net_c AS DOUBLE) / 10000 AS cogsq,
        CASE WHEN (ck + qn) % 11 = 0 THEN NULL ELSE CAST(ni_c AS DOUBLE) / 100 END AS niq,
@@ -78,9 +78,9 @@ WITH d0 AS (
 d1 AS (SELECT sk, dt, qty, CAST(ext AS DOUBLE) / CAST(qty AS DOUBLE) / 100 AS prc FROM d0),
 d2 AS (SELECT sk, dt, qty, prc, lag(prc) OVER (PARTITION BY sk ORDER BY dt) AS p0 FROM d1)
 SELECT CAST(sk AS INT) AS PERMNO, CAST(sk % 80 AS INT) AS PERMCO,
-       concat('c', lpad(CAST(sk % 60 AS VARCHAR(20)), 7, '0')) AS HdrCUSIP,
+       concat('c', lpad(CAST(sk % 60 AS STRING), 7, '0')) AS HdrCUSIP,
        CASE WHEN sk % 3 = 0 THEN 'n' WHEN sk % 3 = 1 THEN 'q ' ELSE '' END AS PrimaryExch,
-       'NS' AS ShareType, concat('t', CAST(sk AS VARCHAR(20))) AS Ticker, dt AS DlyCalDt,
+       'NS' AS ShareType, concat('t', CAST(sk AS STRING)) AS Ticker, dt AS DlyCalDt,
        CASE WHEN (sk + day(dt)) % 19 = 0 THEN -prc ELSE prc END AS DlyPrc,
        CASE WHEN (sk + day(dt)) % 31 = 0 THEN NULL ELSE (prc - p0) / p0 / 20 END AS DlyRet,
        CAST(qty AS DOUBLE) AS DlyVol,
