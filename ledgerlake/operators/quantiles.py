@@ -10,11 +10,12 @@ never hold more than a bracket of values per (group, feature, p):
    error is at most n/accuracy, so for n > 2·accuracy the two sketch values
    bracket the exact order statistics the interpolation needs; smaller
    groups use [min, max] (at most 2·accuracy values);
-2. one pass counting the values below the bracket exactly and aggregating
-   the values inside it by (value, count) — hot values collapse map-side,
-   and at most ~6·n/accuracy distinct values fall inside a bracket;
-3. a running count inside each bracket locates ranks floor(p·(n−1)) and the
-   next one; linear interpolation between them (NumPy's default method).
+2. one aggregate over the rows at or below the bracket's top: values below
+   the bracket collapse into a single counted row, values inside keep
+   (value, count) — hot values collapse map-side, and at most
+   ~6·n/accuracy distinct values fall inside a bracket;
+3. a running count over that small histogram locates ranks floor(p·(n−1))
+   and the next one; linear interpolation between them (NumPy's default).
 
 Result: long table (group..., feature, p, value); value is null for a group
 with no non-missing value.
@@ -64,20 +65,22 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], group: l
         targets.append(F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p"), lo_rank.alias("r_lo"),
                                 F.least(lo_rank + 1, F.col("n") - 1).alias("r_hi"),
                                 (pos - F.floor(pos)).alias("frac"), a.alias("a"), b.alias("b")))
-    tgt = stats.select(*keys, "n", F.inline(F.array(*targets)))
+    tgt = stats.select(*keys, F.inline(F.array(*targets)))
     # Small table (groups x features x probs rows): broadcast to the rows.
-    joined = long.join(F.broadcast(tgt), keys)
-    below = joined.groupBy(*keys, "pi").agg(F.count_if(F.col("x") < F.col("a")).alias("below"))
-    inside = (joined.where((F.col("x") >= F.col("a")) & (F.col("x") <= F.col("b")))
-              .groupBy(*keys, "pi", "x").agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy(*keys, "pi").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (inside.join(below, keys + ["pi"])
-              .withColumn("end", F.col("below") + F.sum("c").over(w))   # exclusive end rank
-              .withColumn("start", F.col("end") - F.col("c")))
-    picked = ranked.join(F.broadcast(tgt.select(*keys, "pi", "p", "r_lo", "r_hi", "frac")), keys + ["pi"])
-    picked = picked.groupBy(*keys, "pi", "p", "frac").agg(
-        F.max(F.when((F.col("start") <= F.col("r_lo")) & (F.col("r_lo") < F.col("end")), F.col("x"))).alias("v_lo"),
-        F.max(F.when((F.col("start") <= F.col("r_hi")) & (F.col("r_hi") < F.col("end")), F.col("x"))).alias("v_hi"))
+    joined = long.join(F.broadcast(tgt), keys).where(F.col("x") <= F.col("b"))
+    # One aggregate: values below the bracket collapse into one null-keyed
+    # row per (keys, p) carrying their count; values inside keep their own
+    # (value, count). Target ranks ride along as grouping keys.
+    bucket = F.when(F.col("x") >= F.col("a"), F.col("x"))
+    tkeys = [*keys, "pi", "p", "r_lo", "r_hi", "frac"]
+    hist = joined.groupBy(*tkeys, bucket.alias("xin")).agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy(*keys, "pi").orderBy(F.col("xin").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    ranked = hist.withColumn("end", F.sum("c").over(w)).withColumn("start", F.col("end") - F.col("c"))
+    hit = lambda r: (F.col("start") <= F.col(r)) & (F.col(r) < F.col("end"))
+    picked = ranked.groupBy(*keys, "pi", "p", "frac").agg(
+        F.max(F.when(hit("r_lo"), F.col("xin"))).alias("v_lo"),
+        F.max(F.when(hit("r_hi"), F.col("xin"))).alias("v_hi"))
     value = F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))
     value = F.when(F.col("frac") == 0, F.col("v_lo")).otherwise(value)
     return picked.select(*keys, "p", value.alias("value"))
