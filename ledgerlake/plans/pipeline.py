@@ -26,7 +26,9 @@ from ledgerlake.plans import model_frame as mf
 from ledgerlake.plans import prices as pp
 from ledgerlake.plans import quarterly
 from ledgerlake.sources import sinks
+from ledgerlake.constants import PRICE_REQUIRED_COLUMNS
 from ledgerlake.sources.csv_scan import read_daily_csv, read_quarterly_csv
+from ledgerlake.sources.discovery import discover_source, duplicate_files, file_fingerprint
 
 
 def _stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -34,12 +36,35 @@ def _stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def source_profile(spark: SparkSession, quarterly_file: str) -> tuple[DataFrame, str | None]:
+    """Fingerprint of the raw quarterly file, byte-identical copies of it in
+    its folder, and the largest other CSV there with the price columns
+    (S3, S4). Returns (one-row profile, detected price file or None)."""
+    folder, name = os.path.split(quarterly_file)
+    fp = file_fingerprint(spark, quarterly_file).first()
+    dups = [r["path"].rsplit("/", 1)[-1] for r in duplicate_files(spark, folder, "*.csv").collect()
+            if r["sha256"] == fp["sha256"] and not r["path"].endswith("/" + name)]
+    found = discover_source(spark, folder, PRICE_REQUIRED_COLUMNS, fmt="csv", exclude=[name]).collect()
+    price = found[0]["path"] if found else None
+    prof = spark.createDataFrame(
+        [(fp["sha256"], int(fp["length"]), dups, price.rsplit("/", 1)[-1] if price else None)],
+        "raw_sha256 string, raw_bytes long, raw_duplicate_files array<string>, crsp_file_detected string")
+    return prof, price
+
+
 def run(spark: SparkSession, quarterly_path: str, out: str, daily_path: str | None = None,
-        raw_quarterly: DataFrame | None = None, raw_daily: DataFrame | None = None) -> dict:
+        raw_quarterly: DataFrame | None = None, raw_daily: DataFrame | None = None,
+        discover_prices: bool = False) -> dict:
     """Run all flows; returns the output paths. Raw frames may be passed in
-    instead of CSV paths (e.g. parquet inputs)."""
+    instead of CSV paths (e.g. parquet inputs). With `discover_prices`, a
+    single quarterly CSV file is fingerprinted, copies of it are listed and
+    the price file is looked up in the same folder when none is given."""
     p = lambda name: os.path.join(out, name)
     raw = raw_quarterly if raw_quarterly is not None else read_quarterly_csv(spark, quarterly_path)
+    if discover_prices and quarterly_path:
+        prof, detected = source_profile(spark, quarterly_path)
+        sinks.write_profile_json(prof, p("source_profile"))
+        daily_path = daily_path or detected
 
     # Flow A
     engineered = _stage(spark, quarterly.engineered_panel(raw), p("engineered_panel"))

@@ -80,3 +80,25 @@ def test_end_to_end_from_csv_files(spark):
     assert spark.read.parquet(res["merged"]).count() == 1244
     monthly = spark.read.parquet(res["monthly"])
     assert monthly.count() == monthly.select("cusip8", "month_end").distinct().count()
+
+
+def test_end_to_end_discovers_price_file_and_fingerprints(spark):
+    """Single CSV files in one folder: the price file is found by its header,
+    the raw file is fingerprinted and its byte-identical copy is listed."""
+    import hashlib
+    import json
+    import shutil
+
+    d = tempfile.mkdtemp(prefix="ll-disc-")
+    q_file = os.path.join(d, "quarterly.csv")
+    fixtures.as_text(fixtures.panel_q_raw(spark, SF)).toPandas().to_csv(q_file, index=False)
+    fixtures.as_text(fixtures.panel_d(spark, SF)).toPandas().to_csv(os.path.join(d, "prices.csv"), index=False)
+    shutil.copy(q_file, os.path.join(d, "quarterly_copy.csv"))
+    out = os.path.join(d, "out")
+    res = pipeline.run(spark, q_file, out, discover_prices=True)
+    assert "merged" in res and spark.read.parquet(res["merged"]).count() == 1244
+    prof = [json.loads(line) for f in sorted(os.listdir(os.path.join(out, "source_profile")))
+            if f.endswith(".json") for line in open(os.path.join(out, "source_profile", f))][0]
+    assert prof["raw_sha256"] == hashlib.sha256(open(q_file, "rb").read()).hexdigest()
+    assert prof["raw_duplicate_files"] == ["quarterly_copy.csv"]
+    assert prof["crsp_file_detected"] == "prices.csv"
