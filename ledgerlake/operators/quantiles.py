@@ -6,14 +6,16 @@ whole column. Here the exact order statistics are found in two passes that
 never hold more than a bracket of values per (group, feature, p):
 
 1. one aggregate per (group, feature): count, min, max and a bounded
-   `percentile_approx` sketch queried at p ± 3/accuracy. The sketch's rank
-   error is at most n/accuracy, so for n > 2·accuracy the two sketch values
-   bracket the exact order statistics the interpolation needs; smaller
-   groups use [min, max] (at most 2·accuracy values);
+   `percentile_approx` sketch queried at p ∓ delta for three margins
+   delta ∈ {3, 30, 300}/accuracy. The sketch's rank error is at most
+   n/accuracy, so once delta ≥ 1/accuracy + 3/n the two sketch values bracket
+   the exact order statistics the interpolation needs; each group uses the
+   tightest valid margin (groups of about a hundred values or fewer use
+   [min, max]);
 2. one aggregate over the rows at or below the bracket's top: values below
    the bracket collapse into a single counted row, values inside keep
-   (value, count) — hot values collapse map-side, and at most
-   ~6·n/accuracy distinct values fall inside a bracket;
+   (value, count) — hot values collapse map-side, and a bracket spans about
+   2·delta·n + 2·n/accuracy ranks (8·n/accuracy for large groups);
 3. a running count over that small histogram locates ranks floor(p·(n−1))
    and the next one; linear interpolation between them (NumPy's default).
 
@@ -23,6 +25,8 @@ with no non-missing value.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,27 +47,36 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], group: l
     group = list(group or [])
     keys = group + ["feature"]
     long = _long(df, cols, group, exprs)
-    delta = 3.0 / accuracy
+    # The sketch's rank error is at most eps·n. Querying it at p ∓ delta
+    # brackets the order statistics at floor(p·(n−1)) and the next rank when
+    # delta ≥ eps + 3/n. Three margins are requested in the same pass; each
+    # group uses the tightest one valid for its size, and groups too small
+    # for any use their whole range.
+    eps = 1.0 / accuracy
+    deltas = [3 * eps, 30 * eps, 300 * eps]
+    min_n = [math.ceil(3.0 / (d - eps)) + 1 for d in deltas]
     sketch_probs = []
     for p in probs:
-        sketch_probs += [max(0.0, p - delta), min(1.0, p + delta)]
+        for d in deltas:
+            sketch_probs += [max(0.0, p - d), min(1.0, p + d)]
     stats = long.groupBy(*keys).agg(
         F.count("x").alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"),
         F.percentile_approx("x", sketch_probs, accuracy).alias("sk"))
     # One row per (keys, p): target ranks and the bracket around them.
     targets = []
+    n = F.col("n")
     for i, p in enumerate(probs):
-        pos = (F.col("n") - 1).cast("double") * F.lit(float(p))
+        pos = (n - 1).cast("double") * F.lit(float(p))
         lo_rank = F.floor(pos).cast("long")
-        lo_p, hi_p = sketch_probs[2 * i], sketch_probs[2 * i + 1]
-        # Small groups (n <= 2·accuracy) use their whole range, which is
-        # bounded by that size; larger groups use the sketch bracket, whose
-        # rank margin 2n/accuracy > 4 covers the sketch error.
-        small = F.col("n") <= F.lit(2 * accuracy)
-        a = F.col("mn") if lo_p == 0.0 else F.when(small, F.col("mn")).otherwise(F.col("sk")[2 * i])
-        b = F.col("mx") if hi_p == 1.0 else F.when(small, F.col("mx")).otherwise(F.col("sk")[2 * i + 1])
+        a, b = F.col("mn"), F.col("mx")  # whole range for the smallest groups
+        for k in reversed(range(len(deltas))):  # widest margin first, tightest wins last
+            j = (i * len(deltas) + k) * 2
+            lo = F.col("mn") if sketch_probs[j] == 0.0 else F.col("sk")[j]
+            hi = F.col("mx") if sketch_probs[j + 1] == 1.0 else F.col("sk")[j + 1]
+            a = F.when(n >= min_n[k], lo).otherwise(a)
+            b = F.when(n >= min_n[k], hi).otherwise(b)
         targets.append(F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p"), lo_rank.alias("r_lo"),
-                                F.least(lo_rank + 1, F.col("n") - 1).alias("r_hi"),
+                                F.least(lo_rank + 1, n - 1).alias("r_hi"),
                                 (pos - F.floor(pos)).alias("frac"), a.alias("a"), b.alias("b")))
     tgt = stats.select(*keys, F.inline(F.array(*targets)))
     # Small table (groups x features x probs rows): broadcast to the rows.

@@ -541,7 +541,7 @@ def q_price_numeric_pipeline(spark, sf):
     of the numeric pipeline over panel + price features."""
     m, art = _clustered(spark, sf, restarts=None)
     wb = mf.write_back(engineered(spark, sf), art)
-    pm = pp.price_model_frame(pp.linked_panel(wb, monthly_final(spark, sf)))
+    pm = pp.price_model_frame(_shared(pp.linked_panel(wb, monthly_final(spark, sf))))
     num, _, _ = feature_columns(m.columns)
     num = num + [c for c in PRICE_NUMERIC_FEATURES if c not in num]
     tr = mf.train_rows(pm, "crsp_split")

@@ -9,7 +9,7 @@ import pytest
 from ledgerlake.operators.quantiles import exact_quantiles, grouped_median
 
 
-@pytest.mark.parametrize("n,accuracy", [(7, 10000), (2000, 10000), (30000, 100)])
+@pytest.mark.parametrize("n,accuracy", [(7, 10000), (500, 10000), (2000, 10000), (30000, 100)])
 def test_matches_numpy(spark, n, accuracy):
     rnd = random.Random(n)
     vals = [rnd.choice([0.0, 0.0, 1.5]) if rnd.random() < 0.3 else rnd.gauss(0, 1) for _ in range(n)]
