@@ -1,6 +1,7 @@
 """Deduplication.
 
-All three row-picking dedupes are hash aggregations: a hot key (one key or
+All row-picking dedupes are aggregations with map-side partial aggregation
+(sort-based, since the buffers hold whole rows): a hot key (one key or
 one set of exact copies holding a large share of all rows) is combined
 map-side by the partial aggregate before the shuffle, so no task ever has
 to hold or sort a whole hot group.

@@ -2,7 +2,8 @@
 
 Scale notes
 -----------
-* Daily → monthly is one hash/sort aggregation on (security, month) with
+* Daily → monthly is one aggregation on (security, month) (sort-based: the
+  "last value" buffers hold strings) with
   map-side partial aggregation: no daily sort, and a hot (security, month)
   group — e.g. a third of all rows being copies of one security-month — is
   combined on the map side before the shuffle.

@@ -1,6 +1,6 @@
 """Flow A: raw quarterly panel → cleaned, engineered panel → model frame.
 
-Shuffle budget of the flow: one hash aggregation on (entity, date) for the
+Shuffle budget of the flow: one aggregation on (entity, date) for the
 dedupe (map-side combined, skew safe), one exchange on entity for all window
 features, one tiny aggregate of distinct dates for the split cuts.
 """
