@@ -94,7 +94,7 @@ def engineered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model(spark: SparkSession, sf: str) -> DataFrame:
-    return quarterly.model_frame(engineered(spark, sf))
+    return _shared(quarterly.model_frame(engineered(spark, sf)))
 
 
 def train(spark, sf):
@@ -122,7 +122,7 @@ def merged(spark, sf):
 
 
 def price_model(spark, sf):
-    return pp.price_model_frame(merged(spark, sf))
+    return _shared(pp.price_model_frame(merged(spark, sf)))
 
 
 def _eng_cols(spark, sf, cols):
