@@ -132,7 +132,7 @@ def _matches(text: Column, pattern: str) -> Column:
 
     def place(pairs: Column) -> Column:
         steps = F.transform(pairs, lambda x: x["g"] + F.length(x["m"]))
-        return bind(_running(steps), lambda r: F.transform(pairs, lambda x, i: F.struct(
+        return bind(bind(steps, _running), lambda r: F.transform(pairs, lambda x, i: F.struct(
             (F.get(r, i) + x["g"]).alias("start"), x["m"].alias("m"))))
 
     pairs = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("g"), m.alias("m")))
