@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import mixing, pii, quality_rules, token_counts
+from ledgerlake.llm import bpe, jaccard_join, mixing, pii, quality_rules, token_counts
 from ledgerlake.llm.common import table
 
+BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 
 
@@ -21,10 +22,18 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -32,6 +41,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
+    "op3_bpe": op3_bpe,
     "op6_mixing": op6_mixing,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_token_counts": op9_token_counts,
 }
