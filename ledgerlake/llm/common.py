@@ -47,3 +47,23 @@ def word_count(text: Column) -> Column:
     return bind(parts, lambda p: (F.size(p)
                                   - F.when(F.get(p, F.lit(0)) == "", 1).otherwise(0)
                                   - F.when((F.size(p) > 1) & (F.element_at(p, -1) == ""), 1).otherwise(0))).cast("long")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
+    """doc_id, text, y and weight: at most `per_class` labelled documents of each
+    class outside the held-out fold, those with the smallest hash of their id.
+    The weight restores the classes' shares. Only the ids of the sample, a
+    bounded table, are broadcast."""
+    known = (labels.filter(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
+             .groupBy("doc_id").agg(F.max(label).alias("y")))
+    totals = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
+    drawn = None
+    for y, total in sorted(totals.items()):
+        part = (known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+                .withColumn("weight", F.lit(max(1.0, total / per_class))))
+        drawn = part if drawn is None else drawn.union(part)
+    if drawn is None:
+        drawn = known.withColumn("weight", F.lit(1.0))
+    # One text for an id that repeats.
+    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"), F.max("weight").alias("weight")))

@@ -75,6 +75,10 @@ class Shingler:
         self.up, self.down = _powers(_CHUNK)
 
     def __call__(self, text: str | None) -> np.ndarray:
+        return np.unique(self.in_order(text))
+
+    def in_order(self, text: str | None) -> np.ndarray:
+        """The hash of each run of `size` words; of all words, if there are fewer."""
         raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
         gap = self.space[raw]
         # One space after each word; leading and further separators go.
@@ -101,7 +105,7 @@ class Shingler:
         h ^= (ends - starts).astype(np.uint64)
         for shift, factor in ((33, 0xFF51AFD7ED558CCD), (29, 0xC4CEB9FE1A85EC53)):
             h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
-        return np.unique((h ^ (h >> np.uint64(32))).view(np.int64))
+        return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
 def least_overlap(n, percent: int = PERCENT):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, jaccard_join, mixing, pii, quality_rules, token_counts
+from ledgerlake.llm import ann, bpe, jaccard_join, langid, mixing, pii, quality_mil, quality_rules, token_counts, toxicity
 from ledgerlake.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -26,6 +26,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op4_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
@@ -34,15 +42,27 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
     "op3_bpe": op3_bpe,
+    "op4_quality_mil": op4_quality_mil,
+    "op5_langid": op5_langid,
     "op6_mixing": op6_mixing,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
+    "op10_ann": op10_ann,
 }
