@@ -31,13 +31,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import bind, word_count
+from ledgerlake.session import ensure_checkpoint_dir
 
 BLOCK = 32
 SHARD_SLOTS = 4096
 MAX_EPOCHS = 3
 CYCLE = 3  # weights 1, 2, 3, repeating
 ROUNDS = 8
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 SEED = 20240607
 
 
@@ -125,7 +126,8 @@ def drawn_blocks(sources: DataFrame, block: int, shard_slots: int) -> DataFrame:
     # A block is never drawn more than MAX_EPOCHS times: slots beyond that stay empty.
     last = F.least(F.col("_first") + F.col("n"), F.col("blocks") * MAX_EPOCHS)
     slots = (counts.filter(last > F.col("_first"))
-             .repartition(F.col("sid"), F.col("shard"))
+             # A number keeps these few rows, which become all the slots, from being coalesced.
+             .repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col("sid"), F.col("shard"))
              .select("sid", "blocks", F.explode(F.sequence(F.col("_first"), last - 1)).alias("j")))
     slots = slots.withColumn("epoch", F.floor(F.col("j") / F.col("blocks")))
     b = permuted(F.col("j") % F.col("blocks"), F.col("blocks"), F.col("sid"), F.col("epoch"))
@@ -137,14 +139,16 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) ->
     `pieces`: array<struct<lo, hi, n>>, the words lo to hi (exclusive) of the row, taken n times."""
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
                        F.xxhash64(F.lit(SEED), "doc_id", "text").alias("_order"))
-    sources = source_targets(rows)
+    ensure_checkpoint_dir(docs.sparkSession)
+    rows = rows.checkpoint()  # a few numbers a document; texts are split once
+    sources = source_targets(rows).checkpoint()
     at = packed(rows, sources)
     start, end = F.col("start"), F.col("start") + F.col("size")
     piece = at.filter("size > 0").select(
         "*", F.explode(F.sequence(F.floor(start / block), F.floor((end - 1) / block))).alias("b"))
     lo, hi = F.greatest(F.col("b") * block - start, F.lit(0)), F.least(F.col("b") * block + block - start, F.col("size"))
     cut = piece.select("sid", "b", "doc_id", "_order", "start", lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
-    taken = (cut.join(drawn_blocks(sources, block, shard_slots), ["sid", "b"])
+    taken = (cut.join(drawn_blocks(sources, block, shard_slots).hint("merge"), ["sid", "b"])
              .groupBy("sid", "start", "doc_id", "_order")
              .agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "n"))).alias("pieces")))
     # Rows of size 0 share a start with the next row; they are never drawn.
