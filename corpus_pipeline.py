@@ -1,4 +1,4 @@
-"""The corpus pipeline: stages over `documents`, each written as Parquet and read again."""
+"""The corpus pipeline: five stages over `documents`, each written as Parquet and read again."""
 
 from __future__ import annotations
 
@@ -14,8 +14,11 @@ from ledgerlake.session import scratch_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", stages.drop_toxic),
+    ("ngram_jaccard_join", stages.one_per_near_duplicate_group),
     ("pii", stages.redact_pii),
     ("mixing", stages.mix_sources),
+    ("bpe", stages.encode_tokens),
 ]
 
 # A trained classifier comes first, so SQL cannot state the rows; tests/llm

@@ -245,6 +245,11 @@ def least_overlap_column(n: Column, percent: int) -> Column:
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
                        percent: int = PERCENT) -> DataFrame:
     """key, n_shingles, component_id (the smallest key of its component) for every row."""
+    return _components(docs, key, text, size, percent).select(key, F.col("n").alias("n_shingles"), "component_id")
+
+
+def _components(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
+    """key, n, digest, comp (null without shingles), component_id for every row."""
     ensure_checkpoint_dir(docs.sparkSession)
     signed = _sets(docs, key, text, size, REACH_PERCENT, percent).checkpoint()
     nodes = (signed.filter("n > 0").groupBy("digest").agg(F.min(key).alias("doc"), F.first("n").alias("n"))
@@ -267,13 +272,23 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     named = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = named.groupBy("comp").agg(F.min("doc").alias("component_id"))
-    of = named.join(lowest, "comp").select("digest", "component_id")
+    of = named.join(lowest, "comp").select("digest", "comp", "component_id")
     return signed.drop("h").join(of, "digest", "left").select(
-        key, F.col("n").alias("n_shingles"), F.coalesce("component_id", key).alias("component_id"))
-
-
-def one_per_component(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that stay: of each component the row with its smallest doc_id; rows without shingles stay."""
-    found = jaccard_components(docs, **options)
-    leaders = found.filter((F.col("component_id") == F.col("doc_id")) | F.col("doc_id").isNull()).select("doc_id").distinct()
-    return docs.join(leaders, docs["doc_id"].eqNullSafe(leaders["doc_id"]), "left_semi")
+        key, "n", "digest", "comp", F.when(F.col("comp").isNull(), F.col(key)).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_per_component(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs` that stay: of each component one row with its smallest doc_id; rows without shingles stay."""
+    found = _components(docs, "doc_id", "text", size, percent)
+    first = F.col("component_id").eqNullSafe(F.col("doc_id"))
+    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("rows"), F.max(first).alias("first")).checkpoint()
+    of = lambda some: docs.join(some, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    once = of(ids.filter("rows = 1 and first").select("_id"))
+    # Rows that share a doc_id are told apart by their sets.
+    kind = docs.schema
+    rows = of(ids.filter("rows > 1 and first").select("_id")).select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), "text")
+    signed = _sets(rows, "_row", "text", size, None, percent).drop("h")
+    comps = found.filter(first & F.col("comp").isNotNull()).select("digest", "comp").distinct()
+    led = signed.filter("n > 0").join(comps, "digest").dropDuplicates(["comp"]).select("_row.*")
+    bare = signed.filter("n = 0").select("_row.*")
+    return once.unionByName(led).unionByName(bare).select(*kind.names)

@@ -89,6 +89,10 @@ def test_one_per_component(make_docs):
     df = make_docs(["a b c d e f", "x", "a b c d e f", None, "", "x y"])
     assert sorted(r.doc_id for r in jj.one_per_component(df).collect()) == [0, 1, 3, 4, 5]
     assert jj.one_per_component(df).columns == df.columns
+    df = make_docs([(5, "a b c d e f"), (5, "A b c d e f"), (7, "a b c d e f"), (5, "other text of one row here"), (5, ""), (5, ""),
+                    (2, "x y"), (9, "x y")])
+    got = sorted((r.doc_id, r.text.lower()) for r in jj.one_per_component(df).collect())
+    assert got == [(2, "x y"), (5, ""), (5, ""), (5, "a b c d e f"), (5, "other text of one row here")]
 
 
 def test_hashes_tell_shingles_apart():
