@@ -24,7 +24,7 @@ def sic2(c) -> Column:
 def sic_division(c) -> Column:
     """Broad SIC division (P10); the value is truncated toward zero first."""
     sic = _col(c)
-    code = sic.cast("long")  # truncation toward zero, as int() does
+    code = sic.try_cast("long")  # truncation toward zero, as int() does; an infinite code has no division
     expr = F.when(sic.isNull(), F.lit(SIC_UNKNOWN))
     for lo, hi, name in SIC_DIVISIONS:
         expr = expr.when(code.between(lo, hi), F.lit(name))

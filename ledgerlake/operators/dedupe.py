@@ -71,8 +71,12 @@ def dedupe_most_complete(df: DataFrame, keys=(ENTITY_KEY, DATE_COL)) -> DataFram
     so picking any of them gives the same output as D1 followed by D3."""
     cols = value_columns(df)
     nn = non_missing_count(cols)
-    tie = F.col(ROW_ORDER) if ROW_ORDER in df.columns else F.struct(*cols)
-    return _pick_one(df, list(keys), F.struct((-nn).alias("nn"), tie.alias("tie")), highest=False)
+    if ROW_ORDER in df.columns:
+        return _pick_one(df, list(keys), F.struct((-nn).alias("nn"), F.col(ROW_ORDER).alias("tie")), highest=False)
+    # The row is its own tie-break: it travels once, as part of the rank.
+    row = F.min(F.struct((-nn).alias("_nn"), *cols)).alias(_ROW)
+    return df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(row).select(
+        *[F.col(f"{_ROW}.{c}").alias(c) for c in df.columns])
 
 
 def dedupe_cusip_month(monthly: DataFrame, prefer_known_cap: bool = False,

@@ -26,7 +26,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.constants import (
@@ -68,6 +68,8 @@ class NumericParams:
         # (MEMORY_AND_DISK, recomputable from lineage if an executor is lost).
         cached = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if cached.isEmpty():
+                raise ValueError("the training part has no rows to fit on")
             if exact:
                 med = {c: v[0] for c, v in exact_quantile_row(cached, cols, [0.5]).items()}
             else:
@@ -85,8 +87,6 @@ class NumericParams:
                              *[F.stddev_pop(self.clipped(c)).alias(f"s{i}") for i, c in enumerate(cols)]).first()
         finally:
             cached.unpersist()
-        self._moments = train.agg(*[F.avg(self.clipped(c)).alias(f"m{i}") for i, c in enumerate(cols)],
-                                  *[F.stddev_pop(self.clipped(c)).alias(f"s{i}") for i, c in enumerate(cols)])
         self.mean = {c: float(mom[f"m{i}"]) for i, c in enumerate(cols)}
         self.scale = {c: _scale(mom[f"s{i}"]) for i, c in enumerate(cols)}
 
@@ -102,16 +102,10 @@ class NumericParams:
     def values(self) -> dict:
         return {k: [getattr(self, k)[c] for c in self.cols] for k in ("median", "lower", "upper", "mean", "scale")}
 
-    def table(self, anchor: DataFrame | None = None) -> DataFrame:
-        """(feature, median, lower, upper, mean, scale), one row per feature,
-        produced from the training-moment aggregate."""
-        rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(self.median[c]).alias("median"),
-                                  F.lit(self.lower[c]).alias("lower"), F.lit(self.upper[c]).alias("upper"),
-                                  F.col(f"m{i}").alias("mean"),
-                                  F.when(F.col(f"s{i}") < F.lit(10 * EPS), F.lit(1.0))
-                                  .otherwise(F.col(f"s{i}")).alias("scale"))
-                         for i, c in enumerate(self.cols)])
-        return self._moments.select(F.inline(rows))
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(feature, median, lower, upper, mean, scale): the fitted values, one row per feature."""
+        rows = [(c, self.median[c], self.lower[c], self.upper[c], self.mean[c], self.scale[c]) for c in self.cols]
+        return spark.createDataFrame(rows, "feature string, median double, lower double, upper double, mean double, scale double")
 
 
 def _scale(std) -> float:

@@ -38,6 +38,7 @@ from ledgerlake.functions import (
     to_double,
 )
 from ledgerlake.operators.standardize import ROW_ORDER
+from ledgerlake.session import ensure_checkpoint_dir
 
 SECURITY = "PERMNO"
 DAY = "DlyCalDt"
@@ -185,8 +186,11 @@ def join_market(monthly: DataFrame, market: DataFrame) -> DataFrame:
 
 def monthly_features(daily_typed: DataFrame) -> DataFrame:
     """Typed daily rows → monthly features with market-relative target,
-    before the cusip-month dedupe."""
-    return monthly_returns(daily_to_monthly(drop_bad_price_keys(daily_typed)))
+    before the cusip-month dedupe. The windows and the market average both need
+    the monthly aggregates, so those are staged in the shared checkpoint
+    folder: the daily rows are read and aggregated once."""
+    ensure_checkpoint_dir(daily_typed.sparkSession)
+    return monthly_returns(daily_to_monthly(drop_bad_price_keys(daily_typed)).checkpoint())
 
 
 def monthly_returns(monthly: DataFrame) -> DataFrame:

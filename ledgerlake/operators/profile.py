@@ -95,24 +95,10 @@ def plot_sample(df: DataFrame, n: int = PLOT_SAMPLE_SIZE, seed: int = RANDOM_STA
                 keys=(ENTITY_KEY, DATE_COL),
                 required=("cluster_pca1", "cluster_pca2", "finance_cluster")) -> DataFrame:
     """Seeded sample of at most `n` plottable rows (O4): the n rows with the
-    smallest seeded hash of their unique key — the same for any partitioning.
-
-    A plain top-n would send n rows from EVERY partition to one task. Rows
-    are first filtered to the hash range expected to hold 3n of them (one
-    count), so the final top-n merges about 3n rows in total. That filter
-    keeps every row of the exact top-n whenever at least n rows pass it,
-    which a second count checks; otherwise the unfiltered rows are used."""
+    smallest seeded hash of their unique key — the same for any partitioning
+    and any size. It is one top-n: every task passes on at most n rows."""
     ok = df.na.drop(subset=[c for c in required if c in df.columns])
-    h = F.xxhash64(*keys, F.lit(seed))
-    total = ok.count()
-    if total <= n:
-        return ok
-    frac = min(1.0, 3.0 * n / total)
-    bound = int(frac * 2.0 ** 64) - 2 ** 63  # xxhash64 is uniform over signed 64-bit
-    cand = ok.where(h < F.lit(bound)) if frac < 1.0 else ok
-    if frac < 1.0 and cand.count() < n:
-        cand = ok
-    return cand.orderBy(h).limit(n)
+    return ok.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
 
 
 def price_profile(daily_prof: DataFrame, cusip_metrics: DataFrame, monthly_final: DataFrame,

@@ -41,9 +41,12 @@ def _long(df: DataFrame, cols: list[str], group: list[str], exprs: dict[str, Col
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], group: list[str] | None = None,
-                    exprs: dict[str, Column] | None = None, accuracy: int = ACCURACY) -> DataFrame:
+                    exprs: dict[str, Column] | None = None, accuracy: int = ACCURACY,
+                    margins: tuple[float, ...] = (3, 30, 300)) -> DataFrame:
     """Exact linear-interpolation quantiles of `cols` (or of `exprs[c]`) at
-    `probs`, per `group` (global when empty)."""
+    `probs`, per `group` (global when empty). Every wanted rank is checked to
+    lie inside its bracket; one that does not ends the job with an error, so a
+    value is exact or not given at all."""
     group = list(group or [])
     keys = group + ["feature"]
     long = _long(df, cols, group, exprs)
@@ -53,8 +56,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], group: l
     # group uses the tightest one valid for its size, and groups too small
     # for any use their whole range.
     eps = 1.0 / accuracy
-    deltas = [3 * eps, 30 * eps, 300 * eps]
-    min_n = [math.ceil(3.0 / (d - eps)) + 1 for d in deltas]
+    deltas = [m * eps for m in margins]
+    min_n = [math.ceil(3.0 / (d - eps)) + 1 if d > eps else 1 for d in deltas]
     sketch_probs = []
     for p in probs:
         for d in deltas:
@@ -96,6 +99,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], group: l
         F.max(F.when(hit("r_hi"), F.col("xin"))).alias("v_hi"))
     value = F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))
     value = F.when(F.col("frac") == 0, F.col("v_lo")).otherwise(value)
+    missed = F.col("v_lo").isNull() | (F.col("v_hi").isNull() & (F.col("frac") != 0))
+    value = F.when(missed, F.raise_error(F.lit("exact_quantiles: a rank lies outside its bracket; use wider margins"))
+                   .cast("double")).otherwise(value)
     return picked.select(*keys, "p", value.alias("value"))
 
 

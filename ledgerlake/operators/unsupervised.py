@@ -3,13 +3,12 @@
 Fitting uses pyspark.ml (distributed: PCA reduces a d×d covariance with a
 tree aggregate; k-means iterates over the cached training matrix). The
 fitted models are small (d loadings per component, k centres) and are
-applied as native Column arithmetic — projections and nearest-centre
-search stay inside whole-stage codegen, no vector UDF on the hot path.
+applied through their pyspark.ml transforms, one JVM expression each; no
+Python runs per row.
 """
 
 from __future__ import annotations
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -30,7 +29,7 @@ from ledgerlake.operators.prep import NumericPrep, NumericPrepModel
 from ledgerlake.operators.quantiles import grouped_median
 
 _VEC = "__cluster_vec"
-_TARGET_PARTITION_BYTES = 64 * 1024 * 1024
+TRAINING_PARTITIONS = 8
 
 
 @dataclass
@@ -53,13 +52,11 @@ def _scaled_names(cols: list[str]) -> list[str]:
     return [f"__s_{c}" for c in cols]
 
 
-def fix_signs(components: list[list[float]]) -> list[list[float]]:
-    """Make the largest-magnitude loading of each component positive."""
-    out = []
-    for comp in components:
-        big = max(comp, key=abs)
-        out.append([-v for v in comp] if big < 0 else list(comp))
-    return out
+def fix_signs(components: list[list[float]]) -> tuple[list[list[float]], list[float]]:
+    """Components whose largest-magnitude loading is positive, and the sign
+    (1 or -1) that each was multiplied by."""
+    signs = [-1.0 if max(comp, key=abs) < 0 else 1.0 for comp in components]
+    return [[s * v for v in comp] for s, comp in zip(signs, components)], signs
 
 
 def kmeans_tolerance(k: int, mean_variance: float, rel_tol: float = 1e-4) -> float:
@@ -83,27 +80,28 @@ def _fit_kmeans(train_vec: DataFrame, k: int, seeds: list[int], parallelism: int
 def fit_cluster_features(train: DataFrame, cols: list[str], k: int = N_CLUSTERS,
                          restarts: int = N_CLUSTER_RESTARTS, seed: int = RANDOM_STATE,
                          n_components: int = N_PCA_COMPONENTS, parallelism: int = N_CLUSTER_RESTARTS,
-                         exact: bool = True) -> ClusterArtifacts:
+                         exact: bool = True, partitions: int = TRAINING_PARTITIONS) -> ClusterArtifacts:
     """Fit the numeric pipeline, PCA and k-means on the training rows only.
 
     k-means runs `restarts` seeded fits (concurrent Spark jobs over one
     cached matrix) and keeps the lowest within-cluster cost; centres are
-    relabelled in lexicographic order so that labels are stable."""
+    relabelled in lexicographic order so that labels are stable.
+
+    Spark's k-means draws its initial centres by partition and position, so
+    the rows are dealt by a hash of their values into `partitions` partitions
+    and sorted there: the fit then depends on the rows, not on how they were
+    laid out. For large inputs set `partitions` to about bytes / 64 MB."""
     scaled = _scaled_names(cols)
-    train = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)  # read by every fit below
+    train = (train.select(*cols).repartition(partitions, *cols).sortWithinPartitions(*cols)
+             .persist(StorageLevel.MEMORY_AND_DISK))  # read by every fit below
     prep = NumericPrep(inputCols=cols, outputCols=scaled, exact=exact).fit(train)
     vec = VectorAssembler(inputCols=scaled, outputCol=_VEC)
     train_vec = vec.transform(prep.transform(train).select(*scaled)).select(_VEC)
-    # Iterative fits pay a scheduling cost per task per iteration: size the
-    # matrix's partitions by its bytes (~64 MB each), not by the upstream plan.
-    rows = train.count()
-    parts = max(1, math.ceil(rows * len(cols) * 8 / _TARGET_PARTITION_BYTES))
-    train_vec = train_vec.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    train_vec = train_vec.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pca = PCA(k=n_components, inputCol=_VEC, outputCol="__pca").fit(train_vec)
         raw_comps = [list(map(float, pca.pc.toArray()[:, j])) for j in range(n_components)]
-        comps = fix_signs(raw_comps)
-        signs = [1.0 if a[0] == b[0] else -1.0 for a, b in zip(raw_comps, comps)]
+        comps, signs = fix_signs(raw_comps)
         evr = [float(x) for x in pca.explainedVariance.toArray()]
         means, variance = _vector_moments(prep.transform(train), scaled)
         tol = kmeans_tolerance(k, variance)

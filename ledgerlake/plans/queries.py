@@ -450,19 +450,19 @@ def _cluster_params(spark, sf):
 def q_impute_median(spark, sf):
     """Training medians of the clustering features (M1)."""
     tr, p = _cluster_params(spark, sf)
-    return rounded(p.table(tr).select("feature", "median"))
+    return rounded(p.table(spark).select("feature", "median"))
 
 
 def q_clip_quantiles(spark, sf):
     """Training 1 % / 99 % quantiles of the imputed values (M2)."""
     tr, p = _cluster_params(spark, sf)
-    return rounded(p.table(tr).select("feature", "lower", "upper"))
+    return rounded(p.table(spark).select("feature", "lower", "upper"))
 
 
 def q_standard_scale(spark, sf):
     """Training mean and population std of the clipped values (M3)."""
     tr, p = _cluster_params(spark, sf)
-    return rounded(p.table(tr).select("feature", "mean", "scale"))
+    return rounded(p.table(spark).select("feature", "mean", "scale"))
 
 
 def q_numeric_pipeline(spark, sf):
@@ -545,7 +545,7 @@ def q_price_numeric_pipeline(spark, sf):
     num, _, _ = feature_columns(m.columns)
     num = num + [c for c in PRICE_NUMERIC_FEATURES if c not in num]
     tr = mf.train_rows(pm, "crsp_split")
-    return rounded(numeric_params(tr, num).table(tr))
+    return rounded(numeric_params(tr, num).table(spark))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -59,10 +59,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's spark.checkpoint.dir; only when it is unset (local
-    tests) fall back to a fresh scratch folder."""
+    """Use the session's spark.checkpoint.dir; only when it is unset and all runs
+    in this process (local tests) fall back to a fresh scratch folder."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)

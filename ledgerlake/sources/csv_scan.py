@@ -1,7 +1,13 @@
 """CSV scans of the two raw inputs.
 
 Header-only reads: every column arrives as text (no schema inference pass
-over the data); typing happens in one projection downstream. A file-order
+over the data); typing happens in one projection downstream. Quoted fields
+may hold line breaks (`multi_line`, the default), which keeps a file in one
+task; files known to hold none can be read in splits with `multi_line=False`.
+Either way a record whose number of fields differs from the header's ends the
+read with an error instead of losing values (`malformed="FAILFAST"`); with
+`malformed="PERMISSIVE"` it is padded or cut, and `malformed_records` counts
+such records. A file-order
 column (file path, split start, position in the split) is attached so that
 "first row in file order" tie-breaks stay meaningful on a cluster.
 """
@@ -10,15 +16,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.constants import PRICE_REQUIRED_COLUMNS
 from ledgerlake.functions import csv_missing_to_null
 from ledgerlake.operators.standardize import ROW_ORDER
 
 
-def _reader(spark: SparkSession):
-    return (spark.read.option("header", True).option("escape", '"')
-            .option("multiLine", False).option("mode", "PERMISSIVE"))
+def _reader(spark: SparkSession, multi_line: bool = True, malformed: str = "FAILFAST"):
+    # Without column pruning the parser sees every field of every record.
+    return (spark.read.option("header", True).option("escape", '"').option("columnPruning", False)
+            .option("multiLine", multi_line).option("mode", malformed))
+
+
+def malformed_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """One row: how many records of a CSV have a first field, and how many do not have the header's fields."""
+    corrupt = "_corrupt_record"
+    names = _reader(spark, multi_line, "PERMISSIVE").csv(path).schema.fieldNames()
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, corrupt)])
+    rows = _reader(spark, multi_line, "PERMISSIVE").schema(schema).option("columnNameOfCorruptRecord", corrupt).csv(path)
+    # Spark wants a data column beside the corrupt one.
+    return rows.agg(F.count(names[0]).alias("with_first_field"), F.count(corrupt).alias("malformed"))
 
 
 def apply_csv_missing(df: DataFrame) -> DataFrame:
@@ -34,14 +52,16 @@ def with_row_order(df: DataFrame) -> DataFrame:
     return df.select(*df.columns, order.alias(ROW_ORDER))
 
 
-def read_quarterly_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_quarterly_csv(spark: SparkSession, path: str, multi_line: bool = True,
+                       malformed: str = "FAILFAST") -> DataFrame:
     """Quarterly panel CSV: all columns as text, missing spellings nulled."""
-    return apply_csv_missing(with_row_order(_reader(spark).csv(path)))
+    return apply_csv_missing(with_row_order(_reader(spark, multi_line, malformed).csv(path)))
 
 
-def read_daily_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Daily price CSV: the 11 required columns only (pruned at the scan)."""
-    raw = _reader(spark).csv(path)
+def read_daily_csv(spark: SparkSession, path: str, multi_line: bool = True,
+                   malformed: str = "FAILFAST") -> DataFrame:
+    """Daily price CSV: the 11 required columns only."""
+    raw = _reader(spark, multi_line, malformed).csv(path)
     missing = [c for c in PRICE_REQUIRED_COLUMNS if c not in raw.columns]
     if missing:
         raise ValueError(f"price file lacks required columns: {missing}")

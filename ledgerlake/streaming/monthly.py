@@ -11,6 +11,7 @@ from ledgerlake.operators.prices import daily_to_monthly, drop_bad_price_keys, t
 from ledgerlake.sources.csv_scan import apply_csv_missing
 
 MONTH_TS = "month_ts"
+DAYS_IN_A_MONTH = 31
 
 
 def monthly_price_stream(spark: SparkSession, source_dir: str, lateness: str = "40 days") -> DataFrame:
@@ -18,13 +19,15 @@ def monthly_price_stream(spark: SparkSession, source_dir: str, lateness: str = "
     arriving in `source_dir`.
 
     The month (as a timestamp) is both a grouping key and the watermarked
-    event-time column: in append mode a month's row is emitted once the
-    watermark (latest day seen minus `lateness`) passes it, and its state
-    is dropped. Start it with e.g.
+    event-time column. The latest month end seen is up to a month ahead of the
+    latest day seen, so the watermark waits a month longer than `lateness`: a
+    row whose day is at most `lateness` behind the latest day seen is never
+    dropped. In append mode a month's row is emitted once the watermark
+    passes it, and its state is dropped. Start it with e.g.
     `.writeStream.outputMode("append").option("checkpointLocation", ...)`."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in PRICE_REQUIRED_COLUMNS])
     raw = spark.readStream.schema(schema).option("header", True).csv(source_dir)
     daily = drop_bad_price_keys(type_daily(apply_csv_missing(raw)))
-    daily = daily.withColumn(MONTH_TS, F.to_timestamp(F.col("month_end"))).withWatermark(MONTH_TS, lateness)
+    daily = daily.withColumn(MONTH_TS, F.to_timestamp(F.col("month_end"))).withWatermark(MONTH_TS, f"{lateness} {DAYS_IN_A_MONTH} days")
     monthly = daily_to_monthly(daily, extra_keys=(MONTH_TS,))
     return monthly.drop(MONTH_TS)
