@@ -29,7 +29,6 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -196,7 +195,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     sent = visits.join(chunks, "leaf").select(
         "leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "query", "e")
 
-    def rerank(asking: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+    def rerank(asking, there):
+        import pandas as pd
+
         found = {"query": [], "id": [], "score": []}
         if len(asking) and len(there):
             ids = there["id"].to_numpy()

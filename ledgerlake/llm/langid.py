@@ -152,7 +152,8 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, buckets: int = BUCKETS) ->
     first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
     ids = (known.select("doc_id", "lang", F.xxhash64("text").alias("_t"), F.row_number().over(first).alias("_k"))
            .filter(F.col("_k") <= per_lang).drop("_k").distinct())
-    sample = (known.withColumn("_t", F.xxhash64("text")).join(ids, ["doc_id", "lang", "_t"], "left_semi")
+    # At most per_lang rows a language, so the ids may be broadcast and texts stay where they are.
+    sample = (known.withColumn("_t", F.xxhash64("text")).join(F.broadcast(ids), ["doc_id", "lang", "_t"], "left_semi")
               .dropDuplicates(["doc_id", "lang", "_t"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,8 +11,8 @@ sentence and copy is part of the loss:
 so that a group's name alone does not move a score. Swapped-in terms are words
 of the model even where no document has them. The fit is proximal gradient descent
 (FISTA) on a bounded sample (PER_CLASS documents a class) on the driver. Features
-in fewer than MIN_DOCS sample documents are unknown and count nothing, and the L1 term
-leaves few in the model, so a long clean text gathers no noise. Scoring
+are 32-bit hashes; those in fewer than MIN_DOCS sample documents, or without a
+marginal effect, are unknown and count nothing, and the L1 term leaves few in the model, so a long clean text gathers no noise. Scoring
 reads every whole text, with no shuffle.
 
 Defined cases: a null, empty or wordless text scores as the intercept alone;
@@ -24,6 +24,7 @@ table gives an empty result; only `doc_id` and `text` are read.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,6 +42,7 @@ MAX_STORED = 300_000  # words of which a task keeps the features
 L1 = 2e-4
 CF_WEIGHT = 1.0
 STEPS, ROUNDS = 200, 5
+SCREEN_PARTS = 16
 PREDICT_AT = 0.3
 
 # Identity terms; a term is swapped for the others of its list.
@@ -67,6 +69,29 @@ def features_of(words: set[str]) -> set[str]:
     return words | {f"{w[:k]}*" for w in words for k in PREFIXES if len(w) >= k}
 
 
+def hashed(words: set[str]) -> np.ndarray:
+    """The features as sorted distinct 32-bit hashes."""
+    return np.unique(np.array([zlib.crc32(f.encode("utf-8", "surrogatepass")) for f in features_of(words)], np.uint32))
+
+
+def _screened(features: list[np.ndarray], y: np.ndarray, weight: np.ndarray, always: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, feature) of the features in MIN_DOCS documents or more whose
+    slope at the start of the fit reaches half the L1 term, and of `always`. Parts of
+    the hash range are taken in turn, which bounds the memory."""
+    error = weight * (float((weight * y).sum()) - y)
+    name = np.concatenate([*features, np.empty(0, np.uint32)])
+    row = np.repeat(np.arange(len(features), dtype=np.int32), [len(f) for f in features])
+    rows, names = [], []
+    for part in range(SCREEN_PARTS):
+        here = np.flatnonzero(name % SCREEN_PARTS == part)
+        found, index, df = np.unique(name[here], return_inverse=True, return_counts=True)
+        slope = np.abs(np.bincount(index, error[row[here]], len(found)))
+        keep = ((df >= MIN_DOCS) & (slope > 0.5 * L1)) | np.isin(found, always)
+        rows.append(row[here[keep[index]]])
+        names.append(name[here[keep[index]]])
+    return np.concatenate(rows), np.concatenate(names)
+
+
 def counterfactuals(sentence: set[str]) -> list[tuple[str, str]]:
     """(term, other) for each swap in a sentence: the copy loses the one and gains the other."""
     return [(t, o) for terms in IDENTITY_TERMS for t in terms if t in sentence for o in terms if o != t and o not in sentence]
@@ -80,30 +105,26 @@ class ToxicityModel:
     def __init__(self, prior: float = 0.0):
         self.intercept = float(np.log(np.clip(prior, 1e-4, 1 - 1e-4) / (1 - np.clip(prior, 1e-4, 1 - 1e-4))))
         self.prior = prior
-        self.weights: dict[str, float] | None = None
+        self.weights: dict[int, float] | None = None
         self.seen: set[str] = set()
-        self.active: dict[str, set[str]] = {}
+        self.active: dict[str, set[int]] = {}
 
-    def fit(self, docs: list[tuple[set[str], list[tuple[str, str]]]], y: np.ndarray, weight: np.ndarray,
+    def fit(self, docs: list[tuple[np.ndarray, list[tuple[str, str]]]], y: np.ndarray, weight: np.ndarray,
             cf_weight: float = CF_WEIGHT) -> ToxicityModel:
-        """docs: the words of each and the swaps in its sentences."""
-        docs = [(features_of(ws), cs) for ws, cs in docs]
-        df = Counter(w for ws, _ in docs for w in ws)
+        """docs: the hashed features of each and the swaps in its sentences."""
+        weight = weight / weight.sum()
         swaps = Counter((a, b) for _, cs in docs for a, b in cs)
-        vocab = sorted({w for w, n in df.items() if n >= MIN_DOCS} | features_of({t for s in swaps for t in s}))
-        at = {w: k for k, w in enumerate(vocab)}
-        size = len(vocab)
-        row = np.array([i for i, (ws, _) in enumerate(docs) for w in ws if w in at], np.int64)
-        col = np.array([at[w] for ws, _ in docs for w in ws if w in at], np.int64)
+        moved = [(i, k, sign) for i, (t, o) in enumerate(swaps) for sign, gone, come in ((1.0, t, o), (-1.0, o, t))
+                 for k in set(hashed({come}).tolist()) - set(hashed({gone}).tolist())]
+        row, name = _screened([f for f, _ in docs], y, weight, np.unique(np.array([m[1] for m in moved], np.uint32)))
+        names = np.union1d(name, np.array([m[1] for m in moved], np.uint32))
+        col = np.searchsorted(names, name)
+        size = len(names)
         # Change of a copy's features: a row of signed entries for each kind of swap.
-        moved = [(i, at[f], sign) for i, s in enumerate(swaps)
-                 for sign, gone, come in ((1.0, s[0], s[1]), (-1.0, s[1], s[0]))
-                 for f in features_of({come}) - features_of({gone})]
-        swap, entry, sign = (np.array([m[k] for m in moved], t) for k, t in enumerate((np.int64, np.int64, float)))
+        swap, sign = np.array([m[0] for m in moved], np.int64), np.array([m[2] for m in moved], float)
+        entry = np.searchsorted(names, np.array([m[1] for m in moved], np.uint32))
         times = np.array(list(swaps.values()), float)
         times /= max(times.sum(), 1.0)
-        weight = weight / weight.sum()
-
         theta, b = np.zeros(size), self.intercept
         on = np.zeros(size, bool)
         on[entry] = True
@@ -111,12 +132,11 @@ class ToxicityModel:
             # Features whose slope exceeds the L1 term join the fit, until none is left out.
             error = weight * (_sigmoid(np.bincount(row, theta[col], len(docs)) + b) - y)
             fresh = (np.abs(np.bincount(col, error[row], size)) > L1) & ~on
-            if not fresh.any() and on.any() and theta.any():
+            if not fresh.any() and theta.any():
                 break
             on |= fresh
             theta, b = self._descend(theta, b, on, row, col, y, weight, (swap, entry, sign, times * cf_weight))
-        vocab_on = np.flatnonzero(theta)
-        self.weights = {vocab[k]: float(theta[k]) for k in vocab_on}
+        self.weights = {int(names[k]): float(theta[k]) for k in np.flatnonzero(theta)}
         self.intercept = float(b)
         return self
 
@@ -164,7 +184,7 @@ class ToxicityModel:
             new = ws - self.seen
             self.seen |= new
             for w in new:
-                if found := features_of({w}) & self.weights.keys():
+                if found := self.weights.keys() & {zlib.crc32(f.encode("utf-8", "surrogatepass")) for f in features_of({w})}:
                     self.active[w] = found
             on = set().union(*(self.active[w] for w in ws & self.active.keys()))
             logits.append(self.intercept + sum(self.weights[f] for f in sorted(on)))
@@ -177,20 +197,20 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Tox
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(0).to_pylist()
-            ws = [sorted(words_of(t)) for t in texts]
+            ws = [hashed(words_of(t)).astype("<u4").tobytes() for t in texts]
             cs = [[f"{t} {o}" for s in _SENTENCE.split(t) for t, o in counterfactuals(words_of(s))] for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(3), pa.array(ws, pa.list_(pa.string())),
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(3), pa.array(ws, pa.binary()),
                                               pa.array(cs, pa.list_(pa.string()))], names=["doc_id", "y", "weight", "w", "c"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     got = (rows.select("text", "doc_id", "y", "weight")
-           .mapInArrow(run, f"doc_id {kind}, y int, weight double, w array<string>, c array<string>").collect())
+           .mapInArrow(run, f"doc_id {kind}, y int, weight double, w binary, c array<string>").collect())
     got.sort(key=lambda r: (r.doc_id is None, r.doc_id))
     y, weight = np.array([r.y for r in got], float), np.array([r.weight for r in got])
     model = ToxicityModel(float(np.average(y, weights=weight)) if got else 0.0)
     if len(set(y)) < 2:
         return model
-    return model.fit([(set(r.w), [tuple(c.split(" ")) for c in r.c]) for r in got], y, weight)
+    return model.fit([(np.frombuffer(r.w, "<u4"), [tuple(c.split(" ")) for c in r.c]) for r in got], y, weight)
 
 
 def scored(docs: DataFrame, model: ToxicityModel, out: str = "score") -> DataFrame:

@@ -67,6 +67,12 @@ UNION ALL
 SELECT gvkey, datadate, sic, costat, curcdq, cusip, saleq, cogsq, CAST(NULL AS DOUBLE) AS niq, atq, ltq, actq, lctq,
        dlttq, xsgaq, oibdpq, rstcheq, rstcheltq, oancfy, capxy, qn
 FROM {panel_q} WHERE CAST(gvkey AS INT) % 89 = 0 AND niq IS NOT NULL
+UNION ALL
+SELECT CASE WHEN CAST(gvkey AS INT) % 2 = 0 THEN 'no digits' ELSE gvkey END AS gvkey,
+       CASE WHEN CAST(gvkey AS INT) % 2 = 0 THEN datadate ELSE CAST(NULL AS DATE) END AS datadate,
+       sic, costat, curcdq, cusip, saleq, cogsq, niq, atq, ltq, actq, lctq,
+       dlttq, xsgaq, oibdpq, rstcheq, rstcheltq, oancfy, capxy, qn
+FROM {panel_q} WHERE CAST(gvkey AS INT) % 11 = 0 AND qn % 8 = 1
 """
 
 PANEL_D_SQL = """
@@ -76,7 +82,8 @@ WITH d0 AS (
          CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty
   FROM {lineitem} GROUP BY l_suppkey, CAST(l_shipdate AS DATE)),
 d1 AS (SELECT sk, dt, qty, CAST(ext AS DOUBLE) / CAST(qty AS DOUBLE) / 100 AS prc FROM d0),
-d2 AS (SELECT sk, dt, qty, prc, lag(prc) OVER (PARTITION BY sk ORDER BY dt) AS p0 FROM d1)
+d2 AS (SELECT sk, dt, qty, prc, lag(prc) OVER (PARTITION BY sk ORDER BY dt) AS p0 FROM d1),
+d3 AS (
 SELECT CAST(sk AS INT) AS PERMNO, CAST(sk % 80 AS INT) AS PERMCO,
        concat('c', lpad(CAST(sk % 60 AS STRING), 7, '0')) AS HdrCUSIP,
        CASE WHEN sk % 3 = 0 THEN 'n' WHEN sk % 3 = 1 THEN 'q ' ELSE '' END AS PrimaryExch,
@@ -85,7 +92,14 @@ SELECT CAST(sk AS INT) AS PERMNO, CAST(sk % 80 AS INT) AS PERMCO,
        CASE WHEN (sk + day(dt)) % 31 = 0 THEN NULL ELSE (prc - p0) / p0 / 20 END AS DlyRet,
        CAST(qty AS DOUBLE) AS DlyVol,
        CASE WHEN sk % 25 = 0 THEN NULL ELSE CAST(1000 + sk AS DOUBLE) END AS ShrOut
-FROM d2
+FROM d2)
+SELECT * FROM d3
+UNION ALL
+SELECT CASE WHEN PERMNO % 3 = 0 THEN NULL ELSE PERMNO END AS PERMNO, PERMCO,
+       CASE WHEN PERMNO % 3 = 1 THEN NULL ELSE HdrCUSIP END AS HdrCUSIP,
+       PrimaryExch, ShareType, Ticker, CASE WHEN PERMNO % 3 = 2 THEN NULL ELSE DlyCalDt END AS DlyCalDt,
+       DlyPrc, DlyRet, DlyVol, ShrOut
+FROM d3 WHERE day(DlyCalDt) = 7
 """
 
 
