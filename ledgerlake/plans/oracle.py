@@ -470,6 +470,10 @@ def oracle_sql() -> dict[str, str]:
     q["price_split_summary"] = chain("l_split", body=_split_summary(
         "l_split", "crsp_split", "target_crsp_excess_return_3m", True))
     # preprocessing
+    q["cluster_profile_by_quarter"] = chain("m_train", body=(
+        "SELECT 'cluster_' || CAST(quarter(datadate) AS VARCHAR) AS finance_cluster, "
+        + ", ".join(f"{R(f'round_even(median({c}), 4)')} AS {c}" for c in CLUSTER)
+        + ", count(*) AS row_count FROM m_train GROUP BY quarter(datadate)"))
     q["impute_median"] = chain("m_med", body=" UNION ALL ".join(
         f"SELECT '{c}' AS feature, {R(c)} AS median FROM m_med" for c in CLUSTER))
     q["clip_quantiles"] = chain("m_q", body=" UNION ALL ".join(

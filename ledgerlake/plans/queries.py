@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.constants import (
     CATEGORICAL_FEATURES,
+    CLUSTER_FEATURES,
     CORE_NUMERIC_COLUMNS,
     PRICE_NUMERIC_FEATURES,
     PRICE_TARGET_COL,
@@ -524,6 +525,13 @@ def q_cluster_profile(spark, sf):
     return cluster_profile(mf.train_rows(m), art.features)
 
 
+def q_cluster_profile_by_quarter(spark, sf):
+    """A9 over the training rows with the calendar quarter in the label's place,
+    so that the medians and counts can be compared in SQL."""
+    tr = train(spark, sf).withColumn("finance_cluster", F.concat(F.lit("cluster_"), F.quarter("datadate").cast("string")))
+    return rounded(cluster_profile(tr, CLUSTER_FEATURES))
+
+
 def q_pca_explained_variance(spark, sf):
     """PCA explained-variance ratios."""
     _, art = _clustered(spark, sf, restarts=None)
@@ -616,6 +624,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pca_features": q_pca_features,
     "kmeans_clusters": q_kmeans_clusters,
     "cluster_profile": q_cluster_profile,
+    "cluster_profile_by_quarter": q_cluster_profile_by_quarter,
     "pca_explained_variance": q_pca_explained_variance,
     "plot_sample": q_plot_sample,
     "price_numeric_pipeline": q_price_numeric_pipeline,
