@@ -37,7 +37,7 @@ def exact_duplicate_count(df: DataFrame) -> DataFrame:
     """rows − distinct rows, as one row."""
     cols = value_columns(df)
     return (df.groupBy(*cols).count()
-            .agg(F.sum(F.col("count") - 1).cast("long").alias("exact_duplicate_rows")))
+            .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("exact_duplicate_rows")))
 
 
 def key_duplicate_metrics(df: DataFrame, keys=(ENTITY_KEY, DATE_COL)) -> DataFrame:

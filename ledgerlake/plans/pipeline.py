@@ -19,7 +19,7 @@ from ledgerlake.operators import profile as pf
 from ledgerlake.operators.features import feature_columns
 from ledgerlake.operators.invalid import invalid_value_audit
 from ledgerlake.operators.prices import daily_profile, daily_to_monthly, drop_bad_price_keys, monthly_returns, type_daily
-from ledgerlake.operators.split import split_summary
+from ledgerlake.operators.split import split_notes, split_summary
 from ledgerlake.operators.standardize import standardize_metrics, type_quarterly
 from ledgerlake.operators.unsupervised import cluster_profile
 from ledgerlake.plans import model_frame as mf
@@ -52,6 +52,22 @@ def source_profile(spark: SparkSession, quarterly_file: str) -> tuple[DataFrame,
     return prof, price
 
 
+def data_profile(engineered: DataFrame, raw: DataFrame, standard: DataFrame, model: DataFrame, art) -> DataFrame:
+    """One row on the whole run (K3): rows and dates, dropped and duplicate rows,
+    cut dates and rows of the splits, feature lists, columns that are mostly
+    missing, explained variance."""
+    numeric, categorical, cluster_cols = feature_columns(model.columns)
+    splits = model.agg(F.count(F.lit(1)).alias("model_rows"),
+                       *[F.count_if(F.col("split") == s).alias(f"{s}_rows") for s in ("train", "validation", "test")])
+    mostly = pf.high_missing(pf.missingness(engineered)).agg(F.array_sort(F.collect_list("column")).alias("high_missing_columns"))
+    lists = {"numeric_features": numeric, "categorical_features": categorical, "cluster_features": cluster_cols}
+    return pf.attach_scalars(
+        pf.panel_profile(engineered), standardize_metrics(type_quarterly(raw)), dd.exact_duplicate_count(standard),
+        dd.key_duplicate_metrics(standard), splits, split_notes(model), mostly).select(
+            "*", *[F.array(*map(F.lit, v)).alias(k) for k, v in lists.items()],
+            F.array(*map(F.lit, art.explained_variance_ratio)).alias("pca_explained_variance_ratio"))
+
+
 def run(spark: SparkSession, quarterly_path: str, out: str, daily_path: str | None = None,
         raw_quarterly: DataFrame | None = None, raw_daily: DataFrame | None = None,
         discover_prices: bool = False) -> dict:
@@ -68,12 +84,10 @@ def run(spark: SparkSession, quarterly_path: str, out: str, daily_path: str | No
 
     # Flow A
     engineered = _stage(spark, quarterly.engineered_panel(raw), p("engineered_panel"))
-    sinks.write_audit_csv(invalid_value_audit(dd.dedupe_most_complete(quarterly.standardize_quarterly(raw))),
-                          p("invalid_values"))
+    standard = quarterly.standardize_quarterly(raw)
+    sinks.write_audit_csv(invalid_value_audit(dd.dedupe_most_complete(standard)), p("invalid_values"))
     sinks.write_audit_csv(pf.missingness(engineered).orderBy(F.col("missing_pct").desc(), "column"),
                           p("missingness"))
-    sinks.write_profile_json(pf.attach_scalars(pf.panel_profile(engineered),
-                                               standardize_metrics(type_quarterly(raw))), p("data_profile"))
 
     # Flow B
     model = quarterly.model_frame(engineered)
@@ -83,6 +97,8 @@ def run(spark: SparkSession, quarterly_path: str, out: str, daily_path: str | No
     train = mf.train_rows(model)
     prep = mf.fit_preprocessor(train, numeric, categorical)
     sinks.save_model(prep, p("preprocessing_pipeline"))
+    sinks.save_clusters(spark, art, p("clusters"))
+    sinks.write_profile_json(data_profile(engineered, raw, standard, model, art), p("data_profile"))
     sinks.write_partitioned_splits(model, p("splits"), "split")
     sinks.write_audit_csv(split_summary(model), p("split_summary"))
     sinks.write_audit_csv(cluster_profile(train, art.features), p("cluster_profiles"))
@@ -109,6 +125,7 @@ def run(spark: SparkSession, quarterly_path: str, out: str, daily_path: str | No
                               p("price_split_summary"))
         sinks.write_profile_json(pf.price_profile(daily_profile(typed), dd.cusip_month_metrics(monthly),
                                                   final, PRICE_TARGET_COL), p("price_profile"))
-        sinks.write_profile_json(pf.merge_profile(merged, pmodel, PRICE_TARGET_COL), p("merge_profile"))
+        sinks.write_profile_json(pf.attach_scalars(pf.merge_profile(merged, pmodel, PRICE_TARGET_COL),
+                                                   split_notes(pmodel)), p("merge_profile"))
         result.update({"monthly": p("monthly_prices"), "merged": p("merged_panel")})
     return result

@@ -7,8 +7,12 @@ written as a single file.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerlake.operators.unsupervised import ClusterArtifacts
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -39,3 +43,17 @@ def write_profile_json(df: DataFrame, path: str) -> None:
 def save_model(model: PipelineModel, path: str) -> None:
     """Fitted preprocessing pipeline (K4); reload with PipelineModel.load."""
     model.write().overwrite().save(path)
+
+
+def save_clusters(spark: SparkSession, art: ClusterArtifacts, path: str) -> None:
+    """Everything that labels new rows (K4): the fitted preprocessor, PCA and
+    k-means models, and as JSON the feature list, signs, names and costs."""
+    save_model(PipelineModel([art.prep, art.pca_model, art.kmeans_model]), f"{path}/models")
+    values = {k: v for k, v in vars(art).items() if k not in ("prep", "pca_model", "kmeans_model")}
+    spark.createDataFrame([(json.dumps(values),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/values")
+
+
+def load_clusters(spark: SparkSession, path: str) -> ClusterArtifacts:
+    prep, pca, kmeans = PipelineModel.load(f"{path}/models").stages
+    values = json.loads(spark.read.text(f"{path}/values").first()["value"])
+    return ClusterArtifacts(prep=prep, pca_model=pca, kmeans_model=kmeans, **values)

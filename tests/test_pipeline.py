@@ -64,6 +64,21 @@ def test_end_to_end_pipeline(spark):
     model = PipelineModel.load(os.path.join(out, "preprocessing_pipeline"))
     vecs = model.transform(splits).select("features").limit(5).collect()
     assert len(vecs) == 5
+    prof = spark.read.json(os.path.join(out, "data_profile")).first()
+    assert prof.train_rows + prof.validation_rows + prof.test_rows == prof.model_rows == splits.count()
+    assert prof.missing_gvkey_rows > 0 and prof.invalid_datadate_rows > 0 and prof.exact_duplicate_rows > 0
+    assert prof.duplicate_key_rows_before_resolution > 0 and prof.train_end_date < prof.validation_end_date
+    assert len(prof.numeric_features) > 40 and len(prof.cluster_features) == 14 and len(prof.pca_explained_variance_ratio) == 2
+    assert "rstcheltq" in prof.high_missing_columns
+    audit = spark.read.option("header", True).csv(os.path.join(out, "invalid_values"))
+    assert audit.filter("invalid_count > 0").count() > 0
+    from ledgerlake.operators.unsupervised import add_cluster_features
+    from ledgerlake.sources.sinks import load_clusters
+    names = ["finance_cluster", "cluster_pca1", "cluster_pca2"]
+    keys = ["gvkey_str", "datadate"]
+    again = add_cluster_features(spark.read.parquet(res["model"]).drop(*names), load_clusters(spark, os.path.join(out, "clusters")))
+    assert (sorted(map(tuple, again.select(*keys, *names).collect()))
+            == sorted(map(tuple, spark.read.parquet(res["model"]).select(*keys, *names).collect())))
 
 
 def test_end_to_end_from_csv_files(spark):
