@@ -85,6 +85,7 @@ class Detector:
     checksum: bool = False
     prior: float = 0.6
     context: tuple[str, ...] = field(default=())
+    alone: str = ""  # a character class that must not stand before or after the span
 
 
 # The base kinds are fixed by the contract, in the order in which it lists
@@ -100,12 +101,12 @@ DETECTORS = (
              context=("card", "visa", "credit", "payment")),
     Detector("phone", r"\+[0-9][\x20().0-9-]+[0-9]", _phone, base=True, prior=0.7,
              context=("phone", "call", "tel", "mobile")),
-    Detector("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", _iban,
-             checksum=True, prior=0.4, context=("iban", "account", "bank")),
-    Detector("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", _ssn, prior=0.3,
-             context=("ssn", "social security")),
-    Detector("secret", r"(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])", _always, prior=0.3,
-             context=("token", "secret", "password", "api_key", "apikey", "api key")),
+    Detector("iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", _iban,
+             checksum=True, prior=0.4, context=("iban", "account", "bank"), alone="[A-Za-z0-9]"),
+    Detector("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", _ssn, prior=0.3,
+             context=("ssn", "social security"), alone="[0-9-]"),
+    Detector("secret", r"[0-9a-f]{32,}+", _always, prior=0.3,
+             context=("token", "secret", "password", "api_key", "apikey", "api key"), alone="[A-Za-z0-9]"),
 )
 KINDS = tuple(d.kind for d in DETECTORS)
 _SPAN = "struct<start:int,ord:int,end:int,kind:string,score:double>"
@@ -152,6 +153,10 @@ def _detect(text: Column, d: Detector, order: int) -> Column:
                         F.least(F.round(score, 4), F.lit(1.0)).alias("score"))
 
     kept = F.transform(F.filter(_matches(text, d.pattern), lambda x: d.valid(x["m"])), span)
+    if d.alone:
+        free = lambda c: ~F.coalesce(c, F.lit("")).rlike(d.alone)
+        kept = F.filter(kept, lambda s: (free(F.when(s["start"] > 0, F.substr(text, s["start"], F.lit(1)))))
+                        & free(F.substr(text, s["end"] + 1, F.lit(1))))
     if not d.base:
         kept = F.filter(kept, lambda s: s["score"] >= THRESHOLD)
     return F.when(text.rlike(d.pattern), kept.cast(f"array<{_SPAN}>")).otherwise(F.array().cast(f"array<{_SPAN}>"))

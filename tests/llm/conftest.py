@@ -33,7 +33,7 @@ def make_docs(spark):
     return make
 
 
-EDGE_TEXTS = [None, "", " \n\t ", "a", "a" * 30_000, "word " * 5_000, "é" * 50, "日本語 テキスト", "a\n\n\nb\n", "1" * 20_000,
+EDGE_TEXTS = [None, "", " \n\t ", "a", "a" * 6_000, "word " * 5_000, "é" * 50, "日本語 テキスト", "a\n\n\nb\n", "1" * 6_000,
               "\x00\x1f nul", "‮ right", "😀 smile 😀", "x" * 3 + "\n" + "x" * 3]
 
 
