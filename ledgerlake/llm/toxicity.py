@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import held_out, labelled_sample
+from ledgerlake.session import ensure_checkpoint_dir
 
 PER_CLASS = 4000
 MIN_DOCS = 8
@@ -42,7 +42,6 @@ MAX_STORED = 300_000  # words of which a task keeps the features
 L1 = 2e-4
 CF_WEIGHT = 1.0
 STEPS, ROUNDS = 200, 5
-SCREEN_PARTS = 16
 PREDICT_AT = 0.3
 
 # Identity terms; a term is swapped for the others of its list.
@@ -74,24 +73,6 @@ def hashed(words: set[str]) -> np.ndarray:
     return np.unique(np.array([zlib.crc32(f.encode("utf-8", "surrogatepass")) for f in features_of(words)], np.uint32))
 
 
-def _screened(features: list[np.ndarray], y: np.ndarray, weight: np.ndarray, always: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, feature) of the features in MIN_DOCS documents or more whose
-    slope at the start of the fit reaches half the L1 term, and of `always`. Parts of
-    the hash range are taken in turn, which bounds the memory."""
-    error = weight * (float((weight * y).sum()) - y)
-    name = np.concatenate([*features, np.empty(0, np.uint32)])
-    row = np.repeat(np.arange(len(features), dtype=np.int32), [len(f) for f in features])
-    rows, names = [], []
-    for part in range(SCREEN_PARTS):
-        here = np.flatnonzero(name % SCREEN_PARTS == part)
-        found, index, df = np.unique(name[here], return_inverse=True, return_counts=True)
-        slope = np.abs(np.bincount(index, error[row[here]], len(found)))
-        keep = ((df >= MIN_DOCS) & (slope > 0.5 * L1)) | np.isin(found, always)
-        rows.append(row[here[keep[index]]])
-        names.append(name[here[keep[index]]])
-    return np.concatenate(rows), np.concatenate(names)
-
-
 def counterfactuals(sentence: set[str]) -> list[tuple[str, str]]:
     """(term, other) for each swap in a sentence: the copy loses the one and gains the other."""
     return [(t, o) for terms in IDENTITY_TERMS for t in terms if t in sentence for o in terms if o != t and o not in sentence]
@@ -109,14 +90,14 @@ class ToxicityModel:
         self.seen: set[str] = set()
         self.active: dict[str, set[int]] = {}
 
-    def fit(self, docs: list[tuple[np.ndarray, list[tuple[str, str]]]], y: np.ndarray, weight: np.ndarray,
+    def fit(self, features: list[np.ndarray], swaps: dict[tuple[str, str], int], y: np.ndarray, weight: np.ndarray,
             cf_weight: float = CF_WEIGHT) -> ToxicityModel:
-        """docs: the hashed features of each and the swaps in its sentences."""
+        """features: the hashed features of each document; swaps: how often each occurs in their sentences."""
         weight = weight / weight.sum()
-        swaps = Counter((a, b) for _, cs in docs for a, b in cs)
         moved = [(i, k, sign) for i, (t, o) in enumerate(swaps) for sign, gone, come in ((1.0, t, o), (-1.0, o, t))
                  for k in set(hashed({come}).tolist()) - set(hashed({gone}).tolist())]
-        row, name = _screened([f for f, _ in docs], y, weight, np.unique(np.array([m[1] for m in moved], np.uint32)))
+        row = np.repeat(np.arange(len(features)), [len(f) for f in features])
+        name = np.concatenate([*features, np.empty(0, np.uint32)])
         names = np.union1d(name, np.array([m[1] for m in moved], np.uint32))
         col = np.searchsorted(names, name)
         size = len(names)
@@ -130,7 +111,7 @@ class ToxicityModel:
         on[entry] = True
         for _ in range(ROUNDS):
             # Features whose slope exceeds the L1 term join the fit, until none is left out.
-            error = weight * (_sigmoid(np.bincount(row, theta[col], len(docs)) + b) - y)
+            error = weight * (_sigmoid(np.bincount(row, theta[col], len(features)) + b) - y)
             fresh = (np.abs(np.bincount(col, error[row], size)) > L1) & ~on
             if not fresh.any() and theta.any():
                 break
@@ -192,25 +173,37 @@ class ToxicityModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> ToxicityModel:
+    """The sample's features stay in Spark until those without a marginal
+    effect are gone; the driver gets the rest, and counts of the swaps."""
     rows = labelled_sample(docs, labels, "toxic", per_class)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(0).to_pylist()
-            ws = [hashed(words_of(t)).astype("<u4").tobytes() for t in texts]
+            fs = [hashed(words_of(t)).astype(np.int64) for t in texts]
             cs = [[f"{t} {o}" for s in _SENTENCE.split(t) for t, o in counterfactuals(words_of(s))] for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(3), pa.array(ws, pa.binary()),
-                                              pa.array(cs, pa.list_(pa.string()))], names=["doc_id", "y", "weight", "w", "c"])
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(3), pa.array(fs, pa.list_(pa.int64())),
+                                              pa.array(cs, pa.list_(pa.string()))], names=["doc_id", "y", "weight", "f", "c"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    got = (rows.select("text", "doc_id", "y", "weight")
-           .mapInArrow(run, f"doc_id {kind}, y int, weight double, w binary, c array<string>").collect())
-    got.sort(key=lambda r: (r.doc_id is None, r.doc_id))
-    y, weight = np.array([r.y for r in got], float), np.array([r.weight for r in got])
-    model = ToxicityModel(float(np.average(y, weights=weight)) if got else 0.0)
-    if len(set(y)) < 2:
+    ensure_checkpoint_dir(docs.sparkSession)
+    sample = rows.select("text", "doc_id", "y", "weight").mapInArrow(
+        run, f"doc_id {kind}, y int, weight double, f array<long>, c array<string>").checkpoint()
+    all_ = sample.agg(F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("y")).alias("toxic"), F.count_distinct("y").alias("classes")).first()
+    model = ToxicityModel(all_.toxic / all_.w if all_.w else 0.0)
+    if all_.classes < 2:
         return model
-    return model.fit([(np.frombuffer(r.w, "<u4"), [tuple(c.split(" ")) for c in r.c]) for r in got], y, weight)
+    swaps = {tuple(r.s.split(" ")): r["count"] for r in sample.select(F.explode("c").alias("s")).groupBy("s").count().collect()}
+    always = hashed({t for s in swaps for t in s}).tolist()
+    # The slope of the loss along a feature, at the start of the fit.
+    slope = F.sum(F.col("weight") / all_.w * (F.lit(model.prior) - F.col("y")))
+    pairs = sample.select("doc_id", "y", "weight", F.explode("f").alias("f"))
+    kept = (pairs.groupBy("f").agg(F.count(F.lit(1)).alias("df"), slope.alias("slope"))
+            .filter((F.col("df") >= MIN_DOCS) & (F.abs("slope") > 0.5 * L1) | F.col("f").isin(always)).select("f"))
+    slim = pairs.join(kept, "f").groupBy("doc_id").agg(F.sort_array(F.collect_list("f")).alias("f"))
+    got = sample.select("doc_id", "y", "weight").join(slim, "doc_id", "left").orderBy("doc_id").collect()
+    return model.fit([np.array(r.f or [], np.uint32) for r in got], swaps, np.array([r.y for r in got], float),
+                     np.array([r.weight for r in got]))
 
 
 def scored(docs: DataFrame, model: ToxicityModel, out: str = "score") -> DataFrame:

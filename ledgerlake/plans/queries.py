@@ -484,6 +484,12 @@ def q_one_hot_levels(spark, sf):
 _FITS: dict = {}
 
 
+def forget(spark: SparkSession) -> None:
+    """Release what queries of this session keep: persisted stages and fitted models."""
+    spark.catalog.clearCache()
+    _FITS.clear()
+
+
 def _clustered(spark, sf, restarts=None):
     """Model frame with cluster features. The fit (numeric pipeline, PCA,
     k-means restarts on the training rows) is done once per session and

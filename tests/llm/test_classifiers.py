@@ -1,6 +1,7 @@
 """Quality, toxicity and language: held-out accuracy, gradients, defined cases."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -92,7 +93,8 @@ def test_counterfactual_term_silences_identity_terms():
         y.append(float(toxic))
     shift = {}
     for weight in (0.0, 100.0):
-        m = toxicity.ToxicityModel(0.3).fit([(toxicity.hashed(w), c) for w, c in docs], np.array(y), np.ones(len(y)), cf_weight=weight)
+        swaps = Counter(c for _, cs in docs for c in cs)
+        m = toxicity.ToxicityModel(0.3).fit([toxicity.hashed(w) for w, _ in docs], swaps, np.array(y), np.ones(len(y)), cf_weight=weight)
         neutral = m.score(["Muslims live w1 here", "Christians live w1 here"])
         shift[weight] = abs(neutral[0] - neutral[1])
         assert m.score(["vile w1"])[0] > 0.8
