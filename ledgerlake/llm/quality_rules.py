@@ -21,6 +21,8 @@ occur; an empty table gives an empty result; columns beside `doc_id` and
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +33,8 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 10_000
-THRESHOLD = -0.5
+BITMAP_BITS = 23
+THRESHOLD = -0.06
 
 
 def repeated_words(ws: Column) -> Column:
@@ -43,12 +46,11 @@ def repeated_words(ws: Column) -> Column:
     """
     hashes = F.transform(ws, lambda w: F.xxhash64(w))
 
-    def window(h: Column, i: Column) -> Column:
-        parts = [F.get(h, i + k) for k in range(WINDOW)]
-        return F.struct(F.xxhash64(*parts).alias("a"), F.hash(*parts).alias("b"))
+    def window(h: Column, i: Column) -> list[Column]:
+        return [F.get(h, i + k) for k in range(WINDOW)]
 
-    def cover(win: Column) -> Column:
-        placed = F.array_sort(F.transform(win, lambda x, i: F.struct(x["a"].alias("a"), x["b"].alias("b"), i.alias("i"))))
+    def cover(h: Column, win: Column) -> Column:
+        placed = F.array_sort(F.transform(win, lambda a, i: F.struct(a.alias("a"), F.hash(*window(h, i)).alias("b"), i.alias("i"))))
 
         def starts(s: Column) -> Column:
             same = lambda x, y: (x["a"] == y["a"]) & (x["b"] == y["b"])
@@ -63,11 +65,12 @@ def repeated_words(ws: Column) -> Column:
 
         return bind(bind(placed, starts), length)
 
-    def of(win: Column) -> Column:
-        return F.when(F.size(F.array_distinct(win)) == F.size(win), F.lit(0)).otherwise(cover(win))
+    def of(h: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(0), F.size(h) - WINDOW), lambda i: F.xxhash64(*window(h, i)))
+        # Distinct over longs hashes them; over structs it would compare all pairs.
+        return bind(each, lambda win: F.when(F.size(F.array_distinct(win)) == F.size(win), F.lit(0)).otherwise(cover(h, win)))
 
-    many = bind(hashes, lambda h: bind(
-        F.transform(F.sequence(F.lit(0), F.size(h) - WINDOW), lambda i: window(h, i)), of))
+    many = bind(hashes, of)
     return F.when(F.size(ws) > WINDOW, many).otherwise(F.lit(0))
 
 
@@ -96,22 +99,32 @@ def ngram_buckets(ws: Column, buckets: int) -> Column:
     return bind(F.transform(ws, lambda w: F.xxhash64(F.lower(w))), of)
 
 
+def _maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of `docs` whose doc_id may be in `ids`: a bitmap of 2^BITMAP_BITS
+    hashed ids (1 MB, whatever their number) goes to all tasks, and rows whose bit is not set
+    need not be shuffled to the join that decides."""
+    place = lambda: F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)) + 1
+    bits = (ids.select(F.bitmap_bucket_number(place()).alias("_bucket"), F.bitmap_bit_position(place()).alias("_at"))
+            .groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_bits")))
+    at = F.bitmap_bit_position(place())
+    byte = F.conv(F.hex(F.substr(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
+    return docs.join(F.broadcast(bits), F.bitmap_bucket_number(place()) == F.col("_bucket")).filter(is_set).select(docs.columns)
+
+
 def bucket_log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log p_target - log p_raw per bucket: a vector of `buckets` numbers, whatever the input's size."""
-    trusted = labels.filter("quality = 1").select("doc_id").distinct().withColumn("_trusted", F.lit(1))
-    grams = (docs.select("doc_id", "text").join(trusted, "doc_id", "left")
-             .select(F.coalesce("_trusted", F.lit(0)).alias("t"),
-                     F.explode(ngram_buckets(words(F.col("text")), buckets)).alias("b")))
-    counts = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target")).collect()
-    raw_all, target_all = sum(r.raw for r in counts), sum(r.target for r in counts)
+    trusted = labels.filter("quality = 1").select("doc_id").distinct()
+    bucket = lambda: F.explode(ngram_buckets(words(F.col("text")), buckets)).alias("b")
+    count = lambda texts: {r.b: r["count"] for r in texts.select(bucket()).groupBy("b").count().collect()}
+    raw = count(docs)
+    # Trusted ids grow with the documents, so the join is a sort-merge join at every size.
+    target = count(_maybe_in(docs.select("doc_id", "text"), trusted).join(trusted.hint("merge"), "doc_id"))
+    raw_all, target_all = sum(raw.values()), sum(target.values())
     if not target_all:
         return [0.0] * buckets
-    ratios = [(1.0 / (target_all + buckets)) / (1.0 / (raw_all + buckets))] * buckets
-    for r in counts:
-        ratios[r.b] = ((r.target + 1.0) / (target_all + buckets)) / ((r.raw + 1.0) / (raw_all + buckets))
-    import math
-
-    return [round(math.log(x), 9) for x in ratios]
+    return [round(math.log((target.get(b, 0) + 1) / (target_all + buckets)) - math.log((raw.get(b, 0) + 1) / (raw_all + buckets)), 9)
+            for b in range(buckets)]
 
 
 def mean_log_ratio(ws: Column, weights: list[float]) -> Column:

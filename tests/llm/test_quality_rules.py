@@ -65,3 +65,11 @@ def test_ratio_is_the_mean_log_likelihood_ratio(spark, make_docs):
         g = grams[r.doc_id]
         assert abs(r.r - (sum(weights[b] for b in g) / len(g) if g else 0)) < 1e-5
     assert set(qr.bucket_log_ratios(df, labels.limit(0), buckets)) == {0.0}
+
+
+def test_the_bitmap_loses_no_id(spark):
+    ids = spark.range(0, 3000, 7).select(F.col("id").alias("doc_id"))
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    got = {r.doc_id for r in qr._maybe_in(docs, ids).collect()}
+    assert {r.doc_id for r in ids.collect()} <= got and len(got) < 450
+    assert qr._maybe_in(docs, ids.limit(0)).count() == 0
