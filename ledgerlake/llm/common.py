@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,3 +68,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     # One text for an id that repeats.
     return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
             .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"), F.max("weight").alias("weight")))
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Within this block, Spark deletes the shuffle files of a query once it has
+    ended. For steps that each end in a checkpoint or a written table, so that
+    later steps never read those files again, and disk holds one step at a time."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -8,7 +8,8 @@ Documents whose shingle sets overlap by a Jaccard similarity of at least
 2. Reach: take the first part of a set in hash order, p + k entries long,
    where p = n - need + 1 and need is the least overlap with any partner. A
    partner misses at most n - need of a set's entries, so k + 1 of that part
-   recur in it. Nodes in which fewer recur anywhere have no partner.
+   recur in it. Nodes in which fewer recur anywhere have no partner. Entries that
+   recur within a batch are counted there and sent on once for the batch.
 3. Order: among the rest, shingles are ordered by how many nodes hold them,
    rare first. The prefix is the first p entries; two linked nodes share one of them.
    Shingles of one node only come first in it and cannot be shared, so they are left out.
@@ -16,7 +17,7 @@ Documents whose shingle sets overlap by a Jaccard similarity of at least
    meet on shared prefix entries; pairs whose sizes or positions rule a link out are
    dropped, the others expanded to members, and their overlap is counted.
 5. Only components are asked for, so pairs inside one component are not
-   needed. Star rounds therefore first verify every group against one hub of
+   needed. Star rounds therefore first verify every group against a few hubs of
    each entry's list. Then all pairs of groups that still lie in different components
    are verified: no link between components is missed, and no group of near
    copies is expanded into all its pairs.
@@ -42,12 +43,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import shuffles_released
 from ledgerlake.session import ensure_checkpoint_dir
 
 SHINGLE = 5
 PERCENT = 80
-STAR_ROUNDS = 4
-REACH_PERCENT = 10  # k of step 2, in percent of the set
+STAR_ROUNDS, HUBS = 2, 12
+REACH_PERCENT = 5  # k of step 2, in percent of the set
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _CHUNK = 1 << 16
 
@@ -113,27 +115,82 @@ def least_overlap(n, percent: int = PERCENT):
     return (percent * n + 99) // 100
 
 
-def _sets(docs: DataFrame, key: str, text: str, size: int, reach: int | None, percent: int) -> DataFrame:
-    """key, n, digest and `h`: the set, or with `reach` only its first part as of step 2."""
+def _digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
+def _part(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def _sets(docs: DataFrame, key: str, text: str, size: int, whole: bool) -> DataFrame:
+    """key, n, digest, d (64 bits of it) of each row's set and, if `whole`, the set itself as `h`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(size)
         for b in batches:
-            ns, digests, parts = [], [], []
-            for t in b.column(1).to_pylist():
-                s = shingles(t)
-                n = len(s)
-                ns.append(n)
-                digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                parts.append(s if reach is None else s[:n - least_overlap(n, percent) + 1 + n * reach // 100])
-            lists = pa.ListArray.from_arrays(
-                np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32),
-                np.concatenate(parts) if parts else np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ns, pa.int64()), pa.array(digests, pa.binary()), lists],
-                                             names=[key, "n", "digest", "h"])
+            sets = [shingles(t) for t in b.column(1).to_pylist()]
+            columns = [b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([_digest(x) for x in sets], pa.binary())]
+            columns.append(pa.array([_part(x.as_py()) for x in columns[2]], pa.int64()))
+            if whole:
+                ends = np.cumsum([0] + [len(x) for x in sets]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(ends, np.concatenate([*sets, np.empty(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays(columns, names=[key, "n", "digest", "d", "h"][:len(columns)])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n long, digest binary, h array<long>")
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n long, digest binary, d long" + ", h array<long>" * whole)
+
+
+def _reach(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
+    """d: a 64-bit part of the digest, for the sets that step 2 leaves.
+
+    Equal parts of unequal digests only let a set stay. Rows of the pass over the
+    texts, all with a key k by which they are dealt once:
+    (k = h, d)          an entry h of d's first part that no other set of the batch has;
+    (k = h, null)       an entry that sets of the batch share;
+    (k = d, d, c, need) how many such entries d has, and how many must recur.
+    A very common entry thus makes a row a batch. Equal sets of a batch count once;
+    those of other batches add to both sums, which compare as for one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingler(size)
+        for b in batches:
+            parts, need = {}, []
+            for t in b.column(0).to_pylist():
+                s = shingles(t)
+                n = len(s)
+                d = _part(_digest(s))
+                if n and d not in parts:
+                    k = n * REACH_PERCENT // 100
+                    parts[d] = s[:n - least_overlap(n, percent) + 1 + k]
+                    need.append(k + 1)
+            if not parts:
+                continue
+            ds, h = np.array(list(parts), np.int64), np.concatenate(list(parts.values()))
+            owner = np.repeat(np.arange(len(ds)), [len(x) for x in parts.values()])
+            entries, index, count = np.unique(h, return_inverse=True, return_counts=True)
+            alone = count[index] == 1
+            told = entries[count > 1]
+            local = np.bincount(owner[~alone], minlength=len(ds))
+            kind = np.repeat([0, 1, 2], [int(alone.sum()), len(told), len(ds)])
+            pad = np.zeros(len(kind) - len(ds), np.int32)
+            k = np.concatenate((h[alone], told, ds))
+            d = np.concatenate((ds[owner[alone]], told, ds))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(k), pa.array(d, mask=kind == 1),
+                 pa.array(np.concatenate((pad, local)).astype(np.int32), mask=kind != 2),
+                 pa.array(np.concatenate((pad, need)).astype(np.int32), mask=kind != 2)], names=["k", "d", "c", "need"])
+
+    dealt = docs.select(text).mapInArrow(run, "k long, d long, c int, need int").repartition("k")
+    entry = F.when(F.col("c").isNull(), F.col("d"))
+    recur = (dealt.groupBy("k").agg(F.min(entry).alias("lo"), F.max(entry).alias("hi"), F.max("need").alias("_need"),
+                                    F.max(F.col("c").isNull() & F.col("d").isNull()).alias("told"))
+             .withColumn("recurs", F.col("told") | (F.col("lo") != F.col("hi")))
+             .filter(F.col("recurs") | F.col("_need").isNotNull()).select("k", "recurs"))
+    found = F.coalesce("c", F.when(F.col("recurs"), 1).otherwise(0))
+    return (dealt.join(recur.hint("merge"), "k").groupBy("d").agg(F.sum(found).alias("found"), F.sum("need").alias("need"))
+            .filter("found >= need").select("d"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -172,7 +229,7 @@ def _merge(comps: DataFrame, links: DataFrame) -> DataFrame:
     edges = (links.join(at("a", "ca"), "a").join(at("b", "cb"), "b").filter("ca <> cb")
              .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct().checkpoint())
     if edges.isEmpty():
-        return comps
+        return comps.checkpoint()
     to = components(edges).select(F.col("node").alias("comp"), F.col("comp").alias("_to"))
     return comps.join(to, "comp", "left").select("node", F.coalesce("_to", "comp").alias("comp")).checkpoint()
 
@@ -196,21 +253,23 @@ def node_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     lists = shared.select("node", "n", "l")
     comps = shared.select("node", F.col("node").alias("comp"))
 
+    # Between rounds a node is known by the last hub it was linked to, which only saves pairs.
+    known, links = comps, None
     for r in range(STAR_ROUNDS):
-        # A hub group for each entry's list; one hub member for each group.
-        rank = lambda c: F.struct(F.xxhash64(F.lit(r), c).alias("r"), F.col(c).alias("v"))  # noqa: B023, E731
-        hubs = posts.groupBy("h").agg(F.min(rank("gid"))["v"].alias("hub"))
-        stars = posts.join(hubs, "h").select("gid", "hub").distinct()
-        center = members.groupBy(F.col("gid").alias("hub")).agg(F.min(rank("node"))["v"].alias("b"))
-        sized = lambda c, o: comps.join(lists.select("node", "n"), "node").select(
-            F.col("node").alias(c), F.col("comp").alias(f"c{o}"), F.col("n").alias(f"n{o}"))
-        pairs = (stars.join(center, "hub").join(members.withColumnRenamed("node", "a"), "gid").select("a", "b").distinct()
-                 .join(sized("a", "x"), "a").join(sized("b", "y"), "b")
-                 .filter((F.col("cx") != F.col("cy")) & _sizes_fit(F.col("nx"), F.col("ny"), percent)).select("a", "b"))
-        merged = _merge(comps, _linked(pairs, lists, percent))
-        if merged is comps:
-            break
-        comps = merged
+        # HUBS hub groups for each entry's list, drawn by hashes; one hub member for each group.
+        rank = lambda c, k: F.struct(F.xxhash64(F.lit(r * HUBS + k), c).alias("r"), F.col(c).alias("v"))  # noqa: B023, E731
+        hubs = posts.groupBy("h").agg(F.array_distinct(F.array(*[F.min(rank("gid", k))["v"] for k in range(HUBS)])).alias("hub"))
+        center = members.groupBy(F.col("gid").alias("hub")).agg(F.min(rank("node", 0))["v"].alias("b"))
+        sized = known.join(lists.select("node", "n"), "node")
+        x, y = (sized.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
+        pairs = (posts.join(hubs, "h").select("gid", F.explode("hub").alias("hub")).distinct().join(center, "hub")
+                 .join(members.withColumnRenamed("node", "a"), "gid").select("a", "b").distinct().join(x, "a").join(y, "b")
+                 .filter((F.col("ca") != F.col("cb")) & _sizes_fit(F.col("na"), F.col("nb"), percent)).select("a", "b"))
+        fresh = _linked(pairs, lists, percent).checkpoint()
+        links = fresh if links is None else links.union(fresh)
+        hub = fresh.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("hub"))
+        known = known.join(hub, "node", "left").select("node", F.coalesce("hub", "comp").alias("comp")).checkpoint()
+    comps = _merge(comps, links)
 
     # All pairs of groups that are not wholly in one component. The component that
     # holds most of an entry's list never meets itself, so a list costs what lies
@@ -226,16 +285,16 @@ def node_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest = lambda s: F.col(f"n_{s}") - F.col(f"pos_{s}")
     need = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + percent))
     apart = (F.least("lo_x", "lo_y") != F.greatest("hi_x", "hi_y"))
-    meet = x.join(y, "h").filter(apart & _sizes_fit(F.col("n_x"), F.col("n_y"), percent))
-    # The first common entry bounds the overlap by what follows it on either side.
-    pairs = (meet.groupBy("gid_x", "gid_y", "n_x", "n_y").agg(F.max(F.least(rest("x"), rest("y"))).alias("most"))
-             .filter(F.col("most") >= need).select("gid_x", "gid_y").checkpoint())
+    # The first common entry bounds the overlap by what follows it on either side, so
+    # linked groups meet at least there.
+    meet = x.join(y, "h").filter(apart & _sizes_fit(F.col("n_x"), F.col("n_y"), percent) & (F.least(rest("x"), rest("y")) >= need))
+    pairs = meet.select(F.least("gid_x", "gid_y").alias("gid_x"), F.greatest("gid_x", "gid_y").alias("gid_y")).distinct().checkpoint()
     inside = span.filter("lo < hi").select(F.col("gid").alias("gid_x"), F.col("gid").alias("gid_y"))
     placed = members.join(comps, "node")
     ends = lambda s, o: placed.select(F.col("gid").alias(f"gid_{s}"), F.col("node").alias(o), F.col("comp").alias(f"c_{s}"))
     last = (pairs.union(inside).distinct().join(ends("x", "a"), "gid_x").join(ends("y", "b"), "gid_y")
             .filter("c_x <> c_y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return _merge(comps, _linked(last, lists, percent))
+    return _merge(comps, _linked(last, lists, percent).checkpoint())
 
 
 def least_overlap_column(n: Column, percent: int) -> Column:
@@ -251,30 +310,28 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def _components(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
     """key, n, digest, comp (null without shingles), component_id for every row."""
     ensure_checkpoint_dir(docs.sparkSession)
-    signed = _sets(docs, key, text, size, REACH_PERCENT, percent).checkpoint()
-    nodes = (signed.filter("n > 0").groupBy("digest").agg(F.min(key).alias("doc"), F.first("n").alias("n"))
+    with shuffles_released(docs.sparkSession):
+        signed, nodes, comps = _node_tables(docs, key, text, size, percent)
+    named = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    lowest = named.groupBy("comp").agg(F.min("doc").alias("component_id"))
+    of = named.join(lowest, "comp").select("digest", "comp", "component_id")
+    return signed.join(of, "digest", "left").select(
+        key, "n", "digest", "comp", F.when(F.col("comp").isNull(), F.col(key)).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def _node_tables(docs: DataFrame, key: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The signed rows, the nodes (digest, doc, n, node) and the components of nodes, each a checkpoint."""
+    signed = _sets(docs, key, text, size, whole=False).checkpoint()
+    nodes = (signed.filter("n > 0").groupBy("digest").agg(F.min(key).alias("doc"), F.first("n").alias("n"), F.first("d").alias("d"))
              .withColumn("node", F.monotonically_increasing_id()).checkpoint())
 
-    # Step 2. A hash of the digest tells nodes apart here; equal hashes of unequal sets only let a node stay.
-    first = signed.filter("n > 0").select("digest", "n", F.xxhash64("digest").alias("d"), "h").dropDuplicates(["digest"])
-    parts = first.select("d", "n", F.explode("h").alias("h"))
-    recur = parts.groupBy("h").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo <> hi").select("h")
-    wanted = F.floor(F.col("n") * REACH_PERCENT / 100) + 1
-    near = parts.join(recur, "h", "left_semi").groupBy("d", "n").count().filter(F.col("count") >= wanted).select("d")
-    chosen = nodes.withColumn("d", F.xxhash64("digest")).join(near, "d", "left_semi").select(
+    chosen = nodes.join(_reach(docs, text, size, percent).checkpoint(), "d", "left_semi").select(
         "node", F.col("digest").alias("_digest"), F.col("doc").alias("_doc"))
-
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(chosen, F.col("_key").eqNullSafe(F.col("_doc")))
-    whole = _sets(texts.select(F.struct("node", "_digest").alias("_id"), "_text"), "_id", "_text", size, None, percent)
+    whole = _sets(texts.select(F.struct("node", "_digest").alias("_id"), "_text"), "_id", "_text", size, whole=True)
     sets = (whole.filter("digest = _id._digest").select(F.col("_id.node").alias("node"), "n", "h")
             .dropDuplicates(["node"]).checkpoint())
-    comps = node_components(sets, percent)
-
-    named = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    lowest = named.groupBy("comp").agg(F.min("doc").alias("component_id"))
-    of = named.join(lowest, "comp").select("digest", "comp", "component_id")
-    return signed.drop("h").join(of, "digest", "left").select(
-        key, "n", "digest", "comp", F.when(F.col("comp").isNull(), F.col(key)).otherwise(F.col("component_id")).alias("component_id"))
+    return signed, nodes, node_components(sets, percent)
 
 
 def one_per_component(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -287,7 +344,7 @@ def one_per_component(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     # Rows that share a doc_id are told apart by their sets.
     kind = docs.schema
     rows = of(ids.filter("rows > 1 and first").select("_id")).select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), "text")
-    signed = _sets(rows, "_row", "text", size, None, percent).drop("h")
+    signed = _sets(rows, "_row", "text", size, whole=False)
     comps = found.filter(first & F.col("comp").isNotNull()).select("digest", "comp").distinct()
     led = signed.filter("n > 0").join(comps, "digest").dropDuplicates(["comp"]).select("_row.*")
     bare = signed.filter("n = 0").select("_row.*")
