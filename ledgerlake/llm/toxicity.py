@@ -11,8 +11,9 @@ sentence and copy is part of the loss:
 so that a group's name alone does not move a score. Swapped-in terms are words
 of the model even where no document has them. The fit is proximal gradient descent
 (FISTA) on a bounded sample (PER_CLASS documents a class) on the driver. Features
-are 32-bit hashes; those in fewer than MIN_DOCS sample documents, or without a
-marginal effect, are unknown and count nothing, and the L1 term leaves few in the model, so a long clean text gathers no noise. Scoring
+are 32-bit hashes; those in fewer than MIN_DOCS sample documents, or whose documents are
+within SCREEN_Z standard deviations of the average, are unknown and count nothing, and the
+L1 term leaves few in the model, so a long clean text gathers no noise. Scoring
 reads every whole text, with no shuffle.
 
 Defined cases: a null, empty or wordless text scores as the intercept alone;
@@ -42,6 +43,7 @@ MAX_STORED = 300_000  # words of which a task keeps the features
 L1 = 2e-4
 CF_WEIGHT = 1.0
 STEPS, ROUNDS = 200, 5
+SCREEN_Z = 1.0
 PREDICT_AT = 0.3
 
 # Identity terms; a term is swapped for the others of its list.
@@ -195,11 +197,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Tox
         return model
     swaps = {tuple(r.s.split(" ")): r["count"] for r in sample.select(F.explode("c").alias("s")).groupBy("s").count().collect()}
     always = hashed({t for s in swaps for t in s}).tolist()
-    # The slope of the loss along a feature, at the start of the fit.
-    slope = F.sum(F.col("weight") / all_.w * (F.lit(model.prior) - F.col("y")))
+    # How far a feature's documents are from the share of label 1, in standard deviations.
+    excess = F.sum(F.col("weight") * (F.col("y") - F.lit(model.prior)))
+    spread = F.lit(model.prior * (1 - model.prior)) * F.sum(F.col("weight") * F.col("weight"))
     pairs = sample.select("doc_id", "y", "weight", F.explode("f").alias("f"))
-    kept = (pairs.groupBy("f").agg(F.count(F.lit(1)).alias("df"), slope.alias("slope"))
-            .filter((F.col("df") >= MIN_DOCS) & (F.abs("slope") > 0.5 * L1) | F.col("f").isin(always)).select("f"))
+    kept = (pairs.groupBy("f").agg(F.count(F.lit(1)).alias("df"), excess.alias("excess"), spread.alias("spread"))
+            .filter((F.col("df") >= MIN_DOCS) & (F.col("excess") * F.col("excess") > SCREEN_Z**2 * F.col("spread"))
+                    | F.col("f").isin(always)).select("f"))
     slim = pairs.join(kept, "f").groupBy("doc_id").agg(F.sort_array(F.collect_list("f")).alias("f"))
     got = sample.select("doc_id", "y", "weight").join(slim, "doc_id", "left").orderBy("doc_id").collect()
     return model.fit([np.array(r.f or [], np.uint32) for r in got], swaps, np.array([r.y for r in got], float),
