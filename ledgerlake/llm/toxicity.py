@@ -39,11 +39,11 @@ from ledgerlake.session import ensure_checkpoint_dir
 PER_CLASS = 4000
 MIN_DOCS = 8
 PREFIXES = range(3, 9)
-MAX_STORED = 300_000  # words of which a task keeps the features
+MAX_STORED = 60_000  # words of which a task keeps the features
 L1 = 2e-4
 CF_WEIGHT = 1.0
 STEPS, ROUNDS = 200, 5
-SCREEN_Z = 1.0
+SCREEN_Z = 1.5
 PREDICT_AT = 0.3
 
 # Identity terms; a term is swapped for the others of its list.
@@ -159,10 +159,10 @@ class ToxicityModel:
     def score(self, texts: list[str | None]) -> np.ndarray:
         if self.weights is None:
             return np.full(len(texts), self.prior)
-        if len(self.seen) > MAX_STORED:
-            self.seen, self.active = set(), {}
         logits = []
         for t in texts:
+            if len(self.seen) > MAX_STORED:
+                self.seen, self.active = set(), {}
             ws = words_of(t)
             new = ws - self.seen
             self.seen |= new
@@ -205,9 +205,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Tox
             .filter((F.col("df") >= MIN_DOCS) & (F.col("excess") * F.col("excess") > SCREEN_Z**2 * F.col("spread"))
                     | F.col("f").isin(always)).select("f"))
     slim = pairs.join(kept, "f").groupBy("doc_id").agg(F.sort_array(F.collect_list("f")).alias("f"))
-    got = sample.select("doc_id", "y", "weight").join(slim, "doc_id", "left").orderBy("doc_id").collect()
-    return model.fit([np.array(r.f or [], np.uint32) for r in got], swaps, np.array([r.y for r in got], float),
-                     np.array([r.weight for r in got]))
+    rows = sample.select("doc_id", "y", "weight").join(slim, "doc_id", "left").orderBy("doc_id")
+    # Row by row: each list becomes a compact array at once.
+    got = [(np.array(r.f or [], np.uint32), r.y, r.weight) for r in rows.toLocalIterator()]
+    return model.fit([g[0] for g in got], swaps, np.array([g[1] for g in got], float), np.array([g[2] for g in got]))
 
 
 def scored(docs: DataFrame, model: ToxicityModel, out: str = "score") -> DataFrame:
