@@ -48,7 +48,7 @@ from ledgerlake.session import ensure_checkpoint_dir
 
 SHINGLE = 5
 PERCENT = 80
-STAR_ROUNDS, HUBS = 2, 12
+STAR_ROUNDS, HUBS, STAR_ENTRIES = 2, 16, 10
 REACH_PERCENT = 5  # k of step 2, in percent of the set
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _CHUNK = 1 << 16
@@ -247,8 +247,10 @@ def node_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Position 0 counts the shingles held alone, which stand first.
     groups = shared.groupBy("gid").agg(F.first("n").alias("n"), F.first("p").alias("p"), F.first(alone).alias("lead"),
                                        F.min("node").alias("low"))
-    posts = groups.select("gid", "n", "lead", F.posexplode("p").alias("pos", "h")).withColumn(
-        "pos", F.col("pos") + F.col("lead")).drop("lead").checkpoint()
+    posts = groups.select("gid", "n", "lead", F.posexplode("p").alias("pos", "h"), (F.size("p") - STAR_ENTRIES).alias("late")).select(
+        "gid", "n", "h", (F.col("pos") + F.col("lead")).alias("pos"), (F.col("pos") >= F.col("late")).alias("star")).checkpoint()
+    # Stars use the most common entries of each prefix only: near copies have those in common.
+    arms = posts.filter("star").select("gid", "h")
     members = shared.select("gid", "node")
     lists = shared.select("node", "n", "l")
     comps = shared.select("node", F.col("node").alias("comp"))
@@ -258,11 +260,11 @@ def node_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     for r in range(STAR_ROUNDS):
         # HUBS hub groups for each entry's list, drawn by hashes; one hub member for each group.
         rank = lambda c, k: F.struct(F.xxhash64(F.lit(r * HUBS + k), c).alias("r"), F.col(c).alias("v"))  # noqa: B023, E731
-        hubs = posts.groupBy("h").agg(F.array_distinct(F.array(*[F.min(rank("gid", k))["v"] for k in range(HUBS)])).alias("hub"))
+        hubs = arms.groupBy("h").agg(F.array_distinct(F.array(*[F.min(rank("gid", k))["v"] for k in range(HUBS)])).alias("hub"))
         center = members.groupBy(F.col("gid").alias("hub")).agg(F.min(rank("node", 0))["v"].alias("b"))
         sized = known.join(lists.select("node", "n"), "node")
         x, y = (sized.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
-        pairs = (posts.join(hubs, "h").select("gid", F.explode("hub").alias("hub")).distinct().join(center, "hub")
+        pairs = (arms.join(hubs, "h").select("gid", F.explode("hub").alias("hub")).distinct().join(center, "hub")
                  .join(members.withColumnRenamed("node", "a"), "gid").select("a", "b").distinct().join(x, "a").join(y, "b")
                  .filter((F.col("ca") != F.col("cb")) & _sizes_fit(F.col("na"), F.col("nb"), percent)).select("a", "b"))
         fresh = _linked(pairs, lists, percent).checkpoint()
