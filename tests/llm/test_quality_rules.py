@@ -73,3 +73,33 @@ def test_the_bitmap_loses_no_id(spark):
     got = {r.doc_id for r in qr._maybe_in(docs, ids).collect()}
     assert {r.doc_id for r in ids.collect()} <= got and len(got) < 450
     assert qr._maybe_in(docs, ids.limit(0)).count() == 0
+
+
+def test_left_out_and_under_represented_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    good = {r.doc_id for r in labels.filter("quality = 1").collect()}
+    junk = {r.doc_id for r in labels.filter("quality = 0").collect()}
+    lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    half = labels.filter("quality = 1 and doc_id % 2 = 0")
+    rare = half.join(docs.filter("lang = 'es' or (lang = 'de' and doc_id % 10 != 0)"), "doc_id", "left_anti")
+    for trusted, some in ((half, "en es de fr"), (half.join(docs.filter("lang = 'es'"), "doc_id", "left_anti"), "es"), (rare, "es de")):
+        used = {r.doc_id for r in trusted.collect()}
+        got = {r.doc_id: r for r in qr.quality_rules(docs, trusted).collect() if not r.base_failed}
+        for x in some.split():
+            left_out = [got[i].kept for i in (good - used) & got.keys() if lang[i] == x]
+            assert len(left_out) >= 10 and sum(left_out) >= 0.9 * len(left_out), (x, sum(left_out), len(left_out))
+        bad = [got[i].kept for i in junk & got.keys()]
+        assert sum(bad) <= 0.3 * len(bad), (sum(bad), len(bad))
+
+
+def test_shares_do_not_move_the_ratio(spark, make_docs):
+    # The same words in all documents of a language; Spanish is rare among the trusted ones, French absent.
+    texts = [(i, " ".join(["the of and to"] * 60), "en", "s") for i in range(40)]
+    texts += [(100 + i, " ".join(["los de que para"] * 60), "es", "s") for i in range(40)]
+    texts += [(200 + i, " ".join(["dans une avec pour"] * 60), "fr", "s") for i in range(40)]
+    labels = spark.createDataFrame([(i, 1) for i in [*range(30), 100]], "doc_id long, quality int")
+    got = qr.quality_rules(make_docs(texts), labels).select("doc_id", "log_ratio").collect()
+    assert all(abs(r.log_ratio) < 0.02 for r in got), max(got, key=lambda r: abs(r.log_ratio))
+    null = spark.createDataFrame([(i, t) for i, t, *_ in texts], "doc_id long, text string")
+    assert qr.quality_rules(null, labels).count() == 120
