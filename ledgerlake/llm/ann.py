@@ -1,8 +1,9 @@
 """Approximate nearest neighbours: a forest of random-projection trees, one queue, exact reranking.
 
 1. Points: rows with equal vectors become one point that keeps its KEEP
-   smallest ids, which is all that a list of `k` neighbours can use. The limit is taken
-   before the shuffle as well, so a very common vector costs a task no more.
+   smallest ids, which is all that a list of `k` neighbours can use. Repeated rows are
+   dropped first; the limit is then taken before the shuffle as well, so a very common
+   vector costs a task no more.
 2. Forest: TREES trees are fitted on a sample of about SAMPLE points, on the
    driver. A node splits its points by the plane halfway between two of them,
    until LEAF points or fewer are left. Every point is then routed to its leaf in every tree.
@@ -11,7 +12,7 @@
    points of the sample.
 4. Rerank: a leaf's points meet the queries that chose it, in blocks of at
    most CHUNK points; true distances are computed in double precision on the original
-   vectors and each block passes on the KEEP nearest of each query.
+   vectors and each block passes on the KEEP nearest ids of each query.
 
 Nothing is collected but the sample (bounded by SAMPLE); the forest, at most
 2 * TREES * SAMPLE / LEAF planes, is broadcast.
@@ -19,8 +20,8 @@ Nothing is collected but the sample (bounded by SAMPLE); the forest, at most
 Defined cases: vectors that are null, zero, or hold null or non-finite entries
 take no part, nor do those of another length than most have (the longer on a tie), nor rows
 with a null id; a query's own row is never its neighbour, others with an equal vector
-are, at distance 0; ties go to the smaller id; repeated ids count once; with
-fewer candidates than k, all found are returned.
+are, at distance 0; ties go to the smaller id; repeated ids count once, at the least
+distance of their vectors; with fewer candidates than k, all found are returned.
 """
 
 from __future__ import annotations
@@ -122,16 +123,17 @@ class Forest:
 
 
 def points(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """e, ids (the KEEP smallest, ascending) and id (the smallest) of each distinct vector that takes part."""
+    """e, ids (the KEEP smallest, ascending), id (the smallest) and a number of its own for each distinct vector that takes part."""
     usable = vectors.select(F.col(key).alias("id"), F.transform(vector, lambda x: x + F.lit(0).cast("float")).alias("e")).filter(
         F.col("id").isNotNull() & F.col("e").isNotNull() & F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("e", lambda x: x != 0))
     common = usable.groupBy(F.size("e").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).limit(1).collect()
     usable = usable.filter(F.size("e") == (common[0].dim if common else 0))
-    # The rows to keep are found by rank, which Spark also cuts before the shuffle.
-    ranked = usable.withColumn("_k", F.rank().over(W.partitionBy("e").orderBy("id"))).filter(F.col("_k") <= KEEP)
-    return (ranked.groupBy("e").agg(F.slice(F.array_sort(F.collect_set("id")), 1, KEEP).alias("ids"))
-            .withColumn("id", F.get("ids", F.lit(0))))
+    # Row numbers count ids once repeated rows are gone; Spark also cuts by them before the shuffle.
+    ranked = usable.groupBy("e", "id").agg(F.lit(1)).select("e", "id").withColumn(
+        "_k", F.row_number().over(W.partitionBy("e").orderBy("id"))).filter(F.col("_k") <= KEEP)
+    return (ranked.groupBy("e").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+            .select("e", "ids", F.get("ids", F.lit(0)).alias("id"), F.monotonically_increasing_id().alias("point")))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -149,8 +151,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     all_points = points(vectors, key, vector).checkpoint()
     total = all_points.count()
     share = min(1.0, SAMPLE / max(total, 1))
-    drawn = all_points.select("id", "e").filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    sample = sorted(((r.id, r.e) for r in drawn.toLocalIterator()), key=lambda r: r[0])
+    drawn = all_points.select("id", "e").filter(F.pmod(F.xxhash64("id", "e"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    sample = sorted((r.id, r.e) for r in drawn.toLocalIterator())
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not sample:
         return empty
@@ -168,7 +170,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
                 continue
             leaves = f.leaves_of(_matrix(b.column(1)))
             for t in range(leaves.shape[1]):
-                yield pa.RecordBatch.from_arrays([pa.array(leaves[:, t]), b.column(0), b.column(1)], names=["leaf", "id", "e"])
+                yield pa.RecordBatch.from_arrays([pa.array(leaves[:, t]), b.column(0), b.column(1)], names=["leaf", "ids", "e"])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = revived()
@@ -183,15 +185,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
 
     asked = queries.select(F.col(key).alias("query_id"), F.transform(vector, lambda x: x + F.lit(0).cast("float")).alias("e")).distinct()
     # A point answers for all queries with its vector.
-    asked = asked.join(all_points.select("e", F.col("id").alias("query")), "e").select("query_id", "query").checkpoint()
-    query_points = all_points.join(asked.select(F.col("query").alias("id")).distinct(), "id", "left_semi").select("id", "e")
+    asked = asked.join(all_points.select("e", F.col("point").alias("query")), "e").select("query_id", "query").checkpoint()
+    query_points = all_points.join(asked.select(F.col("query").alias("point")).distinct(), "point", "left_semi").select("point", "e")
     number = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    visits = query_points.repartition(number, "id").mapInArrow(look, "leaf long, query long, e array<float>")
+    visits = query_points.repartition(number, "point").mapInArrow(look, "leaf long, query long, e array<float>")
     # A leaf's points lie in numbered chunks; each visit goes to all chunks of its leaf.
-    routed = all_points.select("id", "e").mapInArrow(route, "leaf long, id long, e array<float>").checkpoint()
+    routed = all_points.select("ids", "e").mapInArrow(route, "leaf long, ids array<long>, e array<float>").checkpoint()
     chunks = routed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / (CHUNK / 2)).alias("chunks"))
-    in_chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
-    held = routed.join(chunks, "leaf").select("leaf", in_chunk.alias("chunk"), "id", "e")
+    in_chunk = F.pmod(F.xxhash64("e"), F.col("chunks"))
+    held = routed.join(chunks, "leaf").select("leaf", in_chunk.alias("chunk"), "ids", "e")
     sent = visits.join(chunks, "leaf").select(
         "leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "query", "e")
 
@@ -200,12 +202,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
 
         found = {"query": [], "id": [], "score": []}
         if len(asking) and len(there):
-            ids = there["id"].to_numpy()
+            x = np.stack(there["e"].to_numpy()).astype(np.float64)
+            ids, at = np.concatenate(there["ids"].to_numpy()), np.repeat(np.arange(len(x)), there["ids"].map(len))
             order = np.argsort(ids, kind="stable")
-            ids, x = ids[order], np.stack(there["e"].to_numpy())[order].astype(np.float64)
+            ids, at = ids[order], at[order]
+            repeated = (ids[1:] == ids[:-1]).any()
             for q, e in zip(asking["query"], asking["e"]):
-                d = np.sqrt(((x - np.asarray(e, np.float64)) ** 2).sum(1))
-                best = np.argsort(d, kind="stable")[:KEEP]
+                d = np.sqrt(((x - np.asarray(e, np.float64)) ** 2).sum(1))[at]
+                best = np.argsort(d, kind="stable")
+                if repeated:
+                    best = best[np.sort(np.unique(ids[best], return_index=True)[1])]
+                best = best[:KEEP]
                 found["query"] += [q] * len(best)
                 found["id"] += ids[best].tolist()
                 found["score"] += d[best].tolist()
@@ -215,12 +222,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
             .applyInPandas(rerank, "query long, id long, score double"))
     best = (near.groupBy("query", "id").agg(F.min("score").alias("score"))
             .withColumn("_k", F.row_number().over(W.partitionBy("query").orderBy("score", "id"))).filter(F.col("_k") <= KEEP)
-            .join(all_points.select("id", "ids"), "id")
-            .groupBy("query").agg(F.array_sort(F.flatten(F.collect_list(
-                F.transform("ids", lambda i: F.struct("score", i.alias("vec_id")))))).alias("near")))
-    own = F.filter("near", lambda x: x["vec_id"] != F.col("query_id"))
-    return (asked.join(best, "query").select("query_id", F.posexplode(F.slice(own, 1, k)).alias("rank", "x"))
-            .select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score")))
+            .groupBy("query").agg(F.collect_list(F.struct("id", "score")).alias("near")))
+    # An id that asks with several vectors has one list.
+    found = (asked.join(best, "query").select("query_id", F.explode("near").alias("x")).filter(F.col("x.id") != F.col("query_id"))
+             .groupBy("query_id", F.col("x.id").alias("vec_id")).agg(F.min("x.score").alias("score")))
+    return (found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))).filter(F.col("rank") <= k)
+            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
 
 def neighbours(vectors: DataFrame) -> DataFrame:

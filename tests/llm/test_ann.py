@@ -65,3 +65,16 @@ def test_a_common_vector(spark):
     got = run(df)
     assert got[0] == [(0.0, j) for j in range(3, 33, 3)] == want[0] and got[300] == want[300]
     assert sum([j for _, j in got[q]] == [j for _, j in want[q]] for q in want) >= 0.9 * len(want)
+
+
+def test_repeated_rows_and_ids(spark):
+    common = [(i, [1.0, 0.0]) for i in range(0, 1100, 100)]
+    df = spark.createDataFrame(common + [(7, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    once = run(df)
+    assert [i for _, i in once[0]] == list(range(100, 1100, 100))
+    assert run(df.union(df)) == once
+    assert run(df.union(spark.createDataFrame([common[0]] * 20, df.schema))) == once
+    # An id with several vectors is listed once, at the least distance, and has one list of its own.
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 4.0]), (3, [0.0, 5.0]), (3, [5.0, 0.0]), (4, [0.0, 5.0]), (5, [2.0, 0.0])]
+    got = run(spark.createDataFrame(rows + [(9, [1.0, 0.1 * j]) for j in range(1, 30)], df.schema))
+    assert [i for _, i in got[0]] == [9, 3, 4, 5] and [round(s, 4) for s, _ in got[0]] == [0.1, 1.0, 1.0, 1.0]
