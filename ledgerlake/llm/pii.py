@@ -8,6 +8,11 @@ its validator holds. Any other kind also needs a score of `THRESHOLD`:
     score = prior + CHECKSUM_WEIGHT (checksum kinds) + CONTEXT_WEIGHT (a
             context word within CONTEXT_CHARS code points of the span)
 
+An IBAN is not delimited by its pattern: capitals and digits may follow it. Every
+word that can start one is tried with every word end up to 34 characters on;
+the checksum decides, the country's length settles a tie, and no other is
+sought before the end of a confirmed one.
+
 Defined cases: a null or empty text has no spans; spans of different kinds
 may overlap and are all reported; repeated rows give repeated results; an
 empty table gives an empty result; other columns of the input pass through
@@ -16,6 +21,7 @@ empty table gives an empty result; other columns of the input pass through
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -28,6 +34,11 @@ THRESHOLD = 0.6
 CHECKSUM_WEIGHT = 0.4
 CONTEXT_WEIGHT = 0.4
 CONTEXT_CHARS = 40
+IBAN_LENGTHS = dict(re.findall("([A-Z]{2})([0-9]{2})", """
+    AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22
+    GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22
+    MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29
+    VA22 VG24 XK20"""))
 _BLOCK = 256  # spans per block of the two-level running sum
 
 
@@ -72,6 +83,34 @@ def _iban(m: Column) -> Column:
     return bind(F.regexp_replace(m, " ", ""), lambda c: F.length(c).between(15, 34) & mod97(c))
 
 
+def _ibans(text: Column, pattern: str) -> Column:
+    """array<struct<start, m>> of the confirmed IBANs. `pattern` matches a start; its group holds
+    what may follow, up to 34 characters without spaces, and one character more."""
+    lengths = F.create_map(*[F.lit(v) for k, n in IBAN_LENGTHS.items() for v in (k, int(n))])
+
+    def longest(s: Column) -> Column:
+        ends = F.filter(F.sequence(F.lit(15), F.greatest(F.length(s), F.lit(15))), lambda n: (
+            F.substr(s, n, F.lit(1)).rlike("[A-Z0-9]") & ~F.substr(s, n + 1, F.lit(1)).rlike("[A-Za-z0-9]")))
+        valid = F.filter(F.transform(ends, lambda n: F.substr(s, F.lit(1), n)), _iban)
+        ranked = F.transform(valid, lambda m: F.struct(F.coalesce(
+            F.length(F.regexp_replace(m, " ", "")) == lengths[F.substr(m, F.lit(1), F.lit(2))], F.lit(False)).alias("known"),
+            F.length(m).alias("n"), m.alias("m")))
+        return F.array_max(ranked)["m"]
+
+    tails = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    tried = F.zip_with(_matches(text, pattern), tails, lambda x, t: F.struct(x["start"].alias("start"), longest(F.concat(x["m"], t)).alias("m")))
+
+    def apart(found: Column) -> Column:
+        end = lambda x: x["start"] + F.length(x["m"])
+        overlaps = F.transform(found, lambda x, i: F.coalesce(x["start"] < end(F.get(found, i - 1)), F.lit(False)))
+        none = F.struct(F.lit(0).alias("at"), F.slice(found, 1, 0).alias("kept"))
+        step = lambda a, x: F.when(x["start"] < a["at"], a).otherwise(
+            F.struct(end(x).alias("at"), F.concat(a["kept"], F.array(x)).alias("kept")))
+        return F.when(F.exists(overlaps, lambda o: o), F.aggregate(found, none, step, lambda a: a["kept"])).otherwise(found)
+
+    return bind(F.filter(tried, lambda x: x["m"].isNotNull()), apart)
+
+
 def _ssn(m: Column) -> Column:
     return ~m.rlike("^(?:000|666|9)") & ~m.rlike("^...-00") & ~m.rlike("0000$")
 
@@ -86,6 +125,7 @@ class Detector:
     prior: float = 0.6
     context: tuple[str, ...] = field(default=())
     alone: str = ""  # a character class that must not stand before or after the span
+    within: Callable[[Column, str], Column] | None = None  # finds the valid spans from the text where the pattern gives starts only
 
 
 # The base kinds are fixed by the contract, in the order in which it lists
@@ -101,8 +141,8 @@ DETECTORS = (
              context=("card", "visa", "credit", "payment")),
     Detector("phone", r"\+[0-9][\x20().0-9-]+[0-9]", _phone, base=True, prior=0.7,
              context=("phone", "call", "tel", "mobile")),
-    Detector("iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", _iban,
-             checksum=True, prior=0.4, context=("iban", "account", "bank"), alone="[A-Za-z0-9]"),
+    Detector("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,30}.?))", _iban,
+             checksum=True, prior=0.4, context=("iban", "account", "bank"), alone="[A-Za-z0-9]", within=_ibans),
     Detector("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", _ssn, prior=0.3,
              context=("ssn", "social security"), alone="[0-9-]"),
     Detector("secret", r"[0-9a-f]{32,}+", _always, prior=0.3,
@@ -152,7 +192,8 @@ def _detect(text: Column, d: Detector, order: int) -> Column:
         return F.struct(start.alias("start"), F.lit(order).alias("ord"), end.alias("end"), F.lit(d.kind).alias("kind"),
                         F.least(F.round(score, 4), F.lit(1.0)).alias("score"))
 
-    kept = F.transform(F.filter(_matches(text, d.pattern), lambda x: d.valid(x["m"])), span)
+    found = d.within(text, d.pattern) if d.within else F.filter(_matches(text, d.pattern), lambda x: d.valid(x["m"]))
+    kept = F.transform(found, span)
     if d.alone:
         free = lambda c: ~F.coalesce(c, F.lit("")).rlike(d.alone)
         kept = F.filter(kept, lambda s: (free(F.when(s["start"] > 0, F.substr(text, s["start"], F.lit(1)))))

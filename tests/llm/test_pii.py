@@ -90,3 +90,17 @@ def test_empty_and_clashing(spark, make_docs):
     assert pii.pii_digest(df.limit(0)).count() == 0
     both = pii.find_pii(df.withColumn("pii", F.lit(1)).union(df.withColumn("pii", F.lit(1))))
     assert [len(r.pii) for r in both.collect()] == [1, 1]
+
+
+def test_ibans_among_capitals_and_digits(make_docs):
+    gb, de, no = "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "NO93 8601 1117 947"
+    texts = [f"IBAN {gb} BIC WESTGB2L", f"IBAN {de} EUR 500", f"{de} {gb}", f"{gb} {de} {no} X", f"AB12 CODE {de} A", f"{de}5", f"{de}x {no}, A",
+             f"é😀 {no}\n12", f"DE00 3704 0044 0532 0130 00 {no} {no}", f"A{de} B", f"{gb} ref", " ".join([de] * 300), "AB12 " * 2_000]
+    want = [[gb], [de], [de, gb], [gb, de, no], [de], [], [no], [no], [no, no], [], [gb], [de] * 300, []]
+    df = make_docs(texts)
+    got = result(df)
+    for i, (t, w) in enumerate(zip(texts, want)):
+        spans = [s.split(":") for s in got[i].spans.split(",") if s.startswith("iban")]
+        assert [t[int(a):int(b)] for _, a, b in spans] == w and got[i].n_iban == len(w), i
+    clean = pii.find_pii(df.filter("doc_id < 2")).orderBy("doc_id").select(pii.redact(F.col("text"), F.col("pii")).alias("t"))
+    assert [r.t for r in clean.collect()] == ["IBAN [IBAN] BIC WESTGB2L", "IBAN [IBAN] EUR 500"]
