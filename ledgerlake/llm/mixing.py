@@ -172,12 +172,13 @@ def mixed_texts(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     at least c times, with the white space that follows each; copies without
     words vanish. Columns stay, n_chars counts the new text."""
     m = mix(docs, block).filter(F.size("pieces") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("_order").alias("_o"), "size", "pieces")
-    # Equal rows are one text: their pieces join one list.
-    drawn = m.groupBy("_id", "_o").agg(F.flatten(F.collect_list("pieces")).alias("pieces"))
-    texts = docs.withColumn("_o", F.xxhash64(F.lit(SEED), "doc_id", "text")).dropDuplicates(["doc_id", "_o"])
+        F.col("doc_id").alias("_id"), F.col("_order").alias("_o"), F.col("source").alias("_s"), "size", "pieces")
+    # Equal rows of a source are one text: their pieces join one list.
+    drawn = m.groupBy("_id", "_o", "_s").agg(F.flatten(F.collect_list("pieces")).alias("pieces"))
+    texts = docs.withColumn("_o", F.xxhash64(F.lit(SEED), "doc_id", "text")).dropDuplicates(["doc_id", "_o", "source"])
     spaced = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    copies = (texts.alias("d").join(drawn.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m._id")) & (F.col("d._o") == F.col("m._o")))
+    same = F.col("d.doc_id").eqNullSafe(F.col("m._id")) & (F.col("d._o") == F.col("m._o")) & F.col("d.source").eqNullSafe(F.col("m._s"))
+    copies = (texts.alias("d").join(drawn.alias("m"), same)
               .select("d.*", "m.pieces", spaced.alias("_w"))
               .withColumn("_c", F.explode(F.sequence(F.lit(1), F.lit(MAX_EPOCHS)))))
     part = F.filter("pieces", lambda p: p["n"] >= F.col("_c"))

@@ -72,3 +72,14 @@ def test_texts_hold_the_taken_words(documents):
     got = {r.doc_id: r.n for r in out.groupBy("doc_id").agg(F.sum(F.size(F.split(F.trim(F.translate("text", "\t\n\x0b\x0c\r", "     ")), " +"))).alias("n")).collect()}
     want = {r.doc_id: r.taken for r in mixing.mix_digest(documents).collect() if r.taken}
     assert got == want
+
+
+def test_a_row_with_two_sources(make_docs):
+    text = " ".join(f"w{i}" for i in range(400))
+    df = make_docs([(1, text, "en", "a"), (1, text, "en", "b"), (1, text, "en", None), (2, text, "en", "a")])
+    taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + (p["hi"] - p["lo"]) * p["n"])
+    want = {(r.doc_id, r.source): r.n for r in mixing.mix(df).select("doc_id", "source", taken.alias("n")).collect() if r.n}
+    got = {}
+    for r in mixing.mixed_texts(df).collect():
+        got[r.doc_id, r.source] = got.get((r.doc_id, r.source), 0) + len(r.text.split())
+    assert {(1, "a"), (1, "b"), (1, None)} & want.keys() and len(want) > 1 and got == want
