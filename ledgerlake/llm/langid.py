@@ -33,6 +33,7 @@ from ledgerlake.llm.common import held_out
 BUCKETS = 1 << 13
 ORDERS = (1, 2, 3)
 PER_LANG = 1500
+PARTS = 64
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 2e-4, 1e-4
 CALIBRATION_PART = 5  # one in so many sample documents sets the temperature
@@ -143,15 +144,23 @@ class LanguageModel:
         return self.langs[best], float(p[best] / p.sum())
 
 
+def first_rows(known: DataFrame, per_lang: int) -> DataFrame:
+    """doc_id, lang and the hash of the text (_t) of the `per_lang` rows of each language with the smallest hash of their id."""
+    order = ["_h", "doc_id", "_t"]
+    rows = known.select("doc_id", "lang", F.xxhash64("text").alias("_t"), F.xxhash64("doc_id").alias("_h"))
+    # Each part of a language passes on as many first, so no task holds a language.
+    for part in ([F.pmod(F.xxhash64("doc_id", "_t"), F.lit(PARTS))], []):
+        first = W.partitionBy("lang", *part).orderBy(*order)
+        rows = rows.withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= per_lang).drop("_k")
+    return rows.drop("_h").distinct()
+
+
 def train(docs: DataFrame, per_lang: int = PER_LANG, buckets: int = BUCKETS) -> LanguageModel:
     known = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     df, n = document_frequencies(known, buckets)
     idf = np.log((1 + n) / (1 + df)) + 1
-    # The limit is taken before the shuffle too (a window group limit), so no task holds a language.
-    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    ids = (known.select("doc_id", "lang", F.xxhash64("text").alias("_t"), F.row_number().over(first).alias("_k"))
-           .filter(F.col("_k") <= per_lang).drop("_k").distinct())
+    ids = first_rows(known, per_lang)
     # At most per_lang rows a language, so the ids may be broadcast and texts stay where they are.
     sample = (known.withColumn("_t", F.xxhash64("text")).join(F.broadcast(ids), ["doc_id", "lang", "_t"], "left_semi")
               .dropDuplicates(["doc_id", "lang", "_t"]))

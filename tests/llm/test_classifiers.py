@@ -139,3 +139,16 @@ def test_language_edges(make_docs, edge_texts):
     assert all((got[i].lang_pred == "und") == (not letters(t)) for i, t in enumerate(edge_texts))
     assert {r.lang_pred for r in langid.languages(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert langid.languages(df.limit(0)).count() == 0
+
+
+def test_no_window_over_a_whole_language(spark):
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"),
+                                    F.when(F.col("id") % 10 == 0, "de").otherwise("en").alias("lang"))
+    ids = langid.first_rows(df, 1500)
+    first = df.withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id")
+    want = {r.doc_id for x in ("de", "en") for r in first.filter(F.col("lang") == x).limit(1500).collect()}
+    assert {r.doc_id for r in ids.collect()} == want and len(want) == 3000
+    # The window by language reads what a window by parts of a language has passed on.
+    plan = ids._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window [" in line]
+    assert len(windows) == 2 and ", [lang" in windows[0] and "_w0" not in windows[0].split(", [lang")[1].split("]")[0] and windows[0] != windows[1]
