@@ -43,7 +43,7 @@ MAX_STORED = 60_000  # words of which a task keeps the features
 L1 = 2e-4
 CF_WEIGHT = 1.0
 STEPS, ROUNDS = 200, 5
-SCREEN_Z = 1.5
+SCREEN_Z = 1.0
 PREDICT_AT = 0.3
 
 # Identity terms; a term is swapped for the others of its list.
