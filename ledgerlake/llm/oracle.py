@@ -55,7 +55,8 @@ FROM d LEFT JOIN z ON z.doc_id = d.doc_id GROUP BY d.doc_id"""
 _JACCARD = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^ 	-]+') AS ws FROM documents),
+                                    '[^ 	-
+]+') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
              ELSE [array_to_string(ws[i:i + 4], ' ') for i in range(1, len(ws) - 3)] END) AS h FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
@@ -67,5 +68,21 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(m.y, w
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS y FROM r GROUP BY x) m USING (doc_id)"""
 
 
+_LEXICAL = r"""
+WITH t AS (SELECT doc_id, row_number() OVER () AS r,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM t WHERE len(ts) > 0),
+o AS (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM t),
+f AS (SELECT r, doc_id, n, term, count(*) AS tf FROM o GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM f, s GROUP BY term),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+c AS (SELECT i.item_id, f.r, any_value(f.doc_id) AS doc_id,
+             sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 8 * (10 + (90 * f.n * s.n_docs) // s.n_terms))))::BIGINT AS score
+      FROM i JOIN f USING (term) JOIN w USING (term) CROSS JOIN s GROUP BY i.item_id, f.r),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM c WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM k WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_pii": _pii(), "op7_jaccard_join": _JACCARD}
+    return {"op1_pii": _pii(), "op7_jaccard_join": _JACCARD, "op13_lexical_search": _LEXICAL}

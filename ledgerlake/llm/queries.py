@@ -7,7 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import ann, bpe, jaccard_join, langid, mixing, pii, quality_mil, quality_rules, token_counts, toxicity
+from ledgerlake.llm import (
+    ann,
+    bpe,
+    jaccard_join,
+    langid,
+    lexical_search,
+    mixing,
+    periodic_runs,
+    pii,
+    quality_mil,
+    quality_rules,
+    token_counts,
+    toxicity,
+)
 from ledgerlake.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -54,6 +67,14 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
@@ -65,4 +86,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_ann": op10_ann,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op13_lexical_search": op13_lexical_search,
 }
