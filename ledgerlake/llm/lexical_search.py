@@ -182,10 +182,13 @@ class BestOfItems:
 
 
 def _score_block(found: DataFrame, postings: Postings, items: list, kind: str, k: int) -> DataFrame:
-    shared = found.sparkSession.sparkContext.broadcast((postings, items))
+    # Plain values: a worker may not have this module.
+    shared = found.sparkSession.sparkContext.broadcast((vars(postings), items))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        postings, items = shared.value
+        values, items = shared.value
+        postings = Postings.__new__(Postings)
+        vars(postings).update(values)
         best = BestOfItems(len(items), k)
         for b in batches:
             row, term, tf = _unpacked(b.column(0))

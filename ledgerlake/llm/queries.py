@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import (
     ann,
+    bloom_lm,
     bpe,
     jaccard_join,
     langid,
@@ -71,6 +72,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.corpus_scores(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -87,5 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_ann": op10_ann,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_bloom_lm": op12_bloom_lm,
     "op13_lexical_search": op13_lexical_search,
 }
