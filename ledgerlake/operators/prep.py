@@ -5,16 +5,15 @@ Numeric pipeline: exact median imputation (an all-missing column imputes 0)
 (linear interpolation) → standard scaling with the population standard
 deviation (a constant column is divided by 1).
 
-The three fits depend on each other (quantiles of imputed values, moments
-of clipped values), so the parameters are a chain of three single-row
-aggregates over the training rows; each returns a bounded row (a few
-numbers per feature) that the next pass uses as literals. The pyspark.ml
-estimators below persist those values with the standard ML writers.
+The fits depend on each other (quantiles of imputed values, moments of
+clipped values): medians and quantiles come from one radix selection over the training
+rows, the moments from one aggregate that uses them as literals. Each returns a
+few numbers per feature. The pyspark.ml estimators below persist those values
+with the standard ML writers.
 
 Quantiles: `exact=True` (default) finds exact order statistics with
-bounded per-task state (`operators/quantiles.py`: sketch bracket, exact
-counts, running count inside the bracket); `exact=False` uses the sketch
-alone (`percentile_approx`, rank error 1/accuracy, one pass).
+state independent of the rows (`operators/quantiles.py`); `exact=False` uses
+`percentile_approx` (rank error 1/accuracy, one pass for each fit).
 """
 
 from __future__ import annotations
@@ -25,8 +24,17 @@ from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols, Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.constants import (
@@ -37,50 +45,37 @@ from ledgerlake.constants import (
     MIN_CATEGORY_FREQUENCY,
 )
 from ledgerlake.functions import categorical_clean, clip
-from ledgerlake.operators.quantiles import exact_quantile_row
+from ledgerlake.operators.quantiles import imputed_quantiles
+from ledgerlake.session import ensure_checkpoint_dir
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon
 APPROX_ACCURACY = 100000
 
 
-def _median(c: Column, exact: bool) -> Column:
-    return F.median(c) if exact else F.percentile_approx(c, 0.5, APPROX_ACCURACY)
-
-
-def _quantiles(c: Column, probs: list[float], exact: bool) -> Column:
-    if exact:
-        return F.percentile(c, probs)
-    return F.percentile_approx(c, probs, APPROX_ACCURACY)
-
-
 class NumericParams:
     """Fitted parameters of the numeric pipeline.
 
-    Three aggregate passes over the training rows, each returning ONE row
-    (a handful of numbers per feature); the next pass uses the previous
-    row's values as literals, so every plan stays small and every
-    expression compiles into whole-stage codegen."""
+    A few passes over the training rows, each returning a handful of
+    numbers per feature; the next pass uses them as literals, so every plan
+    stays small and every expression compiles into whole-stage codegen."""
 
     def __init__(self, train: DataFrame, cols: list[str], lower: float = CLIP_LOWER,
                  upper: float = CLIP_UPPER, exact: bool = True):
         self.cols = list(cols)
-        # Three passes over the same rows: keep the projected training columns
+        # Several passes over the same rows: keep the projected training columns
         # (MEMORY_AND_DISK, recomputable from lineage if an executor is lost).
         cached = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if cached.isEmpty():
                 raise ValueError("the training part has no rows to fit on")
             if exact:
-                med = {c: v[0] for c, v in exact_quantile_row(cached, cols, [0.5]).items()}
-            else:
-                row = cached.agg(*[_median(F.col(c), False).alias(c) for c in cols]).first()
-                med = {c: row[c] for c in cols}
-            self.median = {c: (0.0 if med[c] is None else float(med[c])) for c in cols}
-            if exact:
-                q = exact_quantile_row(cached, cols, [lower, upper], exprs={c: self.imputed(c) for c in cols})
+                found = imputed_quantiles(cached, cols, [lower, upper])
+                self.median = {c: found[c][0] for c in cols}
+                q = {c: found[c][1] for c in cols}
             else:
-                row = cached.agg(*[_quantiles(self.imputed(c), [lower, upper], False).alias(c) for c in cols]).first()
-                q = {c: row[c] for c in cols}
+                med = cached.agg(*[F.percentile_approx(c, 0.5, APPROX_ACCURACY).alias(c) for c in cols]).first()
+                self.median = {c: (0.0 if med[c] is None else float(med[c])) for c in cols}
+                q = cached.agg(*[F.percentile_approx(self.imputed(c), [lower, upper], APPROX_ACCURACY).alias(c) for c in cols]).first()
             self.lower = {c: float(q[c][0]) for c in cols}
             self.upper = {c: float(q[c][1]) for c in cols}
             mom = cached.agg(*[F.avg(self.clipped(c)).alias(f"m{i}") for i, c in enumerate(cols)],
@@ -178,25 +173,42 @@ class NumericPrepModel(Model, HasInputCols, HasOutputCols, DefaultParamsReadable
 
 # --- categorical: infrequent pooling + one-hot (M5) ---------------------------
 
+RARE_PARTS = 1024  # groups that a feature's rare levels are dealt to
+
+
 def category_levels(train: DataFrame, cols: list[str], min_frequency: int = MIN_CATEGORY_FREQUENCY) -> DataFrame:
     """(feature, level, train_count, encoded_level, slot) per training level:
     levels seen fewer than `min_frequency` times share one infrequent slot
-    placed after the frequent levels (sorted). One aggregate over an unpivot."""
+    placed after the frequent levels (sorted). One aggregate over an unpivot;
+    only a feature's frequent levels, at most rows / min_frequency, are numbered in one window group."""
     long = train.select([categorical_clean(c, CATEGORY_MISSING).alias(c) for c in cols]) \
         .unpivot([], cols, "feature", "level")
     counts = long.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("train_count"))
     frequent = F.col("train_count") >= min_frequency
-    from pyspark.sql import Window
-    w = Window.partitionBy("feature").orderBy(F.when(frequent, 0).otherwise(1), "level")
-    # A feature's levels form one window group: bounded by its cardinality.
-    n_frequent = F.count_if(frequent).over(Window.partitionBy("feature"))
-    return counts.select(
+    part = F.when(frequent, F.lit(-1)).otherwise(F.pmod(F.xxhash64("level"), F.lit(RARE_PARTS)))
+    w = Window.partitionBy("feature", "_part").orderBy("level")
+    sizes = counts.groupBy("feature").agg(F.count_if(frequent).alias("n_frequent"))  # one row a column
+    return counts.withColumn("_part", part).withColumn("_number", F.row_number().over(w)).join(F.broadcast(sizes), "feature").select(
         "feature", "level", "train_count",
         F.when(frequent, F.col("level")).otherwise(F.lit(INFREQUENT_LEVEL)).alias("encoded_level"),
-        F.when(frequent, F.row_number().over(w) - 1).otherwise(n_frequent).cast("int").alias("slot"),
+        F.when(frequent, F.col("_number") - 1).otherwise(F.col("n_frequent")).cast("int").alias("slot"),
     )
 
 
+def join_levels(df: DataFrame, levels: DataFrame, cols: list[str], prefix: str = "") -> DataFrame:
+    """Adds `<prefix><col>_level` and `<col>_slot` of each column by a left join with its
+    levels: missing where the level was not seen in training. A level occurs once a
+    feature, so no row fans out. Spark broadcasts a level table that it measures below its
+    threshold, and otherwise sorts and merges, splitting hot levels (adaptive skew join)."""
+    for c in cols:
+        key = f"__{c}_key"
+        own = levels.where(F.col("feature") == c).select(
+            F.col("level").alias(key), F.col("encoded_level").alias(f"{prefix}{c}_level"),
+            F.col("slot").alias(f"{prefix}{c}_slot"))
+        df = df.withColumn(key, categorical_clean(c, CATEGORY_MISSING)).join(own, key, "left").drop(key)
+    return df
+
+
 class InfrequentOneHot(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
     """One-hot encoding with infrequent-level pooling; unseen levels → all zeros."""
 
@@ -210,41 +222,66 @@ class InfrequentOneHot(Estimator, HasInputCols, HasOutputCols, DefaultParamsRead
 
     def _fit(self, train: DataFrame) -> InfrequentOneHotModel:
         cols = self.getInputCols()
-        # Level tables are bounded by the categories' cardinality, like a
-        # StringIndexer's label list.
-        rows = category_levels(train, cols, self.getOrDefault("minFrequency")).collect()
-        mapping: dict[str, dict[str, int]] = {c: {} for c in cols}
-        for r in rows:
-            mapping[r["feature"]][r["level"]] = int(r["slot"])
-        return InfrequentOneHotModel(inputCols=cols, outputCols=self.getOutputCols(), levels=json.dumps(mapping))
+        ensure_checkpoint_dir(train.sparkSession)
+        levels = category_levels(train, cols, self.getOrDefault("minFrequency")).checkpoint()
+        sizes = {r["feature"]: int(r["slots"]) for r in
+                 levels.groupBy("feature").agg((F.max("slot") + 1).alias("slots")).collect()}  # one row a column
+        model = InfrequentOneHotModel(inputCols=cols, outputCols=self.getOutputCols(), sizes=json.dumps(sizes))
+        model.levels = levels
+        return model
 
 
-class InfrequentOneHotModel(Model, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
-    levels = Param(Params._dummy(), "levels", "level → slot per feature (JSON)", TypeConverters.toString)
+class InfrequentOneHotModel(Model, HasInputCols, HasOutputCols, MLReadable, MLWritable):
+    """The fitted level table stays a table: it is joined, and saved as Parquet."""
+
+    sizes = Param(Params._dummy(), "sizes", "number of slots per feature (JSON)", TypeConverters.toString)
+    levels: DataFrame
 
     @keyword_only
-    def __init__(self, *, inputCols=None, outputCols=None, levels=None):
+    def __init__(self, *, inputCols=None, outputCols=None, sizes=None):
         super().__init__()
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        mapping = json.loads(self.getOrDefault("levels"))
-        idx_cols, sizes = [], []
-        tmp = df
-        for c in self.getInputCols():
-            m = mapping[c]
-            n_slots = (max(m.values()) + 1) if m else 0
-            lookup = F.create_map(*[x for k, v in m.items() for x in (F.lit(k), F.lit(float(v)))]) if m else None
-            level = categorical_clean(c, CATEGORY_MISSING)
+        sizes = json.loads(self.getOrDefault("sizes"))
+        cols = self.getInputCols()
+        coded = join_levels(df, self.levels, cols, prefix="__fit_")
+        indexed = {}
+        for c in cols:
+            slots = sizes.get(c, 0)
             # Unseen levels take the extra last slot, dropped by the encoder.
-            idx = F.coalesce(lookup[level], F.lit(float(n_slots))) if m else F.lit(0.0)
-            name = f"__{c}_idx"
-            meta = {"ml_attr": {"type": "nominal", "num_vals": n_slots + 1, "name": name}}
-            tmp = tmp.withColumn(name, idx.alias(name, metadata=meta))
-            idx_cols.append(name)
-            sizes.append(n_slots + 1)
-        enc = OneHotEncoder(inputCols=idx_cols, outputCols=self.getOutputCols(), dropLast=True)
-        return enc.fit(tmp).transform(tmp).drop(*idx_cols)
+            meta = {"ml_attr": {"type": "nominal", "num_vals": slots + 1, "name": f"__{c}_idx"}}
+            indexed[f"__{c}_idx"] = F.coalesce(F.col(f"__fit_{c}_slot"), F.lit(slots)).cast("double").alias(f"__{c}_idx", metadata=meta)
+        coded = coded.select(*df.columns, *indexed.values())
+        enc = OneHotEncoder(inputCols=list(indexed), outputCols=self.getOutputCols(), dropLast=True)
+        return enc.fit(coded).transform(coded).drop(*indexed)
+
+    def write(self) -> MLWriter:
+        return _LevelsWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _LevelsReader()
+
+
+class _LevelsWriter(MLWriter):
+    def __init__(self, model: InfrequentOneHotModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        self.model.levels.write.mode("overwrite").parquet(f"{path}/levels")
+
+
+class _LevelsReader(MLReader):
+    def load(self, path: str) -> InfrequentOneHotModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = InfrequentOneHotModel()
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        model.levels = self.sparkSession.read.parquet(f"{path}/levels")
+        return model
 
 
 def feature_assembler(numeric_cols: list[str], vector_cols: list[str], output: str = "features") -> VectorAssembler:

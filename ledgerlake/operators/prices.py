@@ -38,7 +38,6 @@ from ledgerlake.functions import (
     to_double,
 )
 from ledgerlake.operators.standardize import ROW_ORDER
-from ledgerlake.session import ensure_checkpoint_dir
 
 SECURITY = "PERMNO"
 DAY = "DlyCalDt"
@@ -87,17 +86,20 @@ def drop_bad_price_keys(daily: DataFrame) -> DataFrame:
 
 
 def daily_profile(daily_typed: DataFrame) -> DataFrame:
-    """Counts of the price scan, one aggregate pass (part of A12)."""
-    bad = (F.col(SECURITY).isNull() | F.col(DAY).isNull() | F.col("cusip8").isNull()
-           | F.col("month_end").isNull())
-    good = ~bad
-    return daily_typed.agg(
-        F.count(F.lit(1)).alias("crsp_raw_rows"),
-        F.count_if(bad).alias("crsp_rows_dropped_bad_key_or_date"),
-        F.min(F.when(good, F.col(DAY))).alias("crsp_min_date"),
-        F.max(F.when(good, F.col(DAY))).alias("crsp_max_date"),
-        F.count_distinct(F.when(good, F.col(SECURITY))).alias("crsp_unique_permnos"),
-        F.count_distinct(F.when(good, F.col("cusip8"))).alias("crsp_unique_cusip8"),
+    """Counts of the price scan (part of A12). The daily rows are aggregated once,
+    by (security, link key); the distinct counts come from those keys."""
+    good = (F.col(SECURITY).isNotNull() & F.col(DAY).isNotNull() & F.col("cusip8").isNotNull()
+            & F.col("month_end").isNotNull())
+    keys = daily_typed.groupBy(F.when(good, F.col(SECURITY)).alias("s"), F.when(good, F.col("cusip8")).alias("c")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.when(good, F.col(DAY))).alias("first"), F.max(F.when(good, F.col(DAY))).alias("last"))
+    return keys.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("crsp_raw_rows"),
+        # Bad rows share the key without a security.
+        F.coalesce(F.sum(F.when(F.col("s").isNull(), F.col("n"))), F.lit(0)).alias("crsp_rows_dropped_bad_key_or_date"),
+        F.min("first").alias("crsp_min_date"),
+        F.max("last").alias("crsp_max_date"),
+        F.count_distinct("s").alias("crsp_unique_permnos"),
+        F.count_distinct("c").alias("crsp_unique_cusip8"),
     )
 
 
@@ -184,17 +186,15 @@ def join_market(monthly: DataFrame, market: DataFrame) -> DataFrame:
     return out.withColumn(PRICE_TARGET_COL, F.col("target_crsp_return_3m") - F.col("market_return_fwd_3m"))
 
 
-def monthly_features(daily_typed: DataFrame) -> DataFrame:
-    """Typed daily rows → monthly features with market-relative target,
-    before the cusip-month dedupe. The windows and the market average both need
-    the monthly aggregates, so those are staged in the shared checkpoint
-    folder: the daily rows are read and aggregated once."""
-    ensure_checkpoint_dir(daily_typed.sparkSession)
-    return monthly_returns(daily_to_monthly(drop_bad_price_keys(daily_typed)).checkpoint())
+def monthly_aggregates(daily_typed: DataFrame) -> DataFrame:
+    """Typed daily rows → one row per (security, month): the frame that
+    `monthly_returns` reads twice. Stage it (persist it or write it as a
+    table) in between, and the daily rows are read and aggregated once."""
+    return daily_to_monthly(drop_bad_price_keys(daily_typed))
 
 
 def monthly_returns(monthly: DataFrame) -> DataFrame:
     """Monthly aggregates → trailing/forward returns, market series and the
     excess-return target. `monthly` is read twice (windows and market
-    average): pass a written table to avoid recomputing the daily pass."""
+    average): pass a staged frame or written table to avoid recomputing the daily pass."""
     return join_market(trailing_and_forward_returns(monthly), market_series(monthly))

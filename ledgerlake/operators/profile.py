@@ -75,20 +75,17 @@ def top_missing(miss: DataFrame, k: int = TOP_MISSING) -> DataFrame:
 def feature_correlations(df: DataFrame, cols=None) -> DataFrame:
     """Pairwise-complete Pearson correlation of every feature pair (A10).
 
-    Each row is expanded in-pipeline into one (pair, x, y) record per pair,
-    with x and y kept only where both are present, then aggregated by pair:
-    a hash aggregate with one small buffer per pair, combined map-side (at
-    most #pairs rows leave each task). A zero variance gives missing instead
-    of an ANSI divide-by-zero error."""
+    One aggregate over the rows: each pair's co-moment, and the deviations of
+    either feature where the other one is present. A task leaves one row of
+    fixed size; the pairs become rows once there is a single row. A zero
+    variance gives missing instead of an ANSI divide-by-zero error."""
     cols = [c for c in (cols or CORRELATION_FEATURES) if c in df.columns]
     pairs = list(combinations(cols, 2))
-    recs = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                              F.when(F.col(b).isNotNull(), F.col(a)).alias("x"),
-                              F.when(F.col(a).isNotNull(), F.col(b)).alias("y"))
-                     for a, b in pairs])
-    long = df.select(F.inline(recs))
-    return long.groupBy("feature_a", "feature_b").agg(
-        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("corr"))
+    beside = lambda a, b: F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a)))
+    wide = df.agg(*[F.try_divide(F.covar_pop(a, b), beside(a, b) * beside(b, a)).alias(str(i)) for i, (a, b) in enumerate(pairs)])
+    name = lambda side: F.element_at(F.array(*[F.lit(p[side]) for p in pairs]), F.col("pair").cast("int") + 1)
+    return (wide.unpivot([], [str(i) for i in range(len(pairs))], "pair", "corr")
+            .select(name(0).alias("feature_a"), name(1).alias("feature_b"), "corr"))
 
 
 def plot_sample(df: DataFrame, n: int = PLOT_SAMPLE_SIZE, seed: int = RANDOM_STATE,

@@ -59,16 +59,19 @@ def split_notes(df: DataFrame, date: str = DATE_COL) -> DataFrame:
 def split_summary(df: DataFrame, label: str = "split", target: str = "target_next_niq_growth",
                   entity: str = "gvkey_str", date: str = DATE_COL, security: str | None = None) -> DataFrame:
     """Per split: rows, distinct companies (and securities), first/last date,
-    target mean and exact median (A7, A8)."""
-    aggs = [F.count(F.lit(1)).alias("rows"), F.count_distinct(entity).alias("companies")]
+    target mean and exact median (A7, A8). The medians are searched when this is called."""
+    # Entities (and securities) first, so that distinct counts and sums are over their keys, not over the rows.
+    ids = [entity, *([security] if security else [])]
+    keys = df.groupBy(label, *ids).agg(
+        F.count(F.lit(1)).alias("n"), F.min(date).alias("first"), F.max(date).alias("last"),
+        F.sum(target).alias("sum"), F.count(target).alias("known"))
+    aggs = [F.sum("n").alias("rows"), F.count_distinct(entity).alias("companies")]
     if security:
         aggs.append(F.count_distinct(security).alias("permnos"))
     aggs += [
-        date_string(F.min(date)).alias("start_date"),
-        date_string(F.max(date)).alias("end_date"),
-        F.avg(target).alias("target_mean"),
+        date_string(F.min("first")).alias("start_date"),
+        date_string(F.max("last")).alias("end_date"),
+        F.try_divide(F.sum("sum"), F.sum("known")).alias("target_mean"),
     ]
-    # Exact median with bounded per-task state; joined on the split label
-    # (two aggregates of at most three rows each).
     med = grouped_median(df.select(label, target), [label], [target]).withColumnRenamed(target, "target_median")
-    return df.groupBy(label).agg(*aggs).join(med, label, "left")
+    return keys.groupBy(label).agg(*aggs).join(med, label, "left")

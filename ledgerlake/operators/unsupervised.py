@@ -1,21 +1,17 @@
 """PCA and k-means cluster features fitted on the training split.
 
-Fitting uses pyspark.ml (distributed: PCA reduces a d×d covariance with a
-tree aggregate; k-means iterates over the cached training matrix). The
-fitted models are small (d loadings per component, k centres) and are
-applied through their pyspark.ml transforms, one JVM expression each; no
-Python runs per row.
+The covariance of the scaled features is one aggregate (d (d + 1) / 2
+co-moments); its eigenvectors are a d x d problem on the driver. k-means is
+`operators/kmeans.py`. The fitted values (d loadings per component, k
+centres) are applied as column expressions: no Python runs per row.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +21,11 @@ from ledgerlake.constants import (
     N_PCA_COMPONENTS,
     RANDOM_STATE,
 )
+from ledgerlake.operators.kmeans import fit_kmeans
 from ledgerlake.operators.prep import NumericPrep, NumericPrepModel
 from ledgerlake.operators.quantiles import grouped_median
 
-_VEC = "__cluster_vec"
-TRAINING_PARTITIONS = 8
+SHIFT_TOLERANCE = 1e-4  # of the mean variance: the sum of squared centre shifts at which a fit stops
 
 
 @dataclass
@@ -38,14 +34,12 @@ class ClusterArtifacts:
     prep: NumericPrepModel
     pca_mean: list[float]
     pca_components: list[list[float]]
+    explained_variance: list[float]
     explained_variance_ratio: list[float]
     centers: list[list[float]]
     training_cost: float
     restarts: list[float] = field(default_factory=list)
-    pca_model: PCAModel | None = None
-    kmeans_model: KMeansModel | None = None
-    pca_signs: list[float] = field(default_factory=list)
-    label_of_center: list[int] = field(default_factory=list)
+    iterations: list[int] = field(default_factory=list)
 
 
 def _scaled_names(cols: list[str]) -> list[str]:
@@ -59,99 +53,89 @@ def fix_signs(components: list[list[float]]) -> tuple[list[list[float]], list[fl
     return [[s * v for v in comp] for s, comp in zip(signs, components)], signs
 
 
-def kmeans_tolerance(k: int, mean_variance: float, rel_tol: float = 1e-4) -> float:
-    """Per-centre shift bound equivalent to stopping when the total squared
-    centre shift is at most rel_tol × mean feature variance: if every one of
-    the k centres moves less than sqrt(rel_tol · var / k), the sum of squared
-    shifts is below rel_tol · var."""
-    return max(1e-12, (rel_tol * mean_variance / k) ** 0.5)
+def covariance(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(feature_a, feature_b, mean_a, mean_b, covariance) for a <= b: one aggregate over the
+    rows whose buffer, co-moments that merge map-side, does not grow with them."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    wide = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+                  *[F.covar_samp(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    at = {c: i for i, c in enumerate(cols)}
+    rows = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"m{at[a]}").alias("mean_a"),
+                              F.col(f"m{at[b]}").alias("mean_b"), F.col(f"c{i}").alias("covariance")) for i, (a, b) in enumerate(pairs)])
+    return wide.select(F.inline(rows))
+
 
+def _moments(df: DataFrame, cols: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Means and covariance matrix (d (d + 1) / 2 numbers on the driver)."""
+    at = {c: i for i, c in enumerate(cols)}
+    mean, matrix = np.zeros(len(cols)), np.zeros((len(cols), len(cols)))
+    for r in covariance(df, cols).collect():
+        i, j = at[r.feature_a], at[r.feature_b]
+        mean[i], mean[j] = r.mean_a, r.mean_b
+        matrix[i, j] = matrix[j, i] = r.covariance or 0.0  # one row has none
+    return mean, matrix
 
-def _fit_kmeans(train_vec: DataFrame, k: int, seeds: list[int], parallelism: int, tol: float):
-    def one(seed):
-        m = KMeans(k=k, seed=seed, featuresCol=_VEC, predictionCol="__cluster_idx", maxIter=300, tol=tol).fit(train_vec)
-        return m.summary.trainingCost, seed, [list(map(float, c)) for c in m.clusterCenters()], m
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(one, seeds))
-    return results
+def principal_components(matrix: np.ndarray, n_components: int) -> tuple[list[list[float]], list[float], list[float]]:
+    """Sign-fixed unit eigenvectors of a covariance matrix by falling eigenvalue, the eigenvalues, and their shares of the trace."""
+    values, vectors = np.linalg.eigh(matrix)
+    order = np.argsort(values)[::-1][:n_components]
+    components, _ = fix_signs(vectors[:, order].T.tolist())
+    trace = float(np.trace(matrix))
+    return components, values[order].tolist(), [float(v) / trace if trace > 0 else 0.0 for v in values[order]]
 
 
 def fit_cluster_features(train: DataFrame, cols: list[str], k: int = N_CLUSTERS,
                          restarts: int = N_CLUSTER_RESTARTS, seed: int = RANDOM_STATE,
-                         n_components: int = N_PCA_COMPONENTS, parallelism: int = N_CLUSTER_RESTARTS,
-                         exact: bool = True, partitions: int = TRAINING_PARTITIONS) -> ClusterArtifacts:
+                         n_components: int = N_PCA_COMPONENTS, exact: bool = True) -> ClusterArtifacts:
     """Fit the numeric pipeline, PCA and k-means on the training rows only.
 
-    k-means runs `restarts` seeded fits (concurrent Spark jobs over one
-    cached matrix) and keeps the lowest within-cluster cost; centres are
-    relabelled in lexicographic order so that labels are stable.
-
-    Spark's k-means draws its initial centres by partition and position, so
-    the rows are dealt by a hash of their values into `partitions` partitions
-    and sorted there: the fit then depends on the rows, not on how they were
-    laid out. For large inputs set `partitions` to about bytes / 64 MB."""
+    k-means keeps the cheapest of `restarts` seeded fits, which share each scan of the
+    rows; centres are put in lexicographic order so that labels are stable. The
+    fit depends on the rows, not on how they are laid out."""
     scaled = _scaled_names(cols)
-    train = (train.select(*cols).repartition(partitions, *cols).sortWithinPartitions(*cols)
-             .persist(StorageLevel.MEMORY_AND_DISK))  # read by every fit below
+    train = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)  # read by every fit below
     prep = NumericPrep(inputCols=cols, outputCols=scaled, exact=exact).fit(train)
-    vec = VectorAssembler(inputCols=scaled, outputCol=_VEC)
-    train_vec = vec.transform(prep.transform(train).select(*scaled)).select(_VEC)
-    train_vec = train_vec.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = prep.transform(train).select(*scaled).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        pca = PCA(k=n_components, inputCol=_VEC, outputCol="__pca").fit(train_vec)
-        raw_comps = [list(map(float, pca.pc.toArray()[:, j])) for j in range(n_components)]
-        comps, signs = fix_signs(raw_comps)
-        evr = [float(x) for x in pca.explainedVariance.toArray()]
-        means, variance = _vector_moments(prep.transform(train), scaled)
-        tol = kmeans_tolerance(k, variance)
-        runs = _fit_kmeans(train_vec, k, [seed + i for i in range(restarts)], min(parallelism, restarts), tol)
+        mean, matrix = _moments(rows, scaled)
+        components, variances, ratios = principal_components(matrix, n_components)
+        fit = fit_kmeans(rows, k, restarts, seed, SHIFT_TOLERANCE * float(np.trace(matrix)) / len(cols))
     finally:
-        train_vec.unpersist()
+        rows.unpersist()
         train.unpersist()
-    best = min(runs, key=lambda r: (r[0], r[1]))
-    order = sorted(range(len(best[2])), key=lambda i: best[2][i])
-    label_of_center = [0] * len(order)
-    for rank, i in enumerate(order):
-        label_of_center[i] = rank
-    return ClusterArtifacts(cols, prep, means, comps, evr, [best[2][i] for i in order], float(best[0]),
-                            [float(r[0]) for r in runs], pca, best[3], signs, label_of_center)
+    return ClusterArtifacts(cols, prep, mean.tolist(), components, variances, ratios, sorted(fit.centers.tolist()),
+                            fit.cost, fit.costs, fit.iterations)
 
 
-def _vector_moments(df: DataFrame, cols: list[str]) -> tuple[list[float], float]:
-    """Per-feature means and the mean per-feature variance, one pass."""
-    row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                 *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(cols)]).first()
-    means = [float(row[f"m{i}"]) for i in range(len(cols))]
-    var = sum(float(row[f"v{i}"] or 0.0) for i in range(len(cols))) / max(1, len(cols))
-    return means, var
+_VEC = "__cluster_vec"
+CLUSTER_OUTPUT_COLUMNS = ["cluster_pca1", "cluster_pca2", "finance_cluster"]
 
 
-CLUSTER_OUTPUT_COLUMNS = ["cluster_pca1", "cluster_pca2", "finance_cluster"]
+def _nearest(vector: Column, centers: list[list[float]]) -> Column:
+    """Number of the nearest centre, the first among equals."""
+    points = F.array(*[F.array(*[F.lit(v) for v in center]) for center in centers])
+    squares = F.transform(points, lambda c: F.aggregate(
+        F.zip_with(vector, c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, x: total + x))
+    return F.get(F.transform(F.array(squares), lambda d: F.array_position(d, F.array_min(d))), F.lit(0)) - 1
 
 
 def add_cluster_features(df: DataFrame, art: ClusterArtifacts, only_where: Column | None = None) -> DataFrame:
-    """Add cluster_pca1..n and finance_cluster (M7, M8) with the fitted
-    pyspark.ml models: scaled features → VectorAssembler → PCAModel →
-    KMeansModel, each a single JVM expression, so predicates on the outputs
-    stay small when Catalyst pushes them down. PCA outputs are centred on
-    the training mean and sign-fixed; cluster indices are renamed by sorted
-    centre. With `only_where`, rows not matching it get missing values."""
-    scaled = _scaled_names(art.features)
-    staged = art.prep.transform(df)
-    staged = VectorAssembler(inputCols=scaled, outputCol=_VEC).transform(staged)
-    staged = art.kmeans_model.transform(art.pca_model.transform(staged))
-    arr = vector_to_array(F.col("__pca"))
+    """Add cluster_pca1..n and finance_cluster (M7, M8) from the fitted values,
+    as expressions over one array of the scaled features. PCA outputs are centred
+    on the training mean. With `only_where`, rows not matching it get missing values."""
+    scaled = art.prep.expressions()
+    staged = df.withColumn(_VEC, F.array(*[scaled[c] for c in _scaled_names(art.features)]))
+    vector = F.col(_VEC)
     outs = {}
     for j, comp in enumerate(art.pca_components):
-        raw = [v * art.pca_signs[j] for v in comp]  # the model's own orientation
-        offset = sum(m * w for m, w in zip(art.pca_mean, raw))
-        outs[f"cluster_pca{j + 1}"] = (arr[j] - F.lit(offset)) * F.lit(art.pca_signs[j])
-    names = F.array(*[F.lit(f"cluster_{r}") for r in art.label_of_center])
-    outs["finance_cluster"] = F.element_at(names, F.col("__cluster_idx") + 1)
+        loadings = F.array(*[F.lit(v) for v in comp])
+        offset = sum(m * w for m, w in zip(art.pca_mean, comp))
+        outs[f"cluster_pca{j + 1}"] = F.aggregate(F.zip_with(vector, loadings, lambda x, w: x * w), F.lit(-offset), lambda t, x: t + x)
+    outs["finance_cluster"] = F.concat(F.lit("cluster_"), _nearest(vector, art.centers).cast("string"))
     if only_where is not None:
         outs = {k: F.when(only_where, v) for k, v in outs.items()}
-    return staged.withColumns(outs).drop(*scaled, _VEC, "__pca", "__cluster_idx")
+    return staged.withColumns(outs).drop(_VEC)
 
 
 def cluster_profile(train_labelled: DataFrame, cols: list[str]) -> DataFrame:
@@ -163,7 +147,34 @@ def cluster_profile(train_labelled: DataFrame, cols: list[str]) -> DataFrame:
             .select("finance_cluster", *[F.bround(F.col(c), 4).alias(c) for c in cols], "row_count"))
 
 
-def explained_variance(spark, art: ClusterArtifacts) -> DataFrame:
-    """PCA explained-variance ratio per component."""
-    return spark.createDataFrame([(j + 1, v) for j, v in enumerate(art.explained_variance_ratio)],
-                                 "component int, explained_variance_ratio double")
+def explained_variance(train_labelled: DataFrame, art: ClusterArtifacts) -> DataFrame:
+    """(component, explained_variance_ratio) measured on the training rows (A14): the variance of
+    each projected component over the summed variance of the scaled features."""
+    scaled = art.prep.expressions()
+    parts = [f"cluster_pca{j + 1}" for j in range(len(art.pca_components))]
+    rows = train_labelled.select(*parts, *[scaled[c].alias(c) for c in _scaled_names(art.features)])
+    total = sum((F.var_samp(c) for c in _scaled_names(art.features)), F.lit(0.0))
+    wide = rows.agg(*[F.try_divide(F.var_samp(p), total).alias(p) for p in parts])
+    return (wide.unpivot([], parts, "name", "explained_variance_ratio")
+            .select(F.replace("name", F.lit("cluster_pca"), F.lit("")).cast("int").alias("component"), "explained_variance_ratio"))
+
+
+def component_residuals(train: DataFrame, art: ClusterArtifacts) -> DataFrame:
+    """(component, eigenvalue, residual): for each loading vector v, the Rayleigh quotient v'Cv and the largest
+    |Cv - v'Cv v|, with the covariance C computed from the training rows."""
+    scaled = art.prep.expressions()
+    names = _scaled_names(art.features)
+    c = covariance(train.select(*[scaled[n].alias(n) for n in names]), names)
+    # Both halves of the symmetric matrix.
+    full = c.select("feature_a", "feature_b", "covariance").union(
+        c.filter("feature_a <> feature_b").select(F.col("feature_b"), F.col("feature_a"), "covariance"))
+    spark = train.sparkSession
+    v = spark.createDataFrame([(j + 1, n, w) for j, comp in enumerate(art.pca_components) for n, w in zip(names, comp)],
+                              "component int, feature string, loading double")
+    product = (full.join(v, F.col("feature_b") == F.col("feature")).groupBy("component", "feature_a")
+               .agg(F.sum(F.col("covariance") * F.col("loading")).alias("cv")))
+    both = product.join(v.withColumnRenamed("feature", "feature_a"), ["component", "feature_a"])
+    value = both.groupBy("component").agg(F.sum(F.col("cv") * F.col("loading")).alias("eigenvalue"))
+    return (both.join(value, "component").groupBy("component")
+            .agg(F.max("eigenvalue").alias("eigenvalue"),
+                 F.max(F.abs(F.col("cv") - F.col("eigenvalue") * F.col("loading"))).alias("residual")))

@@ -23,12 +23,11 @@ def train_rows(model: DataFrame, label: str = "split") -> DataFrame:
     return model.where(F.col(label) == "train")
 
 
-def fit_clusters(model: DataFrame, restarts: int | None = None, exact: bool = True,
-                 parallelism: int = 20) -> tuple[DataFrame, ClusterArtifacts]:
+def fit_clusters(model: DataFrame, restarts: int | None = None, exact: bool = True) -> tuple[DataFrame, ClusterArtifacts]:
     """Fit PCA / k-means on the training rows; label every model row."""
     _, _, cluster_cols = feature_columns(model.columns)
     kw = {"restarts": restarts} if restarts else {}
-    art = fit_cluster_features(train_rows(model), cluster_cols, exact=exact, parallelism=parallelism, **kw)
+    art = fit_cluster_features(train_rows(model), cluster_cols, exact=exact, **kw)
     return add_cluster_features(model, art), art
 
 

@@ -255,6 +255,28 @@ CLUSTER = ["log_assets", "liabilities_to_assets", "debt_to_assets", "equity_to_a
 EPS10 = 10 * 2.220446049250313e-16
 
 
+CATEGORIES = ["costat", "curcdq", "sic2", "sic_division", "calendar_quarter"]
+PRICE_NUMBERS = [
+    "actq", "atq", "cogsq", "dlttq", "lctq", "ltq", "niq", "oibdpq", "saleq", "xsgaq", "capxq_approx", "oancfq_approx",
+    "calendar_year", "calendar_month", "is_calendar_year_end", "book_equity_proxy", "log_assets", "liabilities_to_assets",
+    "debt_to_assets", "equity_to_assets", "current_ratio", "cash_like_to_assets", "roa", "roe_proxy", "profit_margin",
+    "ebitda_margin", "gross_margin", "sgna_to_sales", "asset_turnover", "operating_cf_to_assets", "capex_to_assets",
+    "sales_growth_qoq", "niq_growth_qoq", "asset_growth_qoq", *[f"{c}_missing" for c in CORE],
+    "crsp_obs_days", "crsp_ret_1m", "crsp_ret_3m", "crsp_ret_6m", "crsp_ret_12m", "crsp_vol_1m", "crsp_avg_volume_1m",
+    "crsp_avg_dollar_volume_1m", "crsp_price_last", "crsp_market_cap_last"]
+
+
+def _levels(src: str, cols: list[str]) -> str:
+    """The level table of some categorical columns of `src`."""
+    long = " UNION ALL ".join(f"SELECT '{c}' AS feature, coalesce({c}, 'Unknown') AS level FROM {src}" for c in cols)
+    return (
+        "SELECT feature, level, train_count, CASE WHEN train_count >= 20 THEN level ELSE '__infrequent__' END "
+        "AS encoded_level, CAST(CASE WHEN train_count >= 20 THEN row_number() OVER (PARTITION BY feature ORDER BY "
+        "CASE WHEN train_count >= 20 THEN 0 ELSE 1 END, level) - 1 ELSE count_if(train_count >= 20) OVER "
+        "(PARTITION BY feature) END AS INTEGER) AS slot "
+        f"FROM (SELECT feature, level, count(*) AS train_count FROM ({long}) GROUP BY feature, level)")
+
+
 def _clip(x: str, lo: str, hi: str) -> str:
     return f"CASE WHEN {x} < {lo} THEN {lo} WHEN {x} > {hi} THEN {hi} ELSE {x} END"
 
@@ -487,12 +509,29 @@ def oracle_sql() -> dict[str, str]:
     q["numeric_pipeline"] = chain("m_mom", body=(
         f"SELECT s.gvkey_str, s.datadate, {scaled} FROM q_split s CROSS JOIN m_med md CROSS JOIN m_q qq "
         "CROSS JOIN m_mom mo"))
-    cats = ["costat", "curcdq", "sic2", "sic_division", "calendar_quarter"]
-    long = " UNION ALL ".join(f"SELECT '{c}' AS feature, coalesce({c}, 'Unknown') AS level FROM m_train" for c in cats)
-    q["one_hot_levels"] = chain("m_train", body=(
-        "SELECT feature, level, train_count, CASE WHEN train_count >= 20 THEN level ELSE '__infrequent__' END "
-        "AS encoded_level, CAST(CASE WHEN train_count >= 20 THEN row_number() OVER (PARTITION BY feature ORDER BY "
-        "CASE WHEN train_count >= 20 THEN 0 ELSE 1 END, level) - 1 ELSE count_if(train_count >= 20) OVER "
-        "(PARTITION BY feature) END AS INTEGER) AS slot "
-        f"FROM (SELECT feature, level, count(*) AS train_count FROM ({long}) GROUP BY feature, level)"))
+    std = ", ".join(f"(c.{c} - mo.{c}_mean) / (CASE WHEN mo.{c}_std < {EPS10!r} THEN 1.0 ELSE mo.{c}_std END) AS {c}" for c in CLUSTER)
+    pairs = ", ".join(f"{{'feature_a': '{a}', 'feature_b': '{b}', 'covariance': {R(f'covar_samp({a}, {b})')}}}"
+                      for i, a in enumerate(CLUSTER) for b in CLUSTER[i:])
+    q["pca_covariance"] = chain("m_mom", body=(
+        f"SELECT unnest([{pairs}], recursive := true) FROM (SELECT {std} FROM m_clip c CROSS JOIN m_mom mo)"))
+    q["one_hot_levels"] = chain("m_train", body=_levels("m_train", CATEGORIES))
+    coded = ", ".join(f"{c}.encoded_level AS {c}_level, {c}.slot AS {c}_slot" for c in CATEGORIES)
+    joins = " ".join(f"LEFT JOIN lv {c} ON {c}.feature = '{c}' AND {c}.level = coalesce(s.{c}, 'Unknown')" for c in CATEGORIES)
+    q["one_hot_rows"] = chain("m_train", body=(
+        f"SELECT s.gvkey_str, s.datadate, {coded} FROM q_split s {joins}")).replace(
+            "\nSELECT s.gvkey_str", f",\nlv AS ({_levels('m_train', CATEGORIES)})\nSELECT s.gvkey_str")
+    price = "lt AS (SELECT * FROM l_split WHERE crsp_split = 'train')"
+    q["price_one_hot_levels"] = chain("l_split", body=_levels(
+        "(SELECT * FROM l_split WHERE crsp_split = 'train')", [*CATEGORIES, "primary_exch", "share_type"]))
+    values = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM lt" for c in PRICE_NUMBERS)
+    q["price_numeric_params"] = chain("l_split", body="SELECT feature").replace("\nSELECT feature", f""",
+{price},
+lx AS ({values}),
+lm AS (SELECT feature, coalesce(median(x), 0.0) AS m FROM lx GROUP BY feature),
+li AS (SELECT feature, m, coalesce(x, m) AS x FROM lx JOIN lm USING (feature)),
+lq AS (SELECT feature, quantile_cont(x, 0.01) AS lo, quantile_cont(x, 0.99) AS hi FROM li GROUP BY feature),
+lc AS (SELECT feature, m, lo, hi, {_clip('x', 'lo', 'hi')} AS x FROM li JOIN lq USING (feature))
+SELECT feature, {R('any_value(m)', 4)} AS median, {R('any_value(lo)', 4)} AS lower, {R('any_value(hi)', 4)} AS upper,
+       {R('avg(x)', 4)} AS mean, {R(f'CASE WHEN stddev_pop(x) < {EPS10!r} THEN 1.0 ELSE stddev_pop(x) END', 4)} AS scale
+FROM lc GROUP BY feature""")
     return q

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +18,7 @@ from ledgerlake.constants import (
     CATEGORICAL_FEATURES,
     CLUSTER_FEATURES,
     CORE_NUMERIC_COLUMNS,
+    PRICE_CATEGORICAL_FEATURES,
     PRICE_NUMERIC_FEATURES,
     PRICE_TARGET_COL,
     TARGET_COL,
@@ -28,23 +28,23 @@ from ledgerlake.operators import dedupe as dd
 from ledgerlake.operators import profile as pf
 from ledgerlake.operators.features import feature_columns, model_rows
 from ledgerlake.operators.invalid import invalid_value_audit, treat_invalid_values
-from ledgerlake.operators.prep import category_levels, numeric_params, transform_numeric
+from ledgerlake.operators.prep import category_levels, join_levels, numeric_params, transform_numeric
 from ledgerlake.operators.prices import (
     daily_profile,
-    daily_to_monthly,
-    drop_bad_price_keys,
     join_market,
     market_series,
-    monthly_features,
+    monthly_aggregates,
+    monthly_returns,
     trailing_and_forward_returns,
     type_daily,
 )
 from ledgerlake.operators.split import split_notes, split_summary
 from ledgerlake.operators.standardize import standardize_metrics, standardize_quarterly, type_quarterly
-from ledgerlake.operators.unsupervised import cluster_profile, explained_variance
+from ledgerlake.operators.unsupervised import cluster_profile, component_residuals, covariance, explained_variance
 from ledgerlake.plans import model_frame as mf
 from ledgerlake.plans import prices as pp
 from ledgerlake.plans import quarterly
+from ledgerlake.plans.stages import Stages
 from ledgerlake.sources import fixtures
 from ledgerlake.sources.csv_scan import apply_csv_missing
 from ledgerlake.sources.discovery import discover_source, duplicate_files
@@ -80,22 +80,21 @@ def deduped_q(spark, sf):
     return dd.dedupe_most_complete(typed_q(spark, sf))
 
 
-def _shared(df: DataFrame) -> DataFrame:
-    """A stage read by many queries (and twice inside split queries: once for
-    the cut dates, once for the rows) is persisted; Spark's cache manager
-    matches it by plan, so every query built from the same inputs reuses it.
-    MEMORY_AND_DISK keeps lineage: lost blocks are recomputed."""
-    if df.storageLevel == StorageLevel.NONE:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return df
+STAGES = Stages()
+
+
+def _stage(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A frame read by many queries (and twice inside split queries: once for
+    the cut dates, once for the rows): built and kept once per input."""
+    return STAGES.frame(spark, (fixtures.source_key(spark, sf), name), build)
 
 
 def engineered(spark: SparkSession, sf: str) -> DataFrame:
-    return _shared(quarterly.engineered_panel(raw_q(spark, sf)))
+    return _stage(spark, sf, "engineered", lambda: quarterly.engineered_panel(raw_q(spark, sf)))
 
 
 def model(spark: SparkSession, sf: str) -> DataFrame:
-    return _shared(quarterly.model_frame(engineered(spark, sf)))
+    return _stage(spark, sf, "model", lambda: quarterly.model_frame(engineered(spark, sf)))
 
 
 def train(spark, sf):
@@ -107,23 +106,24 @@ def typed_d(spark, sf):
 
 
 def monthly_raw(spark, sf):
-    return daily_to_monthly(drop_bad_price_keys(typed_d(spark, sf)))
+    """Monthly aggregates, read twice by everything below: the daily rows are scanned once."""
+    return _stage(spark, sf, "monthly", lambda: monthly_aggregates(typed_d(spark, sf)))
 
 
 def monthly_joined(spark, sf):
-    return monthly_features(typed_d(spark, sf))
+    return monthly_returns(monthly_raw(spark, sf))
 
 
 def monthly_final(spark, sf):
-    return _shared(pp.monthly_prices(fixtures.panel_d(spark, sf)))
+    return _stage(spark, sf, "monthly_final", lambda: dd.dedupe_cusip_month(monthly_joined(spark, sf)))
 
 
 def merged(spark, sf):
-    return _shared(pp.linked_panel(engineered(spark, sf), monthly_final(spark, sf)))
+    return _stage(spark, sf, "merged", lambda: pp.linked_panel(engineered(spark, sf), monthly_final(spark, sf)))
 
 
 def price_model(spark, sf):
-    return _shared(pp.price_model_frame(merged(spark, sf)))
+    return _stage(spark, sf, "price_model", lambda: pp.price_model_frame(merged(spark, sf)))
 
 
 def _eng_cols(spark, sf, cols):
@@ -481,12 +481,20 @@ def q_one_hot_levels(spark, sf):
     return category_levels(tr, cats)
 
 
+def q_one_hot_rows(spark, sf):
+    """The training level and slot of every model row's categorical inputs, by joins (M5)."""
+    m = model(spark, sf)
+    cats = [c for c in CATEGORICAL_FEATURES if c in m.columns]
+    coded = join_levels(m, category_levels(mf.train_rows(m), cats), cats)
+    return coded.select(*KEY, *[x for c in cats for x in (f"{c}_level", f"{c}_slot")])
+
+
 _FITS: dict = {}
 
 
 def forget(spark: SparkSession) -> None:
     """Release what queries of this session keep: persisted stages and fitted models."""
-    spark.catalog.clearCache()
+    STAGES.release(spark)
     _FITS.clear()
 
 
@@ -539,9 +547,22 @@ def q_cluster_profile_by_quarter(spark, sf):
 
 
 def q_pca_explained_variance(spark, sf):
-    """PCA explained-variance ratios."""
-    _, art = _clustered(spark, sf, restarts=None)
-    return explained_variance(spark, art)
+    """PCA explained-variance ratios, measured on the training rows."""
+    m, art = _clustered(spark, sf, restarts=None)
+    return explained_variance(mf.train_rows(m), art)
+
+
+def q_pca_covariance(spark, sf):
+    """Covariance of the scaled clustering features over the training rows (M7)."""
+    tr, p = _cluster_params(spark, sf)
+    c = covariance(tr.select(*[p.scaled(c).alias(c) for c in p.cols]), p.cols)
+    return rounded(c.select("feature_a", "feature_b", "covariance"))
+
+
+def q_pca_residuals(spark, sf):
+    """Residual of each principal component as an eigenvector of the training covariance (M7)."""
+    m, art = _clustered(spark, sf, restarts=None)
+    return rounded(component_residuals(mf.train_rows(m), art))
 
 
 def q_plot_sample(spark, sf):
@@ -550,12 +571,32 @@ def q_plot_sample(spark, sf):
     return pf.plot_sample(m).select(*KEY, "finance_cluster", "cluster_pca1", "cluster_pca2")
 
 
+def _price_train(spark, sf):
+    """The linked training rows, before cluster features are written back."""
+    return mf.train_rows(price_model(spark, sf), "crsp_split")
+
+
+def q_price_one_hot_levels(spark, sf):
+    """Level table of the price model's categorical inputs, fitted on the linked training rows (M9)."""
+    tr = _price_train(spark, sf)
+    return category_levels(tr, [c for c in [*CATEGORICAL_FEATURES, *PRICE_CATEGORICAL_FEATURES] if c in tr.columns])
+
+
+def q_price_numeric_params(spark, sf):
+    """Numeric parameters of the price model's inputs, fitted on the linked training rows,
+    but for the two principal components (M9)."""
+    tr = _price_train(spark, sf)
+    num, _, _ = feature_columns(tr.columns)
+    return rounded(numeric_params(tr, [*num, *PRICE_NUMERIC_FEATURES]).table(spark), 4)
+
+
 def q_price_numeric_pipeline(spark, sf):
     """Price-model preprocessor fitted on the linked training rows (M9): parameters
     of the numeric pipeline over panel + price features."""
     m, art = _clustered(spark, sf, restarts=None)
     wb = mf.write_back(engineered(spark, sf), art)
-    pm = pp.price_model_frame(_shared(pp.linked_panel(wb, monthly_final(spark, sf))))
+    linked = _stage(spark, sf, "linked_write_back", lambda: pp.linked_panel(wb, monthly_final(spark, sf)))
+    pm = pp.price_model_frame(linked)
     num, _, _ = feature_columns(m.columns)
     num = num + [c for c in PRICE_NUMERIC_FEATURES if c not in num]
     tr = mf.train_rows(pm, "crsp_split")
@@ -626,11 +667,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "standard_scale": q_standard_scale,
     "numeric_pipeline": q_numeric_pipeline,
     "one_hot_levels": q_one_hot_levels,
+    "one_hot_rows": q_one_hot_rows,
+    "price_one_hot_levels": q_price_one_hot_levels,
+    "price_numeric_params": q_price_numeric_params,
     "feature_vectors": q_feature_vectors,
     "pca_features": q_pca_features,
     "kmeans_clusters": q_kmeans_clusters,
     "cluster_profile": q_cluster_profile,
     "cluster_profile_by_quarter": q_cluster_profile_by_quarter,
+    "pca_covariance": q_pca_covariance,
+    "pca_residuals": q_pca_residuals,
     "pca_explained_variance": q_pca_explained_variance,
     "plot_sample": q_plot_sample,
     "price_numeric_pipeline": q_price_numeric_pipeline,

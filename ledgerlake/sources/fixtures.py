@@ -114,6 +114,11 @@ def _cache_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def source_key(spark: SparkSession, sf_dir: str) -> tuple[str, str | None]:
+    """What the derived panels are read from: equal keys, equal frames."""
+    return os.path.normpath(sf_dir), _cache_dir(spark)
+
+
 def _maybe_materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """When `ledgerlake.fixture.cache` is set (bench), write each derived input
     once as parquet and read it back, as a real pipeline reads its input files."""

@@ -46,14 +46,14 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def save_clusters(spark: SparkSession, art: ClusterArtifacts, path: str) -> None:
-    """Everything that labels new rows (K4): the fitted preprocessor, PCA and
-    k-means models, and as JSON the feature list, signs, names and costs."""
-    save_model(PipelineModel([art.prep, art.pca_model, art.kmeans_model]), f"{path}/models")
-    values = {k: v for k, v in vars(art).items() if k not in ("prep", "pca_model", "kmeans_model")}
+    """Everything that labels new rows (K4): the fitted preprocessor, and as JSON
+    the feature list, loadings, centres and costs."""
+    save_model(PipelineModel([art.prep]), f"{path}/models")
+    values = {k: v for k, v in vars(art).items() if k != "prep"}
     spark.createDataFrame([(json.dumps(values),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/values")
 
 
 def load_clusters(spark: SparkSession, path: str) -> ClusterArtifacts:
-    prep, pca, kmeans = PipelineModel.load(f"{path}/models").stages
+    (prep,) = PipelineModel.load(f"{path}/models").stages
     values = json.loads(spark.read.text(f"{path}/values").first()["value"])
-    return ClusterArtifacts(prep=prep, pca_model=pca, kmeans_model=kmeans, **values)
+    return ClusterArtifacts(prep=prep, **values)

@@ -11,9 +11,10 @@ from ledgerlake.functions import sic_division
 from ledgerlake.operators import unsupervised as un
 from ledgerlake.operators.dedupe import dedupe_most_complete
 from ledgerlake.operators.prep import numeric_params
-from ledgerlake.operators.prices import drop_bad_price_keys, monthly_features, type_daily
+from ledgerlake.operators.prices import drop_bad_price_keys, type_daily
 from ledgerlake.operators.profile import plot_sample
 from ledgerlake.operators.quantiles import exact_quantiles
+from ledgerlake.plans.prices import monthly_prices
 from ledgerlake.sources.csv_scan import malformed_records, read_daily_csv, read_quarterly_csv
 from ledgerlake.streaming import monthly_price_stream
 
@@ -67,11 +68,11 @@ def test_plot_sample_is_the_smallest_hashes(spark, rows):
     assert sorted(r.gvkey_str for r in got) == sorted(i for _, i in want)
 
 
-def test_a_missed_bracket_raises(spark):
+def test_ranks_between_the_percentiles(spark):
     df = spark.range(5000).select((F.col("id") * F.col("id") % 4999).cast("double").alias("x"))
-    assert exact_quantiles(df, ["x"], [0.5]).count() == 1
-    with pytest.raises(Exception, match="outside its bracket"):
-        exact_quantiles(df, ["x"], [0.137, 0.5, 0.871], accuracy=20, margins=(0.0,)).collect()
+    want = df.toPandas()["x"].quantile([0.137, 0.5, 0.871]).tolist()
+    got = {r.p: r.value for r in exact_quantiles(df, ["x"], [0.137, 0.5, 0.871], listed=20).collect()}
+    assert [got[p] for p in (0.137, 0.5, 0.871)] == pytest.approx(want, abs=1e-9)
 
 
 def test_empty_training_part_raises(spark):
@@ -117,7 +118,7 @@ def test_price_keys_are_dropped_and_daily_read_once(spark, tmp_path):
         f.write(HEADER + day("2020-01-02") + day("not a date") + ",c1,n,NS,t,5,2020-01-02,10,0.01,100,5\n" + "1,,n,NS,t,5,2020-01-02,10,0.01,100,5\n")
     typed = type_daily(read_daily_csv(spark, path))
     assert typed.count() == 4 and drop_bad_price_keys(typed).count() == 1
-    plan = monthly_features(typed)._jdf.queryExecution().executedPlan().toString()
+    plan = monthly_prices(read_daily_csv(spark, path), stage=lambda df: df.checkpoint())._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" not in plan
 
 

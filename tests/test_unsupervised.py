@@ -18,7 +18,7 @@ def _data(spark, n=300, seed=7):
 
 def test_cluster_invariants(spark):
     df = _data(spark)
-    art = fit_cluster_features(df, ["a", "b", "c"], k=3, restarts=3, parallelism=3)
+    art = fit_cluster_features(df, ["a", "b", "c"], k=3, restarts=3)
     out = add_cluster_features(df, art).collect()
     # loadings orthonormal, largest loading positive
     for i, u in enumerate(art.pca_components):
@@ -38,7 +38,7 @@ def test_cluster_invariants(spark):
         assert r["finance_cluster"] == f"cluster_{d.index(min(d))}"
     assert len({r["finance_cluster"] for r in out}) == 3
     # stable names: a second fit gives the same labels
-    art2 = fit_cluster_features(df, ["a", "b", "c"], k=3, restarts=3, parallelism=3)
+    art2 = fit_cluster_features(df, ["a", "b", "c"], k=3, restarts=3)
     out2 = add_cluster_features(df, art2).collect()
     assert [r["finance_cluster"] for r in out] == [r["finance_cluster"] for r in out2]
     prof = cluster_profile(add_cluster_features(df, art), ["a", "b"]).collect()
