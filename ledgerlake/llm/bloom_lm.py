@@ -51,11 +51,12 @@ _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 PROBES = 4
 MIX = 0.7
-PART_WORDS = 300_000
-FLUSH = 1_500_000
+PART_WORDS = 150_000
+FLUSH = 600_000
 CELL_BYTES = 8 << 20
-BROADCAST_BYTES = 256 << 20
+BROADCAST_BYTES = 192 << 20
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+_LARGE = 2**32 - 1
 # Marks hold a blank, so no word equals one.
 END, BEGIN = (xxhash.xxh64_intdigest(m) for m in (b" end", b" begin"))
 
@@ -105,11 +106,10 @@ class Part:
         return pair_hash(np.append(self.hashes, np.uint64(BEGIN))[left], self.hashes[right])
 
     def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """hash, times, and times as a token for each n-gram; pairs and the beginning mark are no token."""
-        tokens = np.bincount(self.numbers, minlength=len(self.hashes))
+        """Hash and count of each n-gram, and whether it is a token: pairs and the beginning mark are none."""
         hashes = np.concatenate([self.hashes, [np.uint64(BEGIN)], self.pair_hashes()])
-        times = np.concatenate([tokens, [len(self.sizes)], self.pair_count])
-        return hashes, times, np.concatenate([tokens, np.zeros(1 + len(self.pairs), np.int64)])
+        times = np.concatenate([np.bincount(self.numbers, minlength=len(self.hashes)), [len(self.sizes)], self.pair_count])
+        return hashes, times, np.arange(len(hashes)) < len(self.hashes)
 
     def needed(self) -> np.ndarray:
         return np.unique(np.concatenate([self.hashes, [np.uint64(BEGIN)], self.pair_hashes()]))
@@ -171,13 +171,20 @@ class Cells:
         self.begin, self.n_bits = np.cumsum(sizes) - sizes, 8 * sizes
         self.bits = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8)
         self.words = np.frombuffer(b"".join(r["words"] for r in rows), "<u8")
-        self.times = np.frombuffer(b"".join(r["times"] for r in rows), "<i8")
+        # Four bytes a count, and the few that need more apart.
+        parts = [np.frombuffer(r["times"], "<i8") for r in rows]
+        self.times = np.concatenate([*(np.minimum(t, _LARGE).astype(np.uint32) for t in parts), np.empty(0, np.uint32)])
+        self.large = np.concatenate([*(t[t >= _LARGE] for t in parts), np.empty(0, np.int64)])
 
     def exact(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.zeros(len(hashes), np.int64)
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, self.times[at], 0)
+        times = self.times[at].astype(np.int64)
+        if len(self.large):
+            many = times == _LARGE
+            times[many] = self.large[np.searchsorted(np.flatnonzero(self.times == _LARGE), at[many])]
+        return np.where(self.words[at] == hashes, times, 0)
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """The highest level up to which every probe finds its bit."""
@@ -224,25 +231,29 @@ def _text_parts(batch: pa.RecordBatch, budget: int) -> Iterator[pa.RecordBatch]:
 
 
 def _merged(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    hashes, times, tokens = (np.concatenate(c) for c in zip(*held))
+    hashes, times, token = (np.concatenate(c) for c in zip(*held))
     order = np.argsort(hashes)
     hashes = hashes[order]
     first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
-    return hashes[first], np.add.reduceat(times[order], first), np.add.reduceat(tokens[order], first)
+    return hashes[first], np.add.reduceat(times[order], first), token[order[first]]
 
 
-_COUNTS = "cell long, hashes binary, times binary, tokens binary"
+_COUNTS = "cell long, hashes binary, times binary, token binary"
+ROWS_AT_ONCE = 100_000  # n-grams that a task hands on in one batch
 
 
 def ngram_counts(train: DataFrame, shift: int) -> DataFrame:
-    """cell and the sorted hashes, counts and counts as a token of n-grams, one row for each flush and cell."""
+    """cell and the sorted hashes, counts and token flags of n-grams, one row for each flush and cell."""
 
-    def rows(held: list) -> pa.RecordBatch:
-        hashes, times, tokens = _merged(held)
+    def rows(held: list) -> Iterator[pa.RecordBatch]:
+        hashes, times, token = _merged(held)
         cells, ranges = _pieces(hashes, shift)
-        binary = lambda x, t: pa.array([x[i:j].astype(t).tobytes() for i, j in ranges], pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(cells), binary(hashes, "<u8"), binary(times, "<i8"), binary(tokens, "<i8")],
-                                          names=["cell", "hashes", "times", "tokens"])
+        step = max(1, ROWS_AT_ONCE * len(ranges) // len(hashes))
+        for k in range(0, len(ranges), step):
+            binary = lambda x, t: pa.array([x[i:j].astype(t).tobytes() for i, j in ranges[k:k + step]], pa.binary())  # noqa: B023, E731
+            # A flush counts its own n-grams only, far fewer than 2**32.
+            yield pa.RecordBatch.from_arrays([pa.array(cells[k:k + step]), binary(hashes, "<u8"), binary(times, "<u4"), binary(token, "<u1")],
+                                             names=["cell", "hashes", "times", "token"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -254,10 +265,10 @@ def ngram_counts(train: DataFrame, shift: int) -> DataFrame:
                     held = [_merged(held)]
                     size = len(held[0][0])
                     if size > FLUSH // 2:
-                        yield rows(held)
+                        yield from rows(held)
                         held, size = [], 0
         if held:
-            yield rows(held)
+            yield from rows(held)
 
     return train.select("doc_id", "text").mapInArrow(run, _COUNTS)
 
@@ -266,14 +277,13 @@ def filter_cells(counts: DataFrame) -> DataFrame:
     """cell, bits, words, times, and the sums n (tokens) and v (distinct ones) of the cell."""
 
     def build(table: pa.Table) -> pa.Table:
-        columns = [np.frombuffer(b"".join(table.column(c).to_pylist()), t)
-                   for c, t in (("hashes", "<u8"), ("times", "<i8"), ("tokens", "<i8"))]
-        hashes, times, tokens = _merged([tuple(columns)])
-        word = tokens > 0
+        hashes, times, token = _merged([tuple(
+            np.frombuffer(b"".join(table.column(c).to_pylist()), t).astype(as_) for c, t, as_ in
+            (("hashes", "<u8", np.uint64), ("times", "<u4", np.int64), ("token", "<u1", bool)))])
         one = lambda x: pa.array([x.tobytes()], pa.binary())
         return pa.table({"cell": table.column("cell").slice(0, 1), "bits": one(bit_field(hashes, times)),
-                         "words": one(hashes[word]), "times": one(tokens[word]),
-                         "n": pa.array([int(tokens.sum())]), "v": pa.array([int(word.sum())])})
+                         "words": one(hashes[token]), "times": one(times[token]),
+                         "n": pa.array([int(times[token].sum())]), "v": pa.array([int(token.sum())])})
 
     return counts.groupBy("cell").applyInArrow(build, "cell long, bits binary, words binary, times binary, n long, v long")
 
@@ -360,7 +370,7 @@ def scored(docs: DataFrame, train: DataFrame, broadcast_bytes: int = BROADCAST_B
     with shuffles_released(spark):
         cells = filter_cells(ngram_counts(train, shift)).checkpoint()
     sums = cells.agg(F.sum("n").alias("n"), F.sum("v").alias("v"),
-                     F.sum(F.length("bits") + F.length("words") + F.length("times")).alias("bytes")).first()
+                     F.sum(F.length("bits") + F.length("words") + F.length("times") / 2).alias("bytes")).first()
     n, v = sums.n or 0, sums.v or 0
     way = _scores_from_broadcast if (sums.bytes or 0) <= broadcast_bytes else _scores_from_cells
     return way(docs, cells, shift, n, v).select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

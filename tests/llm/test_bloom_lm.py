@@ -112,6 +112,14 @@ def test_levels_are_never_low_and_seldom_high():
     assert (cells.levels(unseen) > 0).mean() < 1.5 * 2**-lm.PROBES
 
 
+def test_counts_beyond_four_bytes():
+    times = np.array([1, 2**32 - 2, 2**32 - 1, 2**40, 7], np.int64)
+    hashes = np.arange(10, 15, dtype=np.uint64)
+    rows = [{"cell": k, "bits": b"\0", "words": hashes[i:j].tobytes(), "times": times[i:j].tobytes()} for k, (i, j) in enumerate([(0, 2), (2, 5)])]
+    cells = lm.Cells(rows, 64)
+    assert cells.exact(np.arange(9, 16, dtype=np.uint64)).tolist() == [0, *times.tolist(), 0]
+
+
 def test_held_out_texts_score_above_the_base(spark, documents):
     rows = [r for r in lm.corpus_scores(documents).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
