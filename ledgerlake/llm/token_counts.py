@@ -14,8 +14,9 @@ Zipf law's log-probability. A character that no piece covers counts as one
 unknown token with a score below all pieces by UNKNOWN_PENALTY, as usual for
 this model. Ties go to fewer tokens, then to the longer last piece.
 
-Defined cases: a null, empty or blank text has no pre-token and no token;
-repeated rows give repeated results; only `doc_id` and `text` are read.
+Defined cases: a null, empty or blank text has no pre-token and no token; texts and words of
+any length are counted whole, in time in proportion to their length; repeated rows give
+repeated results; an empty table gives an empty result; only `doc_id` and `text` are read.
 """
 
 from __future__ import annotations
@@ -52,12 +53,11 @@ class TrieCounter:
         self.max_stored = max_stored
         self.stored: dict[str, int] = {}
 
-    def _forward(self, chars: str, path: list[tuple[float, int]]) -> tuple[float, int]:
-        """The (score, -tokens) of the best segmentation of `chars`, from those of its proper prefixes."""
-        n = len(chars)
+    def _forward(self, word: str, n: int, path: list[tuple[float, int]]) -> tuple[float, int]:
+        """The (score, -tokens) of the best segmentation of the first n characters, from those of their proper prefixes."""
         best, get = None, self.scores.get
         for i in range(max(0, n - self.longest), n):
-            s = get(chars[i:])
+            s = get(word[i:n])
             if s is None:
                 if i < n - 1:
                     continue
@@ -81,7 +81,7 @@ class TrieCounter:
                 shared += 1
             del path[shared + 1:]
             for depth in range(shared + 1, len(word) + 1):
-                path.append(self._forward(word[:depth], path))
+                path.append(self._forward(word, depth, path))
             self.stored[word] = -path[-1][1]
             before = word
 
@@ -94,13 +94,14 @@ class TrieCounter:
 
 
 def token_counts(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`key`, n_pre_tokens and n_tokens per document. Only the path travels to
-    the tasks; the vocabulary must be readable there, as an installed package is."""
+    """`key`, n_pre_tokens and n_tokens per document. The vocabulary is read on the
+    driver and broadcast: its size does not depend on the data."""
+    pieces = docs.sparkSession.sparkContext.broadcast(ranked_pieces(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = None
         for b in batches:
-            counter = counter or TrieCounter(ranked_pieces(model_path))
+            counter = counter or TrieCounter(pieces.value)
             pre, tokens = counter.count(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(pre, pa.int64()), pa.array(tokens, pa.int64())],

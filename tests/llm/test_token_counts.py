@@ -56,3 +56,10 @@ def test_query_shape(make_docs, edge_texts):
     got = {r.doc_id: (r.n_pre_tokens, r.n_tokens) for r in tc.token_counts(df, PATH).collect()}
     assert [got[i] for i in range(3)] == [(0, 0)] * 3 and got[5][0] == 5000 and got[3][1] >= 1
     assert tc.token_counts(df.limit(0), PATH).count() == 0
+
+
+def test_long_words_repeated_rows_and_clashing_columns(make_docs):
+    long = "ab" * 100_000
+    docs = make_docs([(1, long), (2, "a b"), (2, "a b")]).withColumnRenamed("lang", "n_tokens").withColumnRenamed("source", "n_pre_tokens")
+    rows = sorted(map(tuple, tc.token_counts(docs, PATH).collect()))
+    assert [r[:2] for r in rows] == [(1, 1), (2, 2), (2, 2)] and rows[1] == rows[2] and 20_000 < rows[0][2] <= 200_001
