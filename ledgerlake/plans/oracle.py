@@ -534,4 +534,6 @@ lc AS (SELECT feature, m, lo, hi, {_clip('x', 'lo', 'hi')} AS x FROM li JOIN lq
 SELECT feature, {R('any_value(m)', 4)} AS median, {R('any_value(lo)', 4)} AS lower, {R('any_value(hi)', 4)} AS upper,
        {R('avg(x)', 4)} AS mean, {R(f'CASE WHEN stddev_pop(x) < {EPS10!r} THEN 1.0 ELSE stddev_pop(x) END', 4)} AS scale
 FROM lc GROUP BY feature""")
+    # The same panels through CSV files.
+    q |= {f"{name}_csv": q[name] for name in ("scan_quarterly", "scan_daily")}
     return q

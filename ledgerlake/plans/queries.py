@@ -8,6 +8,7 @@ comparison does not depend on floating-point summation order.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -39,14 +40,15 @@ from ledgerlake.operators.prices import (
     type_daily,
 )
 from ledgerlake.operators.split import split_notes, split_summary
-from ledgerlake.operators.standardize import standardize_metrics, standardize_quarterly, type_quarterly
+from ledgerlake.operators.standardize import ROW_ORDER, standardize_metrics, standardize_quarterly, type_quarterly
 from ledgerlake.operators.unsupervised import cluster_profile, component_residuals, covariance, explained_variance
 from ledgerlake.plans import model_frame as mf
 from ledgerlake.plans import prices as pp
 from ledgerlake.plans import quarterly
 from ledgerlake.plans.stages import Stages
 from ledgerlake.sources import fixtures
-from ledgerlake.sources.csv_scan import apply_csv_missing
+from ledgerlake.session import path_exists, scratch_path
+from ledgerlake.sources.csv_scan import apply_csv_missing, read_daily_csv, read_quarterly_csv
 from ledgerlake.sources.discovery import discover_source, duplicate_files
 
 D = 6
@@ -146,6 +148,32 @@ def q_scan_daily(spark, sf):
                             "DlyCalDt", "DlyPrc", "DlyRet", "DlyVol", "ShrOut"))
 
 
+def _csv_folder(spark, sf, name, build) -> str:
+    """The panel as CSV files in the shared scratch folder, written once a session and input:
+    every field quoted where it must be, and a note column of quotes, commas and line breaks."""
+    tag = hashlib.sha256(f"{spark.sparkContext.applicationId} {fixtures.source_key(spark, sf)}".encode()).hexdigest()[:16]
+    path = scratch_path(spark, f"csv-{tag}-{name}")
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        text = fixtures.as_text(build())
+        key = F.coalesce(F.col(text.columns[0]), F.lit("none"))
+        note = F.when(F.crc32(key.cast("binary")) % 3 > 0, F.concat(F.lit('say "'), key, F.lit('",\n'), F.repeat(F.lit("\n"), F.length(key)), key))
+        text.withColumn("note", note).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+def q_scan_quarterly_csv(spark, sf):
+    """Quarterly CSV files with quoted line breaks, read in splits → typed, keyed rows."""
+    raw = read_quarterly_csv(spark, _csv_folder(spark, sf, "quarterly", lambda: raw_q(spark, sf)))
+    return rounded(standardize_quarterly(raw.drop("note", ROW_ORDER)))
+
+
+def q_scan_daily_csv(spark, sf):
+    """Daily CSV files with quoted line breaks, read in splits → typed columns."""
+    raw = read_daily_csv(spark, _csv_folder(spark, sf, "daily", lambda: fixtures.panel_d(spark, sf)))
+    return rounded(type_daily(raw).select("PERMNO", "PERMCO", "HdrCUSIP", "PrimaryExch", "ShareType", "Ticker",
+                                          "DlyCalDt", "DlyPrc", "DlyRet", "DlyVol", "ShrOut"))
+
+
 def q_discover_source(spark, sf):
     """Largest input file whose columns include the required set (S3)."""
     return discover_source(spark, sf, ["l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity"],
@@ -607,6 +635,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources
     "scan_quarterly": q_scan_quarterly,
     "scan_daily": q_scan_daily,
+    "scan_quarterly_csv": q_scan_quarterly_csv,
+    "scan_daily_csv": q_scan_daily_csv,
     "discover_source": q_discover_source,
     "duplicate_files": q_duplicate_files,
     # projections
