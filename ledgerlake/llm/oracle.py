@@ -84,5 +84,27 @@ k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORD
 SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM k WHERE rank <= 10"""
 
 
+# crc32 bit by bit: a byte enters, then eight shifts, marked by -1.
+_RUNS = r"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+') AS ws FROM documents),
+h AS (SELECT *, len(ws) AS n, xor(list_reduce([4294967295::BIGINT] || flatten([[ascii(c)::BIGINT] || [-1 for _ in range(8)]
+             for c in string_split(doc_id::VARCHAR, '')]),
+             lambda a, c: CASE WHEN c >= 0 THEN xor(a, c) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) AS h FROM w),
+g AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a FROM h),
+p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM g),
+x AS (SELECT r, i, ws[1 + CASE WHEN a IS NULL OR i < a THEN i ELSE a + (i - a) % p END] AS word
+      FROM (SELECT *, unnest(range(0, n)) AS i FROM p)),
+e AS (SELECT x.r, y.i - x.i AS q, x.i FROM x JOIN x y ON x.r = y.r AND x.word = y.word AND y.i > x.i JOIN p ON p.r = x.r AND 3 * (y.i - x.i) <= p.n),
+s AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM e),
+t AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM s GROUP BY r, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS (SELECT r, start, length, min(q) AS period FROM t GROUP BY r, start, length),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS words FROM x ANTI JOIN runs u ON u.r = x.r AND x.i >= u.start + u.period AND x.i < u.start + u.length GROUP BY r),
+best AS (SELECT r, start, length, period FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY length / period DESC, start, period) = 1),
+list AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM runs GROUP BY r)
+SELECT w.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, (1000 * length) // period AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+FROM w LEFT JOIN list USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_pii": _pii(), "op7_jaccard_join": _JACCARD, "op13_lexical_search": _LEXICAL}
+    return {"op1_pii": _pii(), "op7_jaccard_join": _JACCARD, "op11_periodic_runs": _RUNS, "op13_lexical_search": _LEXICAL}
