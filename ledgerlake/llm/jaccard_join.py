@@ -29,7 +29,7 @@ cut by checkpoints in the shared folder.
 
 Defined cases: a null or blank text has an empty set (n_shingles 0) and links
 with nothing; with fewer words than a shingle, the whole sequence is the one
-shingle; repeated rows (also of one doc_id) are equal sets; null doc_ids take part and
+shingle; texts of any length give their whole set; repeated rows (also of one doc_id) are equal sets; null doc_ids take part and
 count as largest; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -234,16 +234,41 @@ def _merge(comps: DataFrame, links: DataFrame) -> DataFrame:
     return comps.join(to, "comp", "left").select("node", F.coalesce("_to", "comp").alias("comp")).checkpoint()
 
 
-def node_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """node, comp for the nodes of `sets` (node, n, h: the whole set) that lie in some group; others are alone."""
+def _with_prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """node, n, l (the shingles that other nodes hold too, rare first), p (its prefix), gid (its group)
+    of the nodes of `sets` (node, n, h: the whole set) that can have a partner."""
     entries = sets.select("node", "n", F.explode("h").alias("h"))
     held = entries.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = (entries.join(held, "h").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
               .select("node", "n", F.transform("s", lambda x: x["h"]).alias("l")))
     alone = F.col("n") - F.size("l")
     room = F.col("n") - least_overlap_column(F.col("n"), percent) + 1 - alone
-    shared = (shared.filter(room > 0).withColumn("p", F.slice("l", F.lit(1), room.cast("int")))
-              .withColumn("gid", F.xxhash64("n", "p")).checkpoint())
+    return (shared.filter(room > 0).withColumn("p", F.slice("l", F.lit(1), room.cast("int")))
+            .withColumn("gid", F.xxhash64("n", "p")).checkpoint())
+
+
+def node_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """a, b: every linked pair of nodes of `sets`, a < b. Groups of one prefix and size meet on shared
+    prefix entries, and the pairs that sizes and positions allow are expanded to members and verified.
+    The result, and the work, grow with the number of similar pairs of different texts."""
+    shared = _with_prefixes(sets, percent)
+    lead = F.col("n") - F.size("l")
+    posts = shared.groupBy("gid").agg(F.first("n").alias("n"), F.first("p").alias("p"), F.first(lead).alias("lead")).select(
+        "gid", "n", "lead", F.posexplode("p").alias("at", "h")).select("gid", "n", "h", (F.col("n") - F.col("at") - F.col("lead")).alias("rest")).checkpoint()
+    x, y = (posts.select("h", *[F.col(c).alias(f"{c}_{s}") for c in ("gid", "n", "rest")]) for s in "xy")
+    need = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + percent))
+    meet = x.join(y, "h").filter((F.col("gid_x") <= F.col("gid_y")) & _sizes_fit(F.col("n_x"), F.col("n_y"), percent)
+                                 & (F.least("rest_x", "rest_y") >= need)).select("gid_x", "gid_y").distinct()
+    ends = lambda s, o: shared.select(F.col("gid").alias(f"gid_{s}"), F.col("node").alias(o))
+    pairs = meet.join(ends("x", "a"), "gid_x").join(ends("y", "b"), "gid_y").filter("a <> b").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return _linked(pairs, shared.select("node", "n", "l"), percent)
+
+
+def node_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """node, comp for the nodes of `sets` (node, n, h: the whole set) that lie in some group; others are alone."""
+    shared = _with_prefixes(sets, percent)
+    alone = F.col("n") - F.size("l")
     # Position 0 counts the shingles held alone, which stand first.
     groups = shared.groupBy("gid").agg(F.first("n").alias("n"), F.first("p").alias("p"), F.first(alone).alias("lead"),
                                        F.min("node").alias("low"))
@@ -309,6 +334,29 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return _components(docs, key, text, size, percent).select(key, F.col("n").alias("n_shingles"), "component_id")
 
 
+def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
+                  percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """The join itself: (members, links). members has key, class_id and n_links for every row: the smallest key
+    with an equal set (its own key without shingles), and the number of other rows that it is linked with.
+    links has class_a, class_b: the linked pairs of classes. Rows of one class are linked with each other."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    with shuffles_released(docs.sparkSession):
+        signed, nodes, sets = _set_tables(docs, key, text, size, percent)
+        pairs = node_links(sets, percent).checkpoint()
+    held = signed.groupBy("digest").agg(F.count(F.lit(1)).alias("rows"))
+    own = nodes.join(held, "digest").select("node", "digest", "doc", "rows").checkpoint()
+    both = pairs.union(pairs.select("b", "a"))
+    linked = (both.join(own.select(F.col("node").alias("b"), "rows"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("rows").alias("others")))
+    counted = own.join(linked, "node", "left").select(
+        "digest", "doc", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    members = signed.join(counted, "digest", "left").select(
+        key, F.when(F.col("n_links").isNull(), F.col(key)).otherwise(F.col("doc")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    named = lambda c, o: own.select(F.col("node").alias(c), F.col("doc").alias(o))
+    links = pairs.join(named("a", "x"), "a").join(named("b", "y"), "b").select(F.least("x", "y").alias("class_a"), F.greatest("x", "y").alias("class_b"))
+    return members, links
+
+
 def _components(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
     """key, n, digest, comp (null without shingles), component_id for every row."""
     ensure_checkpoint_dir(docs.sparkSession)
@@ -323,6 +371,12 @@ def _components(docs: DataFrame, key: str, text: str, size: int, percent: int) -
 
 def _node_tables(docs: DataFrame, key: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The signed rows, the nodes (digest, doc, n, node) and the components of nodes, each a checkpoint."""
+    signed, nodes, sets = _set_tables(docs, key, text, size, percent)
+    return signed, nodes, node_components(sets, percent)
+
+
+def _set_tables(docs: DataFrame, key: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The signed rows, the nodes (digest, doc, n, node), and the sets of nodes that may have a partner, each a checkpoint."""
     signed = _sets(docs, key, text, size, whole=False).checkpoint()
     nodes = (signed.filter("n > 0").groupBy("digest").agg(F.min(key).alias("doc"), F.first("n").alias("n"), F.first("d").alias("d"))
              .withColumn("node", F.monotonically_increasing_id()).checkpoint())
@@ -333,7 +387,7 @@ def _node_tables(docs: DataFrame, key: str, text: str, size: int, percent: int)
     whole = _sets(texts.select(F.struct("node", "_digest").alias("_id"), "_text"), "_id", "_text", size, whole=True)
     sets = (whole.filter("digest = _id._digest").select(F.col("_id.node").alias("node"), "n", "h")
             .dropDuplicates(["node"]).checkpoint())
-    return signed, nodes, node_components(sets, percent)
+    return signed, nodes, sets
 
 
 def one_per_component(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -101,3 +101,42 @@ def test_hashes_tell_shingles_apart():
     assert [len(s(t)) for t in texts] == [len(shingles(t)) for t in texts]
     assert len({tuple(s(t)) for t in texts}) == len(texts)
     assert list(s("A b\tc  d e")) == list(s(" a B c d E\n")) != list(s("ab c d e"))
+
+
+def brute_links(rows):
+    """(key, smallest key of an equal set, number of other rows linked) for each row, and the linked pairs of classes."""
+    sets = [(i, frozenset(shingles(t))) for i, t in rows]
+    low = {}
+    for i, s in sets:
+        low[s] = min(low.get(s, i), i)
+    linked = lambda x, y: bool(x & y) and 100 * len(x & y) >= 80 * len(x | y)
+    members = sorted((i, low[s] if s else i, sum(linked(s, t) for _, t in sets) - bool(s)) for i, s in sets)
+    classes = sorted(low, key=lambda s: low[s])
+    pairs = sorted((low[a], low[b]) for k, a in enumerate(classes) for b in classes[k + 1:] if linked(a, b))
+    return members, pairs
+
+
+def check_links(df):
+    members, links = jj.jaccard_links(df)
+    want = brute_links([(r.doc_id, r.text) for r in df.collect()])
+    assert sorted(map(tuple, members.collect())) == want[0]
+    assert sorted(map(tuple, links.collect())) == want[1]
+    return want
+
+
+def test_links_of_the_tables(documents):
+    assert check_links(documents)[1]
+
+
+def test_links_of_near_copies_and_edges(make_docs, edge_texts):
+    rows = list(enumerate([*near_copies(2, groups=8), *edge_texts, "a b c", "A  b c", "a b"]))
+    rows += rows[:5] + [(900, rows[0][1])]
+    members, links = check_links(make_docs(rows))
+    assert len(links) > 20 and max(n for *_, n in members) > 5
+
+
+def test_no_links(make_docs):
+    members, links = jj.jaccard_links(make_docs(["a b c d e f"]).limit(0))
+    assert members.collect() == [] and links.collect() == []
+    members, links = jj.jaccard_links(make_docs([None, "one two", "three four"]))
+    assert sorted(map(tuple, members.collect())) == [(0, 0, 0), (1, 1, 0), (2, 2, 0)] and links.collect() == []
