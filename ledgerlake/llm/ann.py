@@ -21,7 +21,8 @@ Defined cases: vectors that are null, zero, or hold null or non-finite entries
 take no part, nor do those of another length than most have (the longer on a tie), nor rows
 with a null id; a query's own row is never its neighbour, others with an equal vector
 are, at distance 0; ties go to the smaller id; repeated ids count once, at the least
-distance of their vectors; with fewer candidates than k, all found are returned.
+distance of their vectors; with fewer candidates than k, all found are returned. Vectors may
+have any length; columns beside the id and the vector may have any name and are not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ likelihood. The score of a prediction is its calibrated probability.
 Training documents have a non-null lang and are outside the held-out fold.
 
 Defined cases: a null text, or one without letters, is `und` with score 0; so is
-any text if there is nothing to learn from; equal scores go to the first
+any text if there is nothing to learn from; texts of any length are read whole; equal scores go to the first
 language in code point order; repeated rows give repeated results; an empty
 table gives an empty result; only doc_id, text and, to train, lang are read.
 """

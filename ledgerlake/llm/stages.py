@@ -1,4 +1,10 @@
-"""The pipeline's stages: (spark, docs, sf_dir) -> DataFrame, each one operator applied to `docs`."""
+"""The pipeline's stages: (spark, docs, sf_dir) -> DataFrame, each one operator applied to `docs`.
+
+Defined cases: columns beside those of `documents` are dropped; a null, empty or blank text stays in
+every stage but the mix, which takes no words from it; texts of any length are handled whole;
+repeated rows are rows of their own (the join stage keeps one of them); nulls in doc_id, lang, source
+or n_chars are values like others; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 

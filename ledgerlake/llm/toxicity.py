@@ -19,7 +19,7 @@ reads every whole text, with no shuffle.
 Defined cases: a null, empty or wordless text scores as the intercept alone;
 without labels, or with one class only, each document scores the share of
 label 1 (0 without any); repeated rows give repeated results; an empty
-table gives an empty result; only `doc_id` and `text` are read.
+table gives an empty result; texts of any length are read whole; only `doc_id` and `text` are read.
 """
 
 from __future__ import annotations
