@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import unicodedata
 from collections.abc import Iterator
 from itertools import chain
 
@@ -42,7 +43,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-MAX_STORED = 600_000  # words that a worker keeps, and half of the table entries
+MAX_STORED = 250_000  # words that a worker keeps, and half of the table entries
 # Fixed: white space as the pre-splitting pattern's \s has it, and that pattern.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
 _SPLIT = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+"
@@ -70,8 +71,11 @@ class Automaton:
         self.special = {t["content"]: t["id"] for t in j["added_tokens"]}
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.split = regex.compile(_SPLIT)
-        # Letters and numbers beyond the basic plane differ between Unicode versions.
-        self.rare = regex.compile(r"[\U00010000-\U0010ffff]")
+        # Letters and numbers beyond the basic plane, and those that are newer than Python's
+        # tables, differ between Unicode versions.
+        plane = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+        newer = "".join(c for c in regex.findall(r"[\p{L}\p{N}]", plane) if unicodedata.category(c) == "Cn")
+        self.rare = regex.compile(rf"[\U00010000-\U0010ffff{newer}]")
         self.labels: list[bytes] = [b""] * (1 + max(chain(m["vocab"].values(), self.special.values())))
         for s, i in m["vocab"].items():
             self.labels[i] = to_bytes(s)

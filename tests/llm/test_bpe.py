@@ -102,3 +102,10 @@ def test_edges(make_docs, edge_texts, library):
 def test_unsupported_files_raise():
     with pytest.raises(ValueError):
         bpe.Automaton(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+
+
+def test_letters_newer_than_pythons_tables(library, automaton):
+    for c in automaton.rare.pattern[len(r"[\U00010000-\U0010ffff"):-1]:
+        for s in (f"a{c}b", f" {c}{c} 1{c}2", f"x {c}", f"{c}'s {c}\n{c}"):
+            assert list(automaton.encode(s)) == library.encode(s, add_special_tokens=False).ids, repr(s)
+    assert automaton.rare.search("\u0c5c") and not automaton.rare.search("abc é 日本 1")
