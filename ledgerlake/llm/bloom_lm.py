@@ -273,7 +273,7 @@ def ngram_counts(train: DataFrame, shift: int) -> DataFrame:
     return train.select("doc_id", "text").mapInArrow(run, _COUNTS)
 
 
-def filter_cells(counts: DataFrame) -> DataFrame:
+def filter_cells(counts: DataFrame, shift: int) -> DataFrame:
     """cell, bits, words, times, and the sums n (tokens) and v (distinct ones) of the cell."""
 
     def build(table: pa.Table) -> pa.Table:
@@ -285,7 +285,9 @@ def filter_cells(counts: DataFrame) -> DataFrame:
                          "words": one(hashes[token]), "times": one(times[token]),
                          "n": pa.array([int(times[token].sum())]), "v": pa.array([int(token.sum())])})
 
-    return counts.groupBy("cell").applyInArrow(build, "cell long, bits binary, words binary, times binary, n long, v long")
+    # As many tasks as cells, so a task's share does not grow with the corpus.
+    dealt = counts.repartition(1 << (64 - shift), "cell")
+    return dealt.groupBy("cell").applyInArrow(build, "cell long, bits binary, words binary, times binary, n long, v long")
 
 
 _SCORES = ["n_tokens", "n_known", "base_score", "score"]
@@ -368,7 +370,7 @@ def scored(docs: DataFrame, train: DataFrame, broadcast_bytes: int = BROADCAST_B
     # The cells are the ranges of the leading bits of a hash.
     shift = 64 - max(0, math.ceil(math.log2(max(1, size / CELL_BYTES))))
     with shuffles_released(spark):
-        cells = filter_cells(ngram_counts(train, shift)).checkpoint()
+        cells = filter_cells(ngram_counts(train, shift), shift).checkpoint()
     sums = cells.agg(F.sum("n").alias("n"), F.sum("v").alias("v"),
                      F.sum(F.length("bits") + F.length("words") + F.length("times") / 2).alias("bytes")).first()
     n, v = sums.n or 0, sums.v or 0
