@@ -9,12 +9,15 @@
    until LEAF points or fewer are left. Every point is then routed to its leaf in every tree.
 3. Search: a query walks all trees with one priority queue ordered by the least
    distance to a plane on its way, and takes leaves until they hold SEARCH
-   points of the sample.
-4. Rerank: a leaf's points meet the queries that chose it, in blocks of at
-   most CHUNK points; true distances are computed in double precision on the original
+   points of the sample. How much of the nearest that finds depends on the rows, so it is measured:
+   MEASURED of the queries are searched in the sample and compared with all of it. Below RECALL
+   the search doubles once; where that is not enough either, the forest is one tree
+   of large leaves and a query takes all of them, which misses nothing.
+4. Rerank: a leaf's points meet the queries that chose it, in blocks of about
+   CHUNK points and CHUNK queries; true distances are computed in double precision on the original
    vectors and each block passes on the KEEP nearest ids of each query.
 
-Nothing is collected but the sample (bounded by SAMPLE); the forest, at most
+Nothing is collected but the sample (bounded by SAMPLE) and the measured queries; the forest, at most
 2 * TREES * SAMPLE / LEAF planes, is broadcast.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite entries
@@ -28,6 +31,7 @@ have any length; columns beside the id and the vector may have any name and are
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +44,10 @@ from ledgerlake.session import ensure_checkpoint_dir
 
 TREES, LEAF, SAMPLE = 16, 32, 40_000
 SEARCH = 6_000
+MEASURED, RECALL = 200, 0.97
+WHOLE_LEAF = 2_500
 CHUNK = 4_096
+ASKING = 64  # queries at once in a rerank
 K = 10
 KEEP = K + 1
 QUERY_EVERY = 100
@@ -52,7 +59,7 @@ class Forest:
 
     def __init__(self, sample: np.ndarray, trees: int = TREES, leaf: int = LEAF):
         rng = np.random.Generator(np.random.PCG64(SEED))
-        planes, offsets, left, right, sizes, self.roots = [], [], [], [], [], []
+        planes, offsets, left, right, self.members, self.roots = [], [], [], [], [], []
         zero = np.zeros(sample.shape[1], np.float32)
 
         def add() -> int:
@@ -70,14 +77,18 @@ class Forest:
                 node, rows = todo.pop()
                 plane = self._split(sample, rows, rng) if len(rows) > leaf else None
                 if plane is None:
-                    right[node] = len(sizes)
-                    sizes.append(len(rows))
+                    right[node] = len(self.members)
+                    self.members.append(rows)
                     continue
                 planes[node], offsets[node], side = plane
                 left[node], right[node] = add(), add()
                 todo += [(left[node], rows[~side]), (right[node], rows[side])]
         self.planes, self.offsets = np.array(planes), np.array(offsets, np.float32)
-        self.left, self.right, self.sizes = np.array(left), np.array(right), np.array(sizes)
+        self.left, self.right, self.sizes = np.array(left), np.array(right), np.array([len(m) for m in self.members])
+
+    def shared(self) -> dict:
+        """What workers need: all but the sample's rows in each leaf."""
+        return {k: v for k, v in self.__dict__.items() if k != "members"}
 
     @staticmethod
     def _split(sample: np.ndarray, rows: np.ndarray, rng: np.random.Generator):
@@ -123,6 +134,33 @@ class Forest:
         return out
 
 
+def _recall(forest: Forest, sample: np.ndarray, asking: np.ndarray, wanted: int, k: int) -> float:
+    """The share of the k sample points nearest to each of some vectors (but for equal ones) that a search finds."""
+    rows = sample.astype(np.float64)
+    squares = (rows * rows).sum(1)
+    found = total = 0
+    for x in asking:
+        distance = squares - 2 * (rows @ x.astype(np.float64))
+        distance[(sample == x).all(1)] = np.inf
+        near = np.argsort(distance, kind="stable")[:k]
+        near = near[np.isfinite(distance[near])]
+        held = np.concatenate([forest.members[leaf] for leaf in forest.search(x, wanted)])
+        found, total = found + int(np.isin(near, held).sum()), total + len(near)
+    return found / total if total else 1.0
+
+
+def fitted(sample: np.ndarray, asking: np.ndarray, search: int, k: int) -> tuple[Forest, int]:
+    """A forest and the number of sample points that a search in it takes, for a recall of RECALL
+    among the sample. The neighbours among all points are nearer still than those in the
+    sample, so they are found more easily."""
+    forest = Forest(sample)
+    for wanted in (search, 2 * search):
+        if _recall(forest, sample, asking, wanted, k) >= RECALL:
+            return forest, wanted
+    whole = Forest(sample, 1, WHOLE_LEAF)
+    return whole, int(whole.sizes.sum())
+
+
 def points(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """e, ids (the KEEP smallest, ascending), id (the smallest) and a number of its own for each distinct vector that takes part."""
     usable = vectors.select(F.col(key).alias("id"), F.transform(vector, lambda x: x + F.lit(0).cast("float")).alias("e")).filter(
@@ -157,7 +195,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not sample:
         return empty
-    forest = spark.sparkContext.broadcast(Forest(np.array([e for _, e in sample], np.float32)).__dict__)
+    asked = queries.select(F.col(key).alias("query_id"), F.transform(vector, lambda x: x + F.lit(0).cast("float")).alias("e")).distinct()
+    # A point answers for all queries with its vector.
+    asked = asked.join(all_points.select("e", F.col("point").alias("query")), "e").select("query_id", "query").checkpoint()
+    query_points = all_points.join(asked.select(F.col("query").alias("point")).distinct(), "point", "left_semi").select("point", "e")
+    measured = query_points.select(F.xxhash64("e").alias("h"), "e").orderBy("h", "e").limit(MEASURED).collect()
+    if not measured:
+        return empty
+    fit, search = fitted(np.array([e for _, e in sample], np.float32), np.array([r.e for r in measured], np.float32), search, k)
+    forest = spark.sparkContext.broadcast(fit.shared())
 
     def revived() -> Forest:
         f = Forest.__new__(Forest)
@@ -184,19 +230,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
                                               b.column(0).take(pa.array(take)), b.column(1).take(pa.array(take))],
                                              names=["leaf", "query", "e"])
 
-    asked = queries.select(F.col(key).alias("query_id"), F.transform(vector, lambda x: x + F.lit(0).cast("float")).alias("e")).distinct()
-    # A point answers for all queries with its vector.
-    asked = asked.join(all_points.select("e", F.col("point").alias("query")), "e").select("query_id", "query").checkpoint()
-    query_points = all_points.join(asked.select(F.col("query").alias("point")).distinct(), "point", "left_semi").select("point", "e")
     number = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     visits = query_points.repartition(number, "point").mapInArrow(look, "leaf long, query long, e array<float>")
-    # A leaf's points lie in numbered chunks; each visit goes to all chunks of its leaf.
+    # A leaf's points lie in numbered chunks, its visits in numbered parts; each part meets each chunk.
     routed = all_points.select("ids", "e").mapInArrow(route, "leaf long, ids array<long>, e array<float>").checkpoint()
     chunks = routed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / (CHUNK / 2)).alias("chunks"))
     in_chunk = F.pmod(F.xxhash64("e"), F.col("chunks"))
-    held = routed.join(chunks, "leaf").select("leaf", in_chunk.alias("chunk"), "ids", "e")
+    # No leaf has more visits than there are queries.
+    parts = max(1, math.ceil(asked.select("query").distinct().count() / CHUNK))
+    held = routed.join(chunks, "leaf").select("leaf", in_chunk.alias("chunk"), "ids", "e").select(
+        "leaf", "chunk", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "ids", "e")
     sent = visits.join(chunks, "leaf").select(
-        "leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "query", "e")
+        "leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
+        F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int").alias("part"), "query", "e")
 
     def rerank(asking, there):
         import pandas as pd
@@ -208,18 +254,31 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
             order = np.argsort(ids, kind="stable")
             ids, at = ids[order], at[order]
             repeated = (ids[1:] == ids[:-1]).any()
-            for q, e in zip(asking["query"], asking["e"]):
-                d = np.sqrt(((x - np.asarray(e, np.float64)) ** 2).sum(1))[at]
-                best = np.argsort(d, kind="stable")
-                if repeated:
-                    best = best[np.sort(np.unique(ids[best], return_index=True)[1])]
-                best = best[:KEEP]
-                found["query"] += [q] * len(best)
-                found["id"] += ids[best].tolist()
-                found["score"] += d[best].tolist()
+            squares = (x * x).sum(1)
+            for i in range(0, len(asking), ASKING):
+                e = np.stack(asking["e"].iloc[i:i + ASKING].to_numpy()).astype(np.float64)
+                # By a product of matrices, exact but for rounding: it only rules points out.
+                rough = squares[:, None] - 2 * (x @ e.T)
+                if len(x) > KEEP and not repeated:
+                    slack = 1e-9 * (squares.max() + (e * e).sum(1))
+                    within = rough <= np.partition(rough, KEEP - 1, axis=0)[KEEP - 1] + slack
+                else:
+                    within = np.ones(rough.shape, bool)
+                for j, q in enumerate(asking["query"].iloc[i:i + ASKING]):
+                    own = np.flatnonzero(within[:, j])
+                    d = np.full(len(x), np.inf)
+                    d[own] = np.sqrt(((x[own] - e[j]) ** 2).sum(1))
+                    here = np.flatnonzero(within[at, j])
+                    best = here[np.argsort(d[at[here]], kind="stable")]
+                    if repeated:
+                        best = best[np.sort(np.unique(ids[best], return_index=True)[1])]
+                    best = best[:KEEP]
+                    found["query"] += [q] * len(best)
+                    found["id"] += ids[best].tolist()
+                    found["score"] += d[at[best]].tolist()
         return pd.DataFrame(found).astype({"query": "int64", "id": "int64", "score": "float64"})
 
-    near = (sent.groupBy("leaf", "chunk").cogroup(held.groupBy("leaf", "chunk"))
+    near = (sent.groupBy("leaf", "chunk", "part").cogroup(held.groupBy("leaf", "chunk", "part"))
             .applyInPandas(rerank, "query long, id long, score double"))
     best = (near.groupBy("query", "id").agg(F.min("score").alias("score"))
             .withColumn("_k", F.row_number().over(W.partitionBy("query").orderBy("score", "id"))).filter(F.col("_k") <= KEEP)

@@ -78,3 +78,13 @@ def test_repeated_rows_and_ids(spark):
     rows = [(0, [1.0, 0.0]), (0, [0.0, 4.0]), (3, [0.0, 5.0]), (3, [5.0, 0.0]), (4, [0.0, 5.0]), (5, [2.0, 0.0])]
     got = run(spark.createDataFrame(rows + [(9, [1.0, 0.1 * j]) for j in range(1, 30)], df.schema))
     assert [i for _, i in got[0]] == [9, 3, 4, 5] and [round(s, 4) for s, _ in got[0]] == [0.1, 1.0, 1.0, 1.0]
+
+
+def test_recall_without_clusters(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(10_000, 48)).astype(np.float32).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    want, got = brute(rows), run(df)
+    hits = sum(len({j for _, j in got[q]} & {j for _, j in w}) for q, w in want.items())
+    assert hits >= 0.95 * sum(map(len, want.values()))
+    assert all(s == pytest.approx(dict((j, d) for d, j in want[q]).get(i, s), abs=0) for q in want for s, i in got[q])
