@@ -11,6 +11,7 @@ that have not converged:
   by keeping the least again.
 * Lloyd: each task sums the rows and counts of each restart's clusters, and
   passes on restarts x k x (features + 1) whole numbers, however many rows it has read.
+  The distances of all restarts are one product of matrices for a batch; costs are summed once, at the end.
   A restart stops when its centres move no more than the tolerance, or after `max_iter` steps.
 
 Values enter as multiples of 2**-FRACTION, and sums are sums of whole numbers, so
@@ -118,37 +119,98 @@ def _draw(rows: DataFrame, candidates: dict[int, np.ndarray], seed: int, turn: i
     return {r: np.concatenate(v) for r, v in out.items()}
 
 
-def _sums(rows: DataFrame, centers: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
-    """restart -> (counts, sums of the rows, cost) by nearest centre (the first among equals)."""
-    d = len(rows.columns)
-    offsets, size = {}, 0
-    for r, c in centers.items():
-        offsets[r], size = size, size + len(c) * (d + 1) + 1
+def _labels(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """The nearest of some (restarts, k) centres for each row and restart, the first among equals: (rows, restarts).
+
+    Distances come from one product of matrices. Where the two nearest lie closer than its rounding
+    can tell, they are computed feature by feature."""
+    restarts, k, d = centers.shape
+    flat = centers.reshape(-1, d)
+    norms = (flat * flat).sum(1)
+    rough = (norms - 2 * (x @ flat.T)).reshape(len(x), restarts, k)
+    label = np.zeros((len(x), restarts), np.int64)
+    least, second = rough[:, :, 0].copy(), np.full((len(x), restarts), np.inf)
+    for i in range(1, k):
+        own = rough[:, :, i]
+        second = np.minimum(second, np.maximum(least, own))
+        label[own < least] = i
+        least = np.minimum(least, own)
+    doubt = second - least <= 1e-12 * ((x * x).sum(1).max() + norms.max())
+    for r in np.flatnonzero(doubt.any(0)):
+        at = np.flatnonzero(doubt[:, r])
+        label[at, r] = _squared_distances(x[at], centers[r]).argmin(1)
+    return label
+
+
+def _stacked(centers: dict[int, np.ndarray]) -> Iterator[tuple[list[int], np.ndarray]]:
+    """The restarts with equally many centres, and their centres in one array."""
+    for k in sorted({len(c) for c in centers.values()}):
+        runs = [r for r, c in centers.items() if len(c) == k]
+        yield runs, np.stack([centers[r] for r in runs])
+
+
+def _total(rows: DataFrame, size: int, count) -> list[int]:
+    """The sums of `size` whole numbers that `count(x, total)` adds up over the batches of all tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for x in _whole(batches):
-            for r, c in centers.items():
-                k = len(c)
-                distance = _squared_distances(x, c)
-                label = distance.argmin(1)
-                sums = [np.bincount(label, minlength=k), *(np.bincount(label, column, k) for column in x.T)]
-                own = total[offsets[r]:offsets[r] + k * (d + 1) + 1]
-                own[:-1] += np.concatenate(sums).astype(np.int64)
-                # Squares are multiples of 2**-(2 FRACTION): the cost keeps 2**-FRACTION of them.
-                own[-1] += np.rint(distance.min(1) * 2.0**-FRACTION).astype(np.int64).sum()
+            count(x, total)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["slot", "value"])
 
     summed = rows.mapInArrow(run, "slot long, value long").groupBy("slot").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value"))
     flat = [0] * size
-    for row in summed.collect():  # restarts x k x (features + 1) numbers
+    for row in summed.collect():
         flat[row.slot] = int(row.value)
-    out = {}
-    for r, c in centers.items():
-        own = flat[offsets[r]:offsets[r] + len(c) * (d + 1)]
-        table = np.array(own, dtype=object).reshape(d + 1, len(c))
-        out[r] = table[0], table[1:], flat[offsets[r] + len(own)] * 2.0**-FRACTION
-    return out
+    return flat
+
+
+def _sums(rows: DataFrame, centers: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """restart -> (counts, sums of the rows) by nearest centre (the first among equals)."""
+    d = len(rows.columns)
+    stacks = list(_stacked(centers))
+    size = sum(len(runs) * c.shape[1] for runs, c in stacks) * (d + 1)
+
+    def count(x: np.ndarray, total: np.ndarray) -> None:
+        with_ones = np.c_[np.ones(len(x)), x].T
+        start = 0
+        for runs, c in stacks:
+            label = _labels(x, c)
+            chosen = (label[:, :, None] == np.arange(c.shape[1])).reshape(len(x), -1).astype(np.float64)
+            # Whole numbers below 2**53 in any order of addition.
+            own = (with_ones @ chosen).astype(np.int64)
+            total[start:start + own.size] += own.ravel()
+            start += own.size
+
+    flat = _total(rows, size, count)  # restarts x k x (features + 1) numbers
+    out, start = {}, 0
+    for runs, c in stacks:
+        k = c.shape[1]
+        table = np.array(flat[start:start + len(runs) * k * (d + 1)], dtype=object).reshape(d + 1, len(runs), k)
+        start += table.size
+        out |= {r: (table[0, i], table[1:, i]) for i, r in enumerate(runs)}
+    return {r: out[r] for r in centers}
+
+
+def _costs(rows: DataFrame, centers: dict[int, np.ndarray]) -> dict[int, float]:
+    """restart -> sum of the squared distances of the rows to their nearest centres."""
+    stacks = list(_stacked(centers))
+    order = [r for runs, _ in stacks for r in runs]
+
+    def count(x: np.ndarray, total: np.ndarray) -> None:
+        start = 0
+        for runs, c in stacks:
+            label = _labels(x, c)
+            for i in range(len(runs)):
+                near = np.zeros(len(x))
+                for column, center in zip(x.T, c[i].T):
+                    difference = column - center[label[:, i]]
+                    near += difference * difference
+                # Squares are multiples of 2**-(2 FRACTION): the cost keeps 2**-FRACTION of them.
+                total[start + i] += np.rint(near * 2.0**-FRACTION).astype(np.int64).sum()
+            start += len(runs)
+
+    return {r: v * 2.0**-FRACTION for r, v in zip(order, _total(rows, len(order), count))}
 
 
 def _start_centers(candidates: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -176,20 +238,19 @@ def fit_kmeans(rows: DataFrame, k: int, restarts: int, seed: int, tol: float, ma
         candidates = {r: np.concatenate([candidates[r], drawn[r]]) for r in runs}
     weights = _sums(rows, candidates)
     centers = {r: _start_centers(candidates[r], weights[r][0].astype(np.float64), k, seed + r) for r in runs}
-    open_, iterations, costs = set(runs), dict.fromkeys(runs, 0), {}
+    open_, iterations = set(runs), dict.fromkeys(runs, 0)
     while open_:
         found = _sums(rows, {r: centers[r] for r in sorted(open_)})
-        for r, (counts, sums, cost) in found.items():
-            # The cost is that of the centres that the sums belong to.
+        for r, (counts, sums) in found.items():
             moved = centers[r].copy()
             held = np.flatnonzero(counts > 0)
             moved[held] = np.array([[int(sums[j, i]) / int(counts[i]) for j in range(len(sums))] for i in held])
             shift = float(((moved - centers[r]) ** 2).sum()) / scale**2
-            costs[r] = cost
             iterations[r] += 1
             if shift <= tol or iterations[r] >= max_iter:
                 open_.discard(r)
             if shift > 0 and r in open_:
                 centers[r] = moved
+    costs = _costs(rows, centers)
     best = min(runs, key=lambda r: (costs[r], r))
     return KMeansFit(centers[best] / scale, costs[best], [costs[r] for r in runs], [iterations[r] for r in runs])

@@ -25,6 +25,7 @@ from ledgerlake.operators.kmeans import fit_kmeans
 from ledgerlake.operators.prep import NumericPrep, NumericPrepModel
 from ledgerlake.operators.quantiles import grouped_median
 
+ROWS_A_PART = 1 << 16
 SHIFT_TOLERANCE = 1e-4  # of the mean variance: the sum of squared centre shifts at which a fit stops
 
 
@@ -96,7 +97,9 @@ def fit_cluster_features(train: DataFrame, cols: list[str], k: int = N_CLUSTERS,
     scaled = _scaled_names(cols)
     train = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)  # read by every fit below
     prep = NumericPrep(inputCols=cols, outputCols=scaled, exact=exact).fit(train)
-    rows = prep.transform(train).select(*scaled).persist(StorageLevel.MEMORY_AND_DISK)
+    # k-means scans these rows many times: no more parts than they need.
+    parts = max(train.sparkSession.sparkContext.defaultParallelism, train.count() // ROWS_A_PART + 1)
+    rows = prep.transform(train).select(*scaled).coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         mean, matrix = _moments(rows, scaled)
         components, variances, ratios = principal_components(matrix, n_components)

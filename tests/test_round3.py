@@ -68,6 +68,14 @@ def test_kmeans_restarts_share_their_scans(spark):
     assert reads[0] == 6 and len(reads) == 1 + max(fit.iterations) and sum(reads[1:]) == sum(fit.iterations)
 
 
+def test_kmeans_labels_are_those_of_plain_distances():
+    rng = np.random.default_rng(4)
+    x = np.rint(rng.normal(size=(500, 3)) * 4) * 2.0**24  # a grid: many equal distances
+    centers = np.rint(rng.normal(size=(7, 5, 3)) * 4) * 2.0**24
+    want = np.stack([kmeans._squared_distances(x, c).argmin(1) for c in centers], 1)
+    assert np.array_equal(kmeans._labels(x, centers), want)
+
+
 def test_kmeans_weights_copies_and_takes_few_distinct_rows(spark):
     rows = np.array([[0.0, 0, 0]] * 90 + [[10.0, 0, 0]] * 9 + [[10.0, 1, 0]])
     fit = fit_kmeans(frame(spark, rows), 2, 3, 1, 0.0)
