@@ -119,7 +119,9 @@ def daily_to_monthly(daily: DataFrame, extra_keys: tuple[str, ...] = ()) -> Data
     their order open."""
     value_cols = [c for c in daily.columns if c != ROW_ORDER and c not in extra_keys]
     tie = F.col(ROW_ORDER) if ROW_ORDER in daily.columns else F.xxhash64(*[F.col(c) for c in value_cols])
-    order = F.struct(F.col(DAY), tie)
+    # The tie-break is a column of its own, so that a row is hashed once and not once for each aggregate.
+    daily = daily.withColumn("_tie", tie)
+    order = F.struct(F.col(DAY), F.col("_tie"))
     monthly = daily.groupBy(SECURITY, "month_end", *extra_keys).agg(
         _last_non_null("cusip8", order).alias("cusip8"),
         _last_non_null("Ticker", order).alias("crsp_ticker"),
