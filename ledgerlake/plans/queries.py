@@ -96,7 +96,8 @@ def engineered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model(spark: SparkSession, sf: str) -> DataFrame:
-    return _stage(spark, sf, "model", lambda: quarterly.model_frame(engineered(spark, sf)))
+    """A filter and a label on the kept panel: not kept a second time."""
+    return quarterly.model_frame(engineered(spark, sf))
 
 
 def train(spark, sf):

@@ -19,6 +19,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.session import for_wide_rows
+
 PANEL_Q_SQL = """
 WITH q0 AS (
   SELECT o.o_custkey AS ck,
@@ -122,6 +124,7 @@ def source_key(spark: SparkSession, sf_dir: str) -> tuple[str, str | None]:
 def _maybe_materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """When `ledgerlake.fixture.cache` is set (bench), write each derived input
     once as parquet and read it back, as a real pipeline reads its input files."""
+    for_wide_rows(spark)
     cache = _cache_dir(spark)
     if not cache:
         return build()
