@@ -257,8 +257,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
             squares = (x * x).sum(1)
             for i in range(0, len(asking), ASKING):
                 e = np.stack(asking["e"].iloc[i:i + ASKING].to_numpy()).astype(np.float64)
-                # By a product of matrices, exact but for rounding: it only rules points out.
-                rough = squares[:, None] - 2 * (x @ e.T)
+                # Exact but for rounding: it only rules points out. Not by `@`, whose threads would crowd the tasks.
+                rough = squares[:, None] - 2 * np.einsum("ij,kj->ik", x, e)
                 if len(x) > KEEP and not repeated:
                     slack = 1e-9 * (squares.max() + (e * e).sum(1))
                     within = rough <= np.partition(rough, KEEP - 1, axis=0)[KEEP - 1] + slack

@@ -127,7 +127,8 @@ def _labels(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     restarts, k, d = centers.shape
     flat = centers.reshape(-1, d)
     norms = (flat * flat).sum(1)
-    rough = (norms - 2 * (x @ flat.T)).reshape(len(x), restarts, k)
+    # Not by `@`: its threads, several to a task, would wait for each other.
+    rough = (norms - 2 * np.einsum("ij,kj->ik", x, flat)).reshape(len(x), restarts, k)
     label = np.zeros((len(x), restarts), np.int64)
     least, second = rough[:, :, 0].copy(), np.full((len(x), restarts), np.inf)
     for i in range(1, k):
@@ -172,15 +173,14 @@ def _sums(rows: DataFrame, centers: dict[int, np.ndarray]) -> dict[int, tuple[np
     size = sum(len(runs) * c.shape[1] for runs, c in stacks) * (d + 1)
 
     def count(x: np.ndarray, total: np.ndarray) -> None:
-        with_ones = np.c_[np.ones(len(x)), x].T
         start = 0
         for runs, c in stacks:
-            label = _labels(x, c)
-            chosen = (label[:, :, None] == np.arange(c.shape[1])).reshape(len(x), -1).astype(np.float64)
+            n, k = len(runs), c.shape[1]
+            slot = (_labels(x, c) + k * np.arange(n)).ravel()
             # Whole numbers below 2**53 in any order of addition.
-            own = (with_ones @ chosen).astype(np.int64)
-            total[start:start + own.size] += own.ravel()
-            start += own.size
+            own = [np.bincount(slot, minlength=n * k), *(np.bincount(slot, np.repeat(column, n), n * k) for column in x.T)]
+            total[start:start + n * k * (d + 1)] += np.concatenate(own).astype(np.int64)
+            start += n * k * (d + 1)
 
     flat = _total(rows, size, count)  # restarts x k x (features + 1) numbers
     out, start = {}, 0
