@@ -11,8 +11,9 @@ whole column. Here order statistics are found digit by digit:
    have each next digit. An Arrow batch is counted by NumPy, the counts
    of all batches are summed by a hash aggregate on integers: at most
    2**BITS rows for each open prefix leave a task, whatever it has read.
-3. The driver walks each histogram to the digit that holds the rank. After
-   64 / BITS passes the key is complete. Once the open prefixes hold no more
+3. The driver walks each histogram to the digit that holds the rank. A count comes with the
+   least and the greatest key it covers: where they are equal, however often the value is repeated,
+   the rank is found. After 64 / BITS passes the key is complete. Once the open prefixes hold no more
    than `listed` values in all, the next pass counts the keys themselves and is the last:
    three passes for most tables, six at worst.
 4. Quantiles interpolate linearly between two neighbouring ranks (NumPy's
@@ -78,26 +79,28 @@ def around(p: float, n: int) -> tuple[int, int, float]:
     return low, min(low + 1, n - 1), place - low
 
 
-def _distinct_counts(major: np.ndarray, minor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct pairs of two arrays and how often each occurs."""
+def _distinct_counts(major: np.ndarray, minor: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of two arrays and, for each, how often it occurs and its least and greatest key."""
     if not len(major):
-        return major, minor, np.empty(0, np.int64)
-    order = np.lexsort((minor, major))
-    major, minor = major[order], minor[order]
+        return major, minor, np.empty((0, 3), np.int64)
+    order = np.lexsort((key, minor, major))
+    major, minor, key = major[order], minor[order], (key[order] ^ _SIGN).view(np.int64)
     first = np.flatnonzero(np.r_[True, (major[1:] != major[:-1]) | (minor[1:] != minor[:-1])])
-    return major[first], minor[first], np.diff(np.r_[first, len(major)])
+    end = np.r_[first[1:], len(major)]
+    return major[first], minor[first], np.stack([end - first, key[first], key[end - 1]], axis=1)
 
 
-# One pass's counts: group code, feature number, prefix, next digit (-1: missing values) or, in the last pass, the key.
-_COUNTS = "g long, f int, prefix long, digit long, c long"
+# One pass's counts: group code, feature number, prefix, next digit (-1: missing values) or, in the last pass, the key;
+# and the least and greatest key counted, as signed numbers of the same order.
+_COUNTS = "g long, f int, prefix long, digit long, c long, lo long, hi long"
 _MISSING = np.uint64(2**64 - 1)
-_NAMES = ["g", "f", "prefix", "digit", "c"]
+_NAMES = ["g", "f", "prefix", "digit", "c", "lo", "hi"]
 
 
-def _rows(g, f: int, prefix, digit, c) -> pa.RecordBatch:
+def _rows(g, f: int, prefix, digit, stats: np.ndarray) -> pa.RecordBatch:
     signed = lambda x: pa.array(np.asarray(x).astype(np.uint64).view(np.int64))
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(g, np.int64)), pa.array(np.full(len(c), f, np.int32)),
-                                       signed(prefix), signed(digit), pa.array(np.asarray(c, np.int64))], names=_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(g, np.int64)), pa.array(np.full(len(stats), f, np.int32)),
+                                       signed(prefix), signed(digit), *[pa.array(np.ascontiguousarray(x)) for x in stats.T]], names=_NAMES)
 
 
 def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -114,11 +117,12 @@ def _first_digits(take: int):
             codes, group = np.unique(b.column(0).to_numpy(), return_inverse=True)
             for f in range(b.num_columns - 1):
                 at, key = _values(b.column(1 + f))
-                g, digit, c = _distinct_counts(group[at], key >> np.uint64(64 - take))
-                yield _rows(codes[g], f, np.zeros(len(c)), digit, c)
+                g, digit, stats = _distinct_counts(group[at], key >> np.uint64(64 - take), key)
+                yield _rows(codes[g], f, np.zeros(len(stats)), digit, stats)
                 gone = np.bincount(group, minlength=len(codes)) - np.bincount(group[at], minlength=len(codes))
                 without = np.flatnonzero(gone)
-                yield _rows(codes[without], f, np.zeros(len(without)), np.full(len(without), _MISSING), gone[without])
+                yield _rows(codes[without], f, np.zeros(len(without)), np.full(len(without), _MISSING),
+                            np.outer(gone[without], np.array([1, 0, 0])))
 
     return run
 
@@ -143,21 +147,22 @@ def _next_digits(open_: dict[int, tuple[np.ndarray, np.ndarray]], known: int, ta
                 k = np.minimum(np.searchsorted(pairs, i * len(heads) + j), len(pairs) - 1)
                 hit = (codes[i] == g) & (heads[j] == head) & (pairs[k] == i * len(heads) + j)
                 digit = key[hit] >> np.uint64(64 - known - take) & np.uint64(2**take - 1)
-                k, digit, c = _distinct_counts(k[hit], digit)
-                yield _rows(groups[k], f, prefixes[k], digit, c)
+                k, digit, stats = _distinct_counts(k[hit], digit, key[hit])
+                yield _rows(groups[k], f, prefixes[k], digit, stats)
 
     return run
 
 
 def _counted(data: DataFrame, step) -> dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray]]:
-    """(group, feature, prefix) -> digits in order and their counts, of one pass over the data."""
-    table = data.mapInArrow(step, _COUNTS).groupBy("g", "f", "prefix", "digit").agg(F.sum("c").alias("c")).toArrow()
-    g, f, prefix, digit, c = (table.column(n).to_numpy() for n in _NAMES)
-    prefix, digit = prefix.view(np.uint64), digit.view(np.uint64)
+    """(group, feature, prefix) -> digits in order and, for each, its count, least and greatest key, of one pass over the data."""
+    table = data.mapInArrow(step, _COUNTS).groupBy("g", "f", "prefix", "digit").agg(
+        F.sum("c").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).toArrow()
+    g, f, prefix, digit, *stats = (table.column(n).to_numpy() for n in _NAMES)
+    prefix, digit, stats = prefix.view(np.uint64), digit.view(np.uint64), np.stack(stats, axis=1)
     order = np.lexsort((digit, prefix, f, g))
-    g, f, prefix, digit, c = (x[order] for x in (g, f, prefix, digit, c))
+    g, f, prefix, digit, stats = (x[order] for x in (g, f, prefix, digit, stats))
     cut = np.flatnonzero((g[1:] != g[:-1]) | (f[1:] != f[:-1]) | (prefix[1:] != prefix[:-1])) + 1
-    return {(int(g[i]), int(f[i]), int(prefix[i])): (digit[i:j], c[i:j])
+    return {(int(g[i]), int(f[i]), int(prefix[i])): (digit[i:j], stats[i:j])
             for i, j in zip(np.r_[0, cut].astype(int), np.r_[cut, len(g)].astype(int)) if j > i}
 
 
@@ -167,10 +172,10 @@ def _search(data: DataFrame, wanted: Callable[[int, int], Iterable[int]], listed
     # Open ranks by (group, feature, prefix), each with the rank within the prefix.
     ranks: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
     histograms = _counted(data, _first_digits(BITS))
-    for (g, f, prefix), (digits, counts) in histograms.items():
+    for (g, f, prefix), (digits, stats) in histograms.items():
         valid = digits != _MISSING
-        s = found[g, f] = OrderStatistics(int(counts[valid].sum()), int(counts[~valid].sum()))
-        histograms[g, f, prefix] = digits[valid], counts[valid]
+        s = found[g, f] = OrderStatistics(int(stats[valid, 0].sum()), int(stats[~valid, 0].sum()))
+        histograms[g, f, prefix] = digits[valid], stats[valid]
         ranks[g, f, prefix] = [(r, r) for r in sorted({r for r in wanted(s.n, s.missing) if 0 <= r < s.n})]
     known, take = 0, BITS
     while True:
@@ -179,21 +184,20 @@ def _search(data: DataFrame, wanted: Callable[[int, int], Iterable[int]], listed
         for (g, f, prefix), own in ranks.items():
             if not own:
                 continue
-            digits, counts = histograms[g, f, prefix]
+            digits, stats = histograms[g, f, prefix]
+            counts, low, high = stats.T
             ends = np.cumsum(counts)
             for rank, left in own:
                 i = int(np.searchsorted(ends, left, "right"))
+                if low[i] == high[i]:  # one value only, as with each whole key
+                    found[g, f].at[rank] = float(keyed_values(np.array([low[i]]).view(np.uint64) ^ _SIGN)[0])
+                    continue
                 at = (g, f, (prefix << take) | int(digits[i]))
                 below.setdefault(at, []).append((rank, left - int(ends[i] - counts[i])))
                 held[at] = int(counts[i])
         ranks, known = below, known + take
         if not ranks:
             return found
-        if known == 64:
-            for (g, f, key), own in ranks.items():
-                value = float(keyed_values(np.array([key], np.uint64))[0])
-                found[g, f].at.update((rank, value) for rank, _ in own)
-            return found
         # The rest of the key at once when few values are left below the open prefixes.
         take = 64 - known if sum(held.values()) <= listed else min(BITS, 64 - known)
         open_ = {}

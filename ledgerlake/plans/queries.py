@@ -19,6 +19,7 @@ from ledgerlake.constants import (
     CATEGORICAL_FEATURES,
     CLUSTER_FEATURES,
     CORE_NUMERIC_COLUMNS,
+    CORRELATION_FEATURES,
     PRICE_CATEGORICAL_FEATURES,
     PRICE_NUMERIC_FEATURES,
     PRICE_TARGET_COL,
@@ -85,23 +86,33 @@ def deduped_q(spark, sf):
 STAGES = Stages()
 
 
-def _stage(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A frame read by many queries (and twice inside split queries: once for
-    the cut dates, once for the rows): built and kept once per input."""
-    return STAGES.frame(spark, (fixtures.source_key(spark, sf), name), build)
+def _stage(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame], keep: bool = True) -> DataFrame:
+    """A frame read by many queries: built once per input, and kept unless `keep` is false.
+
+    The wide frames (panel, link, price model) are not kept: at some GB three copies of 100 columns
+    would fill the executors' memory, whatever few columns a query asks for. Queries that read their
+    rows more than once (cut dates, then rows; passes of a fit) keep the columns that they need."""
+    return STAGES.frame(spark, (fixtures.source_key(spark, sf), name), build, keep)
 
 
 def engineered(spark: SparkSession, sf: str) -> DataFrame:
-    return _stage(spark, sf, "engineered", lambda: quarterly.engineered_panel(raw_q(spark, sf)))
+    return _stage(spark, sf, "engineered", lambda: quarterly.engineered_panel(raw_q(spark, sf)), keep=False)
 
 
-def model(spark: SparkSession, sf: str) -> DataFrame:
-    """A filter and a label on the kept panel: not kept a second time."""
-    return quarterly.model_frame(engineered(spark, sf))
+def model(spark: SparkSession, sf: str, cols: list[str] | None = None) -> DataFrame:
+    """The labelled model rows. With `cols`, these columns (and the key and target) of the rows are
+    kept, for a query that reads them more than once."""
+    if cols is None:
+        return quarterly.model_frame(engineered(spark, sf))
+    own = list(dict.fromkeys([*KEY, *cols, TARGET_COL]))
+    kept = _stage(spark, sf, f"model {','.join(own)}", lambda: model_rows(engineered(spark, sf)).select(*own))
+    return quarterly.model_frame(kept)
 
 
-def train(spark, sf):
-    return mf.train_rows(model(spark, sf))
+def cluster_model(spark, sf):
+    """The model rows with the clustering features."""
+    _, _, cols = feature_columns(engineered(spark, sf).columns)
+    return model(spark, sf, cols)
 
 
 def typed_d(spark, sf):
@@ -118,15 +129,21 @@ def monthly_joined(spark, sf):
 
 
 def monthly_final(spark, sf):
-    return _stage(spark, sf, "monthly_final", lambda: dd.dedupe_cusip_month(monthly_joined(spark, sf)))
+    return _stage(spark, sf, "monthly_final", lambda: dd.dedupe_cusip_month(monthly_joined(spark, sf)), keep=False)
 
 
 def merged(spark, sf):
-    return _stage(spark, sf, "merged", lambda: pp.linked_panel(engineered(spark, sf), monthly_final(spark, sf)))
+    return _stage(spark, sf, "merged", lambda: pp.linked_panel(engineered(spark, sf), monthly_final(spark, sf)), keep=False)
 
 
-def price_model(spark, sf):
-    return _stage(spark, sf, "price_model", lambda: pp.price_model_frame(merged(spark, sf)))
+def price_model(spark, sf, cols: list[str] | None = None):
+    """The labelled linked rows with a price target; with `cols`, these columns of them are kept (as in `model`)."""
+    if cols is None:
+        return _stage(spark, sf, "price_model", lambda: pp.price_model_frame(merged(spark, sf)), keep=False)
+    own = list(dict.fromkeys([*KEY, *cols, PRICE_TARGET_COL]))
+    kept = _stage(spark, sf, f"price_model {','.join(own)}",
+                  lambda: merged(spark, sf).where(F.col(PRICE_TARGET_COL).isNotNull()).select(*own))
+    return pp.price_model_frame(kept)
 
 
 def _eng_cols(spark, sf, cols):
@@ -419,7 +436,7 @@ def q_invalid_audit(spark, sf):
 
 def q_feature_correlations(spark, sf):
     """Pairwise Pearson correlations over the model rows (A10)."""
-    return rounded(pf.feature_correlations(model(spark, sf)))
+    return rounded(pf.feature_correlations(model(spark, sf, CORRELATION_FEATURES)))
 
 
 def q_missingness_top20(spark, sf):
@@ -438,14 +455,16 @@ def q_price_profile(spark, sf):
 
 def q_merge_profile(spark, sf):
     """Link profile: rows, matched, model rows, rows per split."""
-    return pf.merge_profile(merged(spark, sf), price_model(spark, sf), PRICE_TARGET_COL)
+    # Read for the counts, the cut dates and the labels.
+    linked = _stage(spark, sf, "linked", lambda: merged(spark, sf).select("datadate", "PERMNO", PRICE_TARGET_COL))
+    return pf.merge_profile(linked, pp.price_model_frame(linked), PRICE_TARGET_COL)
 
 
 # --- split ---------------------------------------------------------------------
 
 def q_chronological_split(spark, sf):
     """Train / validation / test label on distinct-date cuts."""
-    return model(spark, sf).select(*KEY, "split")
+    return model(spark, sf, KEY).select(*KEY, "split")
 
 
 def q_split_cuts(spark, sf):
@@ -455,24 +474,24 @@ def q_split_cuts(spark, sf):
 
 def q_split_summary(spark, sf):
     """Split summary of the next-quarter earnings-growth target."""
-    return rounded(split_summary(model(spark, sf)))
+    return rounded(split_summary(model(spark, sf, KEY)))
 
 
 def q_price_split(spark, sf):
     """Chronological split of the linked rows with a price target."""
-    return price_model(spark, sf).select(*KEY, "PERMNO", "crsp_split")
+    return price_model(spark, sf, ["PERMNO"]).select(*KEY, "PERMNO", "crsp_split")
 
 
 def q_price_split_summary(spark, sf):
     """Split summary of the excess-return target."""
-    s = split_summary(price_model(spark, sf), label="crsp_split", target=PRICE_TARGET_COL, security="PERMNO")
+    s = split_summary(price_model(spark, sf, ["PERMNO"]), label="crsp_split", target=PRICE_TARGET_COL, security="PERMNO")
     return rounded(s)
 
 
 # --- preprocessing ------------------------------------------------------------
 
 def _cluster_params(spark, sf):
-    tr = train(spark, sf)
+    tr = mf.train_rows(cluster_model(spark, sf))
     _, _, cols = feature_columns(tr.columns)
     return tr, numeric_params(tr, cols)
 
@@ -497,7 +516,7 @@ def q_standard_scale(spark, sf):
 
 def q_numeric_pipeline(spark, sf):
     """Impute → clip → scale applied to every model row (M4)."""
-    m = model(spark, sf)
+    m = cluster_model(spark, sf)
     _, _, cols = feature_columns(m.columns)
     p = numeric_params(mf.train_rows(m), cols)
     return rounded(transform_numeric(m, p).select(*KEY, *cols), 4)
@@ -505,15 +524,14 @@ def q_numeric_pipeline(spark, sf):
 
 def q_one_hot_levels(spark, sf):
     """Training level table with infrequent pooling of the categorical inputs (M5)."""
-    tr = train(spark, sf)
-    cats = [c for c in CATEGORICAL_FEATURES if c in tr.columns]
-    return category_levels(tr, cats)
+    cats = [c for c in CATEGORICAL_FEATURES if c in engineered(spark, sf).columns]
+    return category_levels(mf.train_rows(model(spark, sf, cats)), cats)
 
 
 def q_one_hot_rows(spark, sf):
     """The training level and slot of every model row's categorical inputs, by joins (M5)."""
-    m = model(spark, sf)
-    cats = [c for c in CATEGORICAL_FEATURES if c in m.columns]
+    cats = [c for c in CATEGORICAL_FEATURES if c in engineered(spark, sf).columns]
+    m = model(spark, sf, cats)
     coded = join_levels(m, category_levels(mf.train_rows(m), cats), cats)
     return coded.select(*KEY, *[x for c in cats for x in (f"{c}_level", f"{c}_slot")])
 
@@ -527,24 +545,26 @@ def forget(spark: SparkSession) -> None:
     _FITS.clear()
 
 
-def _clustered(spark, sf, restarts=None):
-    """Model frame with cluster features. The fit (numeric pipeline, PCA,
-    k-means restarts on the training rows) is done once per session and
+def _clustered(spark, sf, restarts=None, cols=None):
+    """Model rows (the clustering features, or `cols` beside them) with cluster features. The fit
+    (numeric pipeline, PCA, k-means restarts on the training rows) is done once per session and
     input folder and reused, as a fitted model is."""
-    m = model(spark, sf)
+    m = cluster_model(spark, sf)
     key = (spark.sparkContext.applicationId, sf, restarts)
     if key not in _FITS:
         _, art = mf.fit_clusters(m, restarts=restarts)
         _FITS[key] = art
     art = _FITS[key]
     from ledgerlake.operators.unsupervised import add_cluster_features
-    return add_cluster_features(m, art), art
+    return add_cluster_features(model(spark, sf, [*art.features, *cols]) if cols else m, art), art
 
 
 def q_feature_vectors(spark, sf):
     """Fitted preprocessor (numeric + one-hot) → feature vectors of the model rows (M6)."""
-    m, _ = _clustered(spark, sf, restarts=None)
-    num, cat, _ = feature_columns(m.columns)
+    num, cat, _ = feature_columns(engineered(spark, sf).columns)
+    m, _ = _clustered(spark, sf, restarts=None, cols=[*num, *cat])
+    # With the cluster features, in the listed order.
+    num, cat, _ = feature_columns([*engineered(spark, sf).columns, *m.columns])
     pipe = mf.fit_preprocessor(mf.train_rows(m), num, cat)
     out = pipe.transform(m)
     return out.select(*KEY, "split", vector_to_array("features").alias("features"))
@@ -571,7 +591,7 @@ def q_cluster_profile(spark, sf):
 def q_cluster_profile_by_quarter(spark, sf):
     """A9 over the training rows with the calendar quarter in the label's place,
     so that the medians and counts can be compared in SQL."""
-    tr = train(spark, sf).withColumn("finance_cluster", F.concat(F.lit("cluster_"), F.quarter("datadate").cast("string")))
+    tr = mf.train_rows(cluster_model(spark, sf)).withColumn("finance_cluster", F.concat(F.lit("cluster_"), F.quarter("datadate").cast("string")))
     return rounded(cluster_profile(tr, CLUSTER_FEATURES))
 
 
@@ -600,34 +620,35 @@ def q_plot_sample(spark, sf):
     return pf.plot_sample(m).select(*KEY, "finance_cluster", "cluster_pca1", "cluster_pca2")
 
 
-def _price_train(spark, sf):
-    """The linked training rows, before cluster features are written back."""
-    return mf.train_rows(price_model(spark, sf), "crsp_split")
+def _price_train(spark, sf, cols):
+    """Columns of the linked training rows, before cluster features are written back."""
+    return mf.train_rows(price_model(spark, sf, cols), "crsp_split")
 
 
 def q_price_one_hot_levels(spark, sf):
     """Level table of the price model's categorical inputs, fitted on the linked training rows (M9)."""
-    tr = _price_train(spark, sf)
-    return category_levels(tr, [c for c in [*CATEGORICAL_FEATURES, *PRICE_CATEGORICAL_FEATURES] if c in tr.columns])
+    cats = [c for c in [*CATEGORICAL_FEATURES, *PRICE_CATEGORICAL_FEATURES] if c in merged(spark, sf).columns]
+    return category_levels(_price_train(spark, sf, cats), cats)
 
 
 def q_price_numeric_params(spark, sf):
     """Numeric parameters of the price model's inputs, fitted on the linked training rows,
     but for the two principal components (M9)."""
-    tr = _price_train(spark, sf)
-    num, _, _ = feature_columns(tr.columns)
-    return rounded(numeric_params(tr, [*num, *PRICE_NUMERIC_FEATURES]).table(spark), 4)
+    num, _, _ = feature_columns(merged(spark, sf).columns)
+    cols = [*num, *PRICE_NUMERIC_FEATURES]
+    return rounded(numeric_params(_price_train(spark, sf, cols), cols).table(spark), 4)
 
 
 def q_price_numeric_pipeline(spark, sf):
     """Price-model preprocessor fitted on the linked training rows (M9): parameters
     of the numeric pipeline over panel + price features."""
-    m, art = _clustered(spark, sf, restarts=None)
+    _, art = _clustered(spark, sf, restarts=None)
     wb = mf.write_back(engineered(spark, sf), art)
-    linked = _stage(spark, sf, "linked_write_back", lambda: pp.linked_panel(wb, monthly_final(spark, sf)))
-    pm = pp.price_model_frame(linked)
-    num, _, _ = feature_columns(m.columns)
+    num, _, _ = feature_columns(wb.columns)
     num = num + [c for c in PRICE_NUMERIC_FEATURES if c not in num]
+    linked = _stage(spark, sf, "linked_write_back", lambda: pp.linked_panel(wb, monthly_final(spark, sf))
+                    .where(F.col(PRICE_TARGET_COL).isNotNull()).select("datadate", PRICE_TARGET_COL, *num))
+    pm = pp.price_model_frame(linked)
     tr = mf.train_rows(pm, "crsp_split")
     return rounded(numeric_params(tr, num).table(spark))
 

@@ -3,8 +3,9 @@
 `Stages.frame(spark, key, build)` builds a frame the first time and marks it to be
 persisted; building runs no job, the first action that reads the frame fills it.
 Later calls with an equal key get the very same frame, so nothing is planned, scanned or
-kept twice. MEMORY_AND_DISK keeps the lineage: blocks of a lost executor are
-recomputed. `release` lets them go again, and a frame of a stopped session
+kept twice. With `keep=False` the frame is only named: plans that read it compute just the columns
+they need, which is less than keeping a wide frame whole. MEMORY_AND_DISK keeps the
+lineage: blocks of a lost executor are recomputed. `release` lets them go again, and a frame of a stopped session
 is dropped as soon as another session asks.
 """
 
@@ -27,10 +28,11 @@ class Stages:
             self._frames.clear()
             self._owner = owner
 
-    def frame(self, spark: SparkSession, key: Hashable, build: Callable[[], DataFrame]) -> DataFrame:
+    def frame(self, spark: SparkSession, key: Hashable, build: Callable[[], DataFrame], keep: bool = True) -> DataFrame:
         self._enter(spark)
         if key not in self._frames:
-            self._frames[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
+            frame = build()
+            self._frames[key] = frame.persist(StorageLevel.MEMORY_AND_DISK) if keep else frame
         return self._frames[key]
 
     def keys(self) -> list[Hashable]:

@@ -96,3 +96,13 @@ def test_state_does_not_grow_with_the_rows(spark, monkeypatch):
     for rows in held.values():
         assert max(rows) <= 2 * 4 * 2**6 + 500
     assert max(held[400_000]) <= 2 * max(held[4_000]) + 500
+
+
+def test_a_value_repeated_beyond_the_listed_ones_takes_no_further_pass(spark, monkeypatch):
+    passes = []
+    plain = quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda data, step: passes.append(1) or plain(data, step))
+    df = spark.range(3000).selectExpr("IF(id % 3 = 0, CAST(id AS DOUBLE), 0.7) a")
+    got = {r.p: r.value for r in exact_quantiles(df, ["a"], [0.2, 0.5], listed=100).collect()}
+    assert got == {0.2: 0.7, 0.5: 0.7}
+    assert len(passes) == 1
