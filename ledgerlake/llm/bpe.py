@@ -34,6 +34,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import struct
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
@@ -43,11 +45,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-MAX_STORED = 250_000  # words that a worker keeps, and half of the table entries
+MAX_STORED = 400_000  # words that a worker keeps, and half of the table entries
+_PLANE = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
 # Fixed: white space as the pre-splitting pattern's \s has it, and that pattern.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
-_SPLIT = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+"
-          rf"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_SPLIT = (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{{L}}]+| ?[{{N}}]+| ?[^{_SPACE}{{L}}{{N}}]+"
+          f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 def byte_characters() -> dict[str, int]:
@@ -58,6 +61,17 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def _class_body(prop: str) -> str:
+    """The characters of the basic plane with a property, as the ranges of a character class of `re`."""
+    runs: list[list[int]] = []
+    for c in map(ord, regex.findall(prop, _PLANE)):
+        if runs and runs[-1][1] == c - 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in runs)
+
+
 class Automaton:
     def __init__(self, spec: str, max_stored: int = MAX_STORED):
         j = json.loads(spec)
@@ -70,12 +84,12 @@ class Automaton:
         to_bytes = lambda s: bytes(chars[c] for c in s)
         self.special = {t["content"]: t["id"] for t in j["added_tokens"]}
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.split = regex.compile(_SPLIT)
+        # Classes of the basic plane spelled out: `re` looks them up in a table.
+        self.split = re.compile(_SPLIT.format(L=_class_body(r"\p{L}"), N=_class_body(r"\p{N}")))
         # Letters and numbers beyond the basic plane, and those that are newer than Python's
         # tables, differ between Unicode versions.
-        plane = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
-        newer = "".join(c for c in regex.findall(r"[\p{L}\p{N}]", plane) if unicodedata.category(c) == "Cn")
-        self.rare = regex.compile(rf"[\U00010000-\U0010ffff{newer}]")
+        newer = "".join(c for c in regex.findall(r"[\p{L}\p{N}]", _PLANE) if unicodedata.category(c) == "Cn")
+        self.rare = re.compile(rf"[\U00010000-\U0010ffff{newer}]")
         self.labels: list[bytes] = [b""] * (1 + max(chain(m["vocab"].values(), self.special.values())))
         for s, i in m["vocab"].items():
             self.labels[i] = to_bytes(s)
@@ -101,7 +115,12 @@ class Automaton:
                 self.made_at[w], self.row[w], self.column[w] = i, v, u
                 self.tokens[self.labels[w]] = w
             self.cleared[u * n + v] = i
-        self.longest = max(map(len, self.tokens))
+        # Lengths that tokens with some first three bytes have, the longest first, down to one byte.
+        sizes: dict[bytes, set[int]] = {}
+        for t in self.tokens:
+            if len(t) > 2:
+                sizes.setdefault(t[:3], {1, 2} if t[:2] in self.tokens else {1}).add(len(t))
+        self.sizes = {head: tuple(sorted(own, reverse=True)) for head, own in sizes.items()}
 
     def _allowed(self, x: int, y: int, before: int) -> bool:
         """Whether state x has an arc y after the merges numbered below `before`."""
@@ -131,25 +150,27 @@ class Automaton:
         whole = self.tokens.get(word)
         if whole is not None:  # a token spells itself
             return [whole]
-        n, get, arc = len(word), self.tokens.get, self.arc
+        n, get, arc, sizes = len(word), self.tokens.get, self.arc, self.sizes.get
+        known, width, labels = self.table.get, self.width, self.labels
         path: list[int] = []
-        cuts, dead = [0], set()
-        most = self.longest
-        while cuts[-1] < n:
-            at = cuts[-1]
-            for size in range(min(most, n - at), 0, -1):
-                if at + size in dead:
+        cuts: list[int] = []  # where the tokens of the path begin
+        dead = set()
+        at, room, row = 0, n, -1
+        while at < n:
+            for size in sizes(word[at:at + 3], (2, 1)):
+                if size > room or (t := get(word[at:at + size])) is None or at + size in dead:
                     continue
-                t = get(word[at:at + size])
-                if t is not None and (not path or arc(path[-1], t)):
+                # A stored arc is looked up here: most are.
+                if row < 0 or ((found := known(row + t)) or found is None and arc(path[-1], t)):
                     path.append(t)
-                    cuts.append(at + size)
-                    most = self.longest
+                    cuts.append(at)
+                    at, row = at + size, t * width
+                    room = n - at
                     break
             else:  # no arc leads on from here
                 dead.add(at)
-                most = len(self.labels[path.pop()]) - 1
-                cuts.pop()
+                room, at = len(labels[path.pop()]) - 1, cuts.pop()
+                row = path[-1] * width if path else -1
         return path
 
     def _ids(self, text: str) -> bytes:
@@ -160,7 +181,8 @@ class Automaton:
             store.clear()
         for w in set(words):
             if w not in store:
-                store[w] = np.array(self.encode_word(w.encode()), "<u4").tobytes()
+                path = self.encode_word(w.encode())
+                store[w] = struct.pack(f"<{len(path)}I", *path)
         return b"".join(map(store.__getitem__, words))
 
     def encode(self, text: str | None) -> np.ndarray:

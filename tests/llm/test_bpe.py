@@ -109,3 +109,25 @@ def test_letters_newer_than_pythons_tables(library, automaton):
         for s in (f"a{c}b", f" {c}{c} 1{c}2", f"x {c}", f"{c}'s {c}\n{c}"):
             assert list(automaton.encode(s)) == library.encode(s, add_special_tokens=False).ids, repr(s)
     assert automaton.rare.search("\u0c5c") and not automaton.rare.search("abc é 日本 1")
+
+
+def test_only_lengths_of_tokens_are_tried(automaton):
+    """A word is cut by lengths that tokens with its first bytes have, not by every length up to the longest token."""
+    for head, sizes in automaton.sizes.items():
+        assert sizes[-1] == 1 and list(sizes) == sorted(set(sizes), reverse=True)
+    assert all(len(t) in automaton.sizes[t[:3]] for t in automaton.tokens if len(t) > 2)
+    tried = []
+
+    class Tokens(dict):
+        def get(self, key, default=None):
+            tried.append(key)
+            return super().get(key, default)
+
+    word = b" denchzugebexqzjvkw"
+    want = automaton.encode_word(word)
+    plain, automaton.tokens = automaton.tokens, Tokens(automaton.tokens)
+    try:
+        assert automaton.encode_word(word) == want
+    finally:
+        automaton.tokens = plain
+    assert len(tried) < 6 * len(want) and b"".join(automaton.labels[i] for i in want) == word
