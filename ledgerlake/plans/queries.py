@@ -563,8 +563,7 @@ def q_feature_vectors(spark, sf):
     """Fitted preprocessor (numeric + one-hot) → feature vectors of the model rows (M6)."""
     num, cat, _ = feature_columns(engineered(spark, sf).columns)
     m, _ = _clustered(spark, sf, restarts=None, cols=[*num, *cat])
-    # With the cluster features, in the listed order.
-    num, cat, _ = feature_columns([*engineered(spark, sf).columns, *m.columns])
+    num, cat, _ = feature_columns(m.columns)  # with the cluster features
     pipe = mf.fit_preprocessor(mf.train_rows(m), num, cat)
     out = pipe.transform(m)
     return out.select(*KEY, "split", vector_to_array("features").alias("features"))

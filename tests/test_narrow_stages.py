@@ -61,3 +61,30 @@ def test_narrow_rows_are_those_of_the_wide_frame(spark):
     assert narrow.exceptAll(wide).count() == wide.exceptAll(narrow).count() == 0
     assert narrow.filter(F.col("crsp_split").isNull()).count() == 0
     q.forget(spark)
+
+
+def test_feature_lists_name_each_column_once(spark, monkeypatch):
+    """The vectors take the features of the wide frame, in its order and once each."""
+    q.forget(spark)
+    seen = {}
+
+    def fit(train, num, cat):
+        seen.update(num=num, cat=cat)
+        raise LookupError
+
+    class Fitted:
+        features = [c for c in q.CLUSTER_FEATURES if c in q.engineered(spark, SF).columns]
+
+    def labelled(df, art):
+        return df.withColumns({"cluster_pca1": F.lit(0.0), "cluster_pca2": F.lit(0.0), "finance_cluster": F.lit("cluster_0")})
+
+    monkeypatch.setattr(q.mf, "fit_clusters", lambda m, restarts=None: (m, Fitted()))
+    monkeypatch.setattr("ledgerlake.operators.unsupervised.add_cluster_features", labelled)
+    monkeypatch.setattr(q.mf, "fit_preprocessor", fit)
+    try:
+        q.q_feature_vectors(spark, SF)
+    except LookupError:
+        pass
+    num, cat, _ = q.feature_columns([*q.engineered(spark, SF).columns, "cluster_pca1", "cluster_pca2", "finance_cluster"])
+    assert seen == {"num": num, "cat": cat} and len(set(num)) == len(num)
+    q.forget(spark)
