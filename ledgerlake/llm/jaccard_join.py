@@ -17,8 +17,17 @@ Documents whose shingle sets overlap by a Jaccard similarity of at least
    meet on shared prefix entries; pairs whose sizes or positions rule a link out are
    dropped, the others expanded to members, and their overlap is counted.
 5. Only components are asked for, so pairs inside one component are not
-   needed. Star rounds therefore first verify every group against a few hubs of
-   each entry's list. Then all pairs of groups that still lie in different components
+   needed. A star round therefore first compares every group with a few hubs of
+   each entry's list. That links many nodes, and gives nodes that resemble
+   one hub a common home.
+6. Homes: within one, the core is what more than half of its nodes hold. A node a is
+   known by its difference d(a), what only it or only the core holds, of which m(a)
+   entries miss from it. Two nodes share |core| - m(a) - m(b) + |d(a) & d(b)| entries,
+   whatever the core is. So they must share a number of differences that follows from
+   their sizes and m. Where that is none, both are linked with the node of the home that
+   has the least m for its size: a star. The others meet on prefixes of their
+   differences, ordered as in step 3, of which near copies have few in common.
+7. Then all pairs of groups that lie in different components and not in one home
    are verified: no link between components is missed, and no group of near
    copies is expanded into all its pairs.
 
@@ -48,7 +57,7 @@ from ledgerlake.session import ensure_checkpoint_dir
 
 SHINGLE = 5
 PERCENT = 80
-STAR_ROUNDS, HUBS, STAR_ENTRIES = 2, 16, 10
+HUBS, STAR_ENTRIES = 4, 10
 REACH_PERCENT = 5  # k of step 2, in percent of the set
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _CHUNK = 1 << 16
@@ -209,14 +218,22 @@ def components(edges: DataFrame) -> DataFrame:
         label = moved.select("node", F.col("_new").alias("comp"))
 
 
-def _linked(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough; `shared` has node, n and l, its shingles
+def _overlaps(pairs: DataFrame, shared: DataFrame) -> DataFrame:
+    """a, b, na, nb and common, the overlap of their sets, for the pairs (a, b); `shared` has node, n and l, its shingles
     that other nodes hold too (the rest cannot be common)."""
     left = shared.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("l").alias("la"))
     right = shared.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("l").alias("lb"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("la", "lb"))
-    return both.filter(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", F.size(F.array_intersect("la", "lb")).alias("common"))
+
+
+def _similar(overlaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs of `overlaps` that are linked."""
+    return overlaps.filter(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
+
+
+def _linked(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough."""
+    return _similar(_overlaps(pairs, shared), percent)
 
 
 def _sizes_fit(x: Column, y: Column, percent: int) -> Column:
@@ -265,6 +282,83 @@ def node_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return _linked(pairs, shared.select("node", "n", "l"), percent)
 
 
+def _hub_pairs(posts: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """a, b: each node with the hubs of its `star` entries that sizes allow. A list has HUBS hub groups,
+    drawn by hashes, and a group has one hub member. `posts` has gid, n, h, star, `members` gid and node."""
+    arms = posts.filter("star").select("gid", "n", "h")
+    rank = lambda c, k, *more: F.struct(F.xxhash64(F.lit(k), c).alias("r"), F.col(c).alias("hub"), *more)
+    drawn = F.transform(F.array(*[F.min(rank("gid", k, "n")) for k in range(HUBS)]), lambda x: F.struct(x["hub"].alias("hub"), x["n"].alias("n")))
+    hubs = arms.groupBy("h").agg(F.array_distinct(drawn).alias("to"))
+    center = members.groupBy(F.col("gid").alias("hub")).agg(F.min(rank("node", 0))["hub"].alias("b"))
+    met = (arms.join(hubs, "h").select("gid", "n", F.explode("to").alias("to")).filter(_sizes_fit(F.col("n"), F.col("to.n"), percent))
+           .select("gid", "to.hub").distinct())
+    return met.join(center, "hub").join(members.withColumnRenamed("node", "a"), "gid").filter("a <> b").select("a", "b").distinct()
+
+
+def _homes(overlaps: DataFrame) -> DataFrame:
+    """node, home: the hub that most nodes resemble among those that the node resembles: half of either set is common.
+    `overlaps` has nodes a and hubs b. Nodes without such a hub, and hubs without such nodes, have no home."""
+    like = overlaps.filter(2 * F.col("common") >= F.greatest("na", "nb")).select(F.col("a").alias("node"), F.col("b").alias("home"))
+    size = like.groupBy("home").agg(F.count(F.lit(1)).alias("size"))
+    own = size.select(F.col("home").alias("node"), "home", "size")
+    return like.join(size, "home").select("node", "home", "size").union(own).groupBy("node").agg(
+        F.max_by("home", F.struct("size", "home")).alias("home"))
+
+
+def _differences(lists: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
+    """node, home, core (the size of the home's core), d (the node's difference), w: two nodes of a home share
+    at least ceil((w + w') / (100 + percent)) - core differences if they are linked, and are linked if that is 0 or less."""
+    at = lists.join(homes, "node")
+    held = at.select("home", F.explode("l").alias("h")).groupBy("home", "h").agg(F.count(F.lit(1)).alias("c"))
+    half = homes.groupBy("home").agg(F.count(F.lit(1)).alias("size"))
+    cores = held.join(half, "home").filter("2 * c > size").groupBy("home").agg(F.collect_list("h").alias("core"))
+    missing = F.array_except("core", "l")
+    return at.join(cores, "home").select(
+        "node", "home", F.size("core").alias("core"), F.concat(F.array_except("l", "core"), missing).alias("d"),
+        (percent * F.col("n") + (100 + percent) * F.size(missing)).alias("w"))
+
+
+def _stars(known: DataFrame, percent: int) -> DataFrame:
+    """a, b: links of a home's nodes with its node of the least w; they join all nodes that must share no difference."""
+    least = known.groupBy("home").agg(F.min(F.struct("w", "node")).alias("to"))
+    return (known.join(least, "home").filter((F.col("w") + F.col("to.w") <= (100 + percent) * F.col("core")) & (F.col("node") != F.col("to.node")))
+            .select(F.col("node").alias("a"), F.col("to.node").alias("b")))
+
+
+def _outside(posts: DataFrame, key: list[str], labels: Column) -> DataFrame:
+    """`posts` without the lists of one label, and whether each one lies `out` of its list's most frequent label.
+    Entries of one label need not meet, so a list costs what lies out of that one times its length."""
+    posts = posts.withColumn("_labels", labels)
+    every = F.lit(-(1 << 63))
+    named = F.col("label") != every
+    lists = (posts.select(*key, F.explode(F.concat("_labels", F.array(every))).alias("label")).groupBy(*key, "label").count().groupBy(*key)
+             .agg(F.max_by(F.when(named, F.col("label")), F.when(named, F.struct("count", "label"))).alias("_major"),
+                  F.max(F.when(named, F.col("count"))).alias("_most"), F.max(F.when(~named, F.col("count"))).alias("_all"))
+             .filter((F.col("_all") > 1) & (F.col("_all") > F.coalesce("_most", F.lit(0)))).select(*key, "_major"))
+    return (posts.join(lists, key).withColumn("out", ~F.coalesce(F.array_contains("_labels", F.col("_major")), F.lit(False)))
+            .drop("_labels", "_major"))
+
+
+def _home_links(known: DataFrame, comps: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """a, b: the linked pairs of nodes of one home and different components; `comps` holds the links of `_stars`, `shared` is as in `_overlaps`."""
+    shares = known.select("home", F.explode("d").alias("h")).groupBy("home", "h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    least = known.groupBy("home").agg(F.min("w").alias("least"))
+    told = (known.select("node", "home", F.explode("d").alias("h")).join(shares, ["home", "h"])
+            .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
+            .select("node", F.transform("s", lambda x: x["h"]).alias("s")))
+    both = lambda w: F.greatest(F.lit(1), F.ceil(w / F.lit(100 + percent)) - F.col("core"))
+    room = F.size("s") - both(F.col("w") + F.col("least")) + 1
+    near = (known.drop("d").join(told, "node").join(least, "home").filter(room > 0).join(comps, "node")
+            .select("node", "home", "core", "w", "comp", F.size("s").alias("size"), F.posexplode(F.slice("s", F.lit(1), room.cast("int"))).alias("at", "h")))
+    posts = near.withColumn("rest", F.col("size") - F.col("at")).checkpoint()
+    full = _outside(posts, ["home", "h"], F.array("comp"))
+    x, y = (full.select("home", "h", "core", "out", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "w", "comp", "rest")]) for s in "xy")
+    pairs = (x.filter("out").drop("out").join(y.drop("core", "out"), ["home", "h"])
+             .filter((F.col("comp_x") != F.col("comp_y")) & (F.least("rest_x", "rest_y") >= both(F.col("w_x") + F.col("w_y"))))
+             .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct())
+    return _linked(pairs, shared, percent)
+
+
 def node_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """node, comp for the nodes of `sets` (node, n, h: the whole set) that lie in some group; others are alone."""
     shared = _with_prefixes(sets, percent)
@@ -272,55 +366,39 @@ def node_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Position 0 counts the shingles held alone, which stand first.
     groups = shared.groupBy("gid").agg(F.first("n").alias("n"), F.first("p").alias("p"), F.first(alone).alias("lead"),
                                        F.min("node").alias("low"))
+    # Stars use the most common entries of each prefix only: near copies have those in common.
     posts = groups.select("gid", "n", "lead", F.posexplode("p").alias("pos", "h"), (F.size("p") - STAR_ENTRIES).alias("late")).select(
         "gid", "n", "h", (F.col("pos") + F.col("lead")).alias("pos"), (F.col("pos") >= F.col("late")).alias("star")).checkpoint()
-    # Stars use the most common entries of each prefix only: near copies have those in common.
-    arms = posts.filter("star").select("gid", "h")
     members = shared.select("gid", "node")
     lists = shared.select("node", "n", "l")
-    comps = shared.select("node", F.col("node").alias("comp"))
-
-    # Between rounds a node is known by the last hub it was linked to, which only saves pairs.
-    known, links = comps, None
-    for r in range(STAR_ROUNDS):
-        # HUBS hub groups for each entry's list, drawn by hashes; one hub member for each group.
-        rank = lambda c, k: F.struct(F.xxhash64(F.lit(r * HUBS + k), c).alias("r"), F.col(c).alias("v"))  # noqa: B023, E731
-        hubs = arms.groupBy("h").agg(F.array_distinct(F.array(*[F.min(rank("gid", k))["v"] for k in range(HUBS)])).alias("hub"))
-        center = members.groupBy(F.col("gid").alias("hub")).agg(F.min(rank("node", 0))["v"].alias("b"))
-        sized = known.join(lists.select("node", "n"), "node")
-        x, y = (sized.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
-        pairs = (arms.join(hubs, "h").select("gid", F.explode("hub").alias("hub")).distinct().join(center, "hub")
-                 .join(members.withColumnRenamed("node", "a"), "gid").select("a", "b").distinct().join(x, "a").join(y, "b")
-                 .filter((F.col("ca") != F.col("cb")) & _sizes_fit(F.col("na"), F.col("nb"), percent)).select("a", "b"))
-        fresh = _linked(pairs, lists, percent).checkpoint()
-        links = fresh if links is None else links.union(fresh)
-        hub = fresh.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("hub"))
-        known = known.join(hub, "node", "left").select("node", F.coalesce("hub", "comp").alias("comp")).checkpoint()
-    comps = _merge(comps, links)
-
-    # All pairs of groups that are not wholly in one component. The component that
-    # holds most of an entry's list never meets itself, so a list costs what lies
-    # outside of that component times its length.
-    span = members.join(comps, "node").groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    full = posts.join(span, "gid").withColumn("own", F.when(F.col("lo") == F.col("hi"), F.col("lo")))
-    major = (full.groupBy("h", "own").count().groupBy("h")
-             .agg(F.max_by("own", F.struct("count", "own")).alias("major"), F.count(F.lit(1)).alias("kinds"), F.max(F.col("own").isNull()).alias("mixed"))
-             .filter("kinds > 1 or mixed"))
-    full = full.join(major.select("h", "major"), "h")
-    x, y = (full.select("h", "own", "major", *[F.col(c).alias(f"{c}_{s}") for c in ("gid", "n", "pos", "lo", "hi")]) for s in "xy")
-    x, y = x.filter(~F.col("own").eqNullSafe(F.col("major")) | F.col("own").isNull()).drop("own", "major"), y.drop("own", "major")
+
+    met = _overlaps(_hub_pairs(posts, members, percent), lists).checkpoint()
+    homes = _homes(met).checkpoint()
+    known = _differences(lists, homes, percent).checkpoint()
+    comps = _merge(shared.select("node", F.col("node").alias("comp")), _similar(met, percent).union(_stars(known, percent)))
+    comps = _merge(comps, _home_links(known, comps, lists, percent).checkpoint())
+
+    # All pairs of groups that are neither wholly in one component nor wholly in one home.
+    placed = members.join(comps, "node").join(known.select("node", "home"), "node", "left").checkpoint()
+    span = placed.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                     F.when((F.min("home") == F.max("home")) & (F.count("home") == F.count(F.lit(1))), F.min("home")).alias("home"))
+    # Labels of homes are negative, those of components are not.
+    labels = F.array_compact(F.array(F.when(F.col("lo") == F.col("hi"), F.col("lo")), -F.col("home") - 1))
+    full = _outside(posts.drop("star").join(span, "gid"), ["h"], labels)
+    x, y = (full.select("h", "out", *[F.col(c).alias(f"{c}_{s}") for c in ("gid", "n", "pos", "lo", "hi", "home")]) for s in "xy")
     rest = lambda s: F.col(f"n_{s}") - F.col(f"pos_{s}")
     need = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + percent))
-    apart = (F.least("lo_x", "lo_y") != F.greatest("hi_x", "hi_y"))
+    housed = F.coalesce(F.col("home_x") == F.col("home_y"), F.lit(False))
+    apart = (F.least("lo_x", "lo_y") != F.greatest("hi_x", "hi_y")) & ~housed
     # The first common entry bounds the overlap by what follows it on either side, so
     # linked groups meet at least there.
-    meet = x.join(y, "h").filter(apart & _sizes_fit(F.col("n_x"), F.col("n_y"), percent) & (F.least(rest("x"), rest("y")) >= need))
+    meet = x.filter("out").drop("out").join(y.drop("out"), "h").filter(
+        apart & _sizes_fit(F.col("n_x"), F.col("n_y"), percent) & (F.least(rest("x"), rest("y")) >= need))
     pairs = meet.select(F.least("gid_x", "gid_y").alias("gid_x"), F.greatest("gid_x", "gid_y").alias("gid_y")).distinct().checkpoint()
-    inside = span.filter("lo < hi").select(F.col("gid").alias("gid_x"), F.col("gid").alias("gid_y"))
-    placed = members.join(comps, "node")
-    ends = lambda s, o: placed.select(F.col("gid").alias(f"gid_{s}"), F.col("node").alias(o), F.col("comp").alias(f"c_{s}"))
+    inside = span.filter("lo < hi and home is null").select(F.col("gid").alias("gid_x"), F.col("gid").alias("gid_y"))
+    ends = lambda s, o: placed.select(F.col("gid").alias(f"gid_{s}"), F.col("node").alias(o), F.col("comp").alias(f"c_{s}"), F.col("home").alias(f"home_{s}"))
     last = (pairs.union(inside).distinct().join(ends("x", "a"), "gid_x").join(ends("y", "b"), "gid_y")
-            .filter("c_x <> c_y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            .filter((F.col("c_x") != F.col("c_y")) & ~housed).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     return _merge(comps, _linked(last, lists, percent).checkpoint())
 
 

@@ -140,3 +140,57 @@ def test_no_links(make_docs):
     assert members.collect() == [] and links.collect() == []
     members, links = jj.jaccard_links(make_docs([None, "one two", "three four"]))
     assert sorted(map(tuple, members.collect())) == [(0, 0, 0), (1, 1, 0), (2, 2, 0)] and links.collect() == []
+
+
+def variants(seed, size, changes, forks=0):
+    """A base text and `size` copies of it, each with some words changed; `forks` further bases are changed copies themselves."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(4))
+
+    def changed(t, k):
+        t = list(t)
+        for i in rnd.sample(range(len(t)), k):
+            t[i] = word()
+        return t
+
+    bases = [[word() for _ in range(150)]]
+    bases += [changed(bases[0], rnd.choice((3, 4, 5))) for _ in range(forks)]
+    out = bases + [changed(rnd.choice(bases), rnd.choice(changes)) for _ in range(size)]
+    out = [t[rnd.randint(0, 3):] if forks else t for t in out]
+    rnd.shuffle(out)
+    return [" ".join(t) for t in out]
+
+
+def test_homes_lose_no_link(make_docs, monkeypatch):
+    # With one hub a list, most links are left to the homes and to the last step.
+    monkeypatch.setattr(jj, "HUBS", 1)
+    monkeypatch.setattr(jj, "STAR_ENTRIES", 2)
+    seen = []
+    home_links = jj._home_links
+    monkeypatch.setattr(jj, "_home_links", lambda *a: seen.append(home_links(*a)) or seen[-1])
+    for seed in range(2):
+        got = check(make_docs(variants(seed, 120, (0, 1, 2, 3, 4), forks=12)))
+        assert 5 < len({c for _, _, c in got}) < len(got) - 20
+    assert sum(links.count() for links in seen) > 5
+
+
+def test_near_copies_meet_few_others(make_docs, monkeypatch):
+    # Copies with three words changed lie at the threshold: like the base, hardly any like each other.
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    made, join = [], DataFrame.join
+
+    def counted(self, other, on=None, how=None):
+        out = join(self, other, on, how)
+        if isinstance(on, str) and on == "a":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(DataFrame, "join", counted)
+    rows = []
+    for size in (100, 200):
+        made.clear()
+        docs = make_docs(variants(5, size, (3, 3, 3, 4)))
+        check(docs)
+        rows.append(sum(made))
+    assert rows[1] < 50 * 200, rows
