@@ -45,6 +45,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from ledgerlake.llm.common import small_batches
+
 MAX_STORED = 400_000  # words that a worker keeps, and half of the table entries
 _PLANE = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
 # Fixed: white space as the pre-splitting pattern's \s has it, and that pattern.
@@ -229,6 +231,7 @@ def encoded(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
                        pa.array([_sha(automaton.decode(x).encode()) for x in ids], pa.string())]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.list_(pa.int32()))] * with_ids, names=names)
 
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return docs.select("doc_id", "text").mapInArrow(run, schema)

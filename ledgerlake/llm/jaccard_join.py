@@ -52,7 +52,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import shuffles_released
+from ledgerlake.llm.common import shuffles_released, small_batches
 from ledgerlake.session import ensure_checkpoint_dir
 
 SHINGLE = 5
@@ -146,6 +146,7 @@ def _sets(docs: DataFrame, key: str, text: str, size: int, whole: bool) -> DataF
                 columns.append(pa.ListArray.from_arrays(ends, np.concatenate([*sets, np.empty(0, np.int64)])))
             yield pa.RecordBatch.from_arrays(columns, names=[key, "n", "digest", "d", "h"][:len(columns)])
 
+    small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n long, digest binary, d long" + ", h array<long>" * whole)
 
@@ -172,7 +173,7 @@ def _reach(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
                 d = _part(_digest(s))
                 if n and d not in parts:
                     k = n * REACH_PERCENT // 100
-                    parts[d] = s[:n - least_overlap(n, percent) + 1 + k]
+                    parts[d] = s[:n - least_overlap(n, percent) + 1 + k].copy()  # a slice would keep the set
                     need.append(k + 1)
             if not parts:
                 continue
@@ -191,6 +192,7 @@ def _reach(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
                  pa.array(np.concatenate((pad, local)).astype(np.int32), mask=kind != 2),
                  pa.array(np.concatenate((pad, need)).astype(np.int32), mask=kind != 2)], names=["k", "d", "c", "need"])
 
+    small_batches(docs.sparkSession)
     dealt = docs.select(text).mapInArrow(run, "k long, d long, c int, need int").repartition("k")
     entry = F.when(F.col("c").isNull(), F.col("d"))
     recur = (dealt.groupBy("k").agg(F.min(entry).alias("lo"), F.max(entry).alias("hi"), F.max("need").alias("_need"),

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import held_out, labelled_sample
+from ledgerlake.llm.common import held_out, labelled_sample, small_batches
 from ledgerlake.session import ensure_checkpoint_dir
 
 PER_CLASS = 4000
@@ -189,6 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Tox
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     ensure_checkpoint_dir(docs.sparkSession)
+    small_batches(docs.sparkSession)
     sample = rows.select("text", "doc_id", "y", "weight").mapInArrow(
         run, f"doc_id {kind}, y int, weight double, f array<long>, c array<string>").checkpoint()
     all_ = sample.agg(F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("y")).alias("toxic"), F.count_distinct("y").alias("classes")).first()
@@ -224,6 +225,7 @@ def scored(docs: DataFrame, model: ToxicityModel, out: str = "score") -> DataFra
             scores = pa.array(model.score(b.column(place).to_pylist()))
             yield pa.RecordBatch.from_arrays([*b.columns, scores], names=[*names, out])
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(out, DoubleType()))
 
 
