@@ -16,9 +16,11 @@ c the middle of the counts of the level that the probes return, u a mark for the
 beginning in front of the first word, and an end mark as the last token.
 
 The filter and the exact counts of the words (for the base score) are broadcast if they take
-at most `broadcast_bytes`. A larger filter stays where it is: the tasks then send each
-cell the distinct hashes of a part, once, the cell answers with counts and levels, and the part is scored
-from the answers. Both ways probe the same bits and give the same scores.
+at most `broadcast_bytes`. A larger filter is never moved: a task reads its texts once, in blocks of about
+BLOCK_WORDS tokens, and sends each cell the distinct hashes of a block and how often its training texts
+hold them; the cell builds its bits from all of them and answers each block with counts and levels; the block is scored
+from its tokens and the answers. So each cell's bits are built and probed in one place, once, however many blocks ask.
+Both ways probe the same bits and give the same scores.
 
 Defined cases: a null, empty or blank text consists of the end mark alone; a null doc_id counts as an
 empty text where its decimal form is needed (so it is trained on); repeated rows count and are scored
@@ -30,9 +32,9 @@ Words of equal 64-bit hash count as one.
 from __future__ import annotations
 
 import math
-import re
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import count, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -47,14 +49,15 @@ from ledgerlake.session import ensure_checkpoint_dir
 
 # Fixed by the task.
 FOLDS, HELD_OUT_FOLD = 7, 2
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 PROBES = 4
 MIX = 0.7
 PART_WORDS = 150_000
 FLUSH = 600_000
+BLOCK_WORDS = 2_000_000
 CELL_BYTES = 8 << 20
 BROADCAST_BYTES = 192 << 20
+TEXT_BYTES = 8  # of training text for a byte of the filter: more text is not tried by the broadcast
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _LARGE = 2**32 - 1
 # Marks hold a blank, so no word equals one.
@@ -76,61 +79,76 @@ def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return _mixed(left * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
+class Reader:
+    """Texts as tokens, in order: numbers of their words by first occurrence (the end mark is number 0)."""
+
+    def __init__(self):
+        self.index: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.index[b" end"]
+        self.numbers: list[int] = []
+        self.sizes: list[int] = []
+
+    def add(self, texts: list[str | None]) -> Reader:
+        number = self.index.__getitem__
+        for text in texts:
+            # Without an argument, bytes are split at runs of the six ASCII blanks.
+            words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+            self.numbers += map(number, words)
+            self.numbers.append(0)
+            self.sizes.append(len(words) + 1)
+        return self
+
+    def part(self) -> Part:
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.index), np.uint64, len(self.index))
+        words, rank = np.unique(hashes, return_inverse=True)
+        return Part(words, rank[np.array(self.numbers, np.int64)], np.array(self.sizes, np.int64))
+
+
 class Part:
-    """Some texts as tokens: `hashes` of the distinct ones (the end mark is number 0), their `numbers`
-    in order of the texts, and the tokens of each text."""
+    """Some texts as tokens: `words`, the sorted hashes of the distinct ones, their `numbers` by rank
+    in order of the texts, and the tokens of each text. `pairs` are the sorted hashes of the distinct pairs and
+    of the beginning mark, `pair_at` the places in it of each token's pair and, last, of the mark."""
 
-    def __init__(self, hashes: np.ndarray, numbers: np.ndarray, sizes: np.ndarray):
-        self.hashes, self.numbers, self.sizes = hashes, numbers, sizes
+    def __init__(self, words: np.ndarray, numbers: np.ndarray, sizes: np.ndarray):
+        self.words, self.numbers, self.sizes = words, numbers, sizes
         # The token before: the beginning mark, numbered behind all others, in front of each text.
-        before = np.empty(len(numbers), np.int64)
-        before[1:] = numbers[:-1]
-        before[np.cumsum(sizes) - sizes] = len(hashes)
-        self.pairs, self.pair_at, self.pair_count = np.unique(
-            before * len(hashes) + numbers, return_inverse=True, return_counts=True)
+        self.before = np.empty(len(numbers), np.int64)
+        self.before[1:] = numbers[:-1]
+        self.before[np.cumsum(sizes) - sizes] = len(words)
+        hashes = pair_hash(np.append(words, np.uint64(BEGIN))[self.before], words[numbers])
+        self.pairs, self.pair_at = np.unique(np.append(hashes, np.uint64(BEGIN)), return_inverse=True)
 
     @classmethod
     def read(cls, texts: list[str | None]) -> Part:
-        index = {b" end": 0}
-        numbers, sizes = [], []
-        for text in texts:
-            words = _WORD.findall((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
-            numbers += [index.setdefault(w, len(index)) for w in words]
-            numbers.append(0)
-            sizes.append(len(words) + 1)
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, index), np.uint64, len(index))
-        return cls(hashes, np.array(numbers, np.int64), np.array(sizes, np.int64))
+        return Reader().add(texts).part()
 
-    def pair_hashes(self) -> np.ndarray:
-        left, right = np.divmod(self.pairs, len(self.hashes))
-        return pair_hash(np.append(self.hashes, np.uint64(BEGIN))[left], self.hashes[right])
+    def times(self, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often the words, and the pairs and the beginning mark, occur in the texts that are to be counted."""
+        own = np.repeat(counted, self.sizes)
+        pairs = np.bincount(self.pair_at[:-1][own], minlength=len(self.pairs))
+        pairs[self.pair_at[-1]] += np.count_nonzero(counted)
+        return np.bincount(self.numbers[own], minlength=len(self.words)), pairs
 
     def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash and count of each n-gram, and whether it is a token: pairs and the beginning mark are none."""
-        hashes = np.concatenate([self.hashes, [np.uint64(BEGIN)], self.pair_hashes()])
-        times = np.concatenate([np.bincount(self.numbers, minlength=len(self.hashes)), [len(self.sizes)], self.pair_count])
-        return hashes, times, np.arange(len(hashes)) < len(self.hashes)
-
-    def needed(self) -> np.ndarray:
-        return np.unique(np.concatenate([self.hashes, [np.uint64(BEGIN)], self.pair_hashes()]))
-
-    def scored(self, hashes: np.ndarray, times: np.ndarray, levels: np.ndarray, n: int, v: int) -> tuple[np.ndarray, ...]:
-        """n_tokens, n_known, base score and score of each text, given for each needed hash its exact
-        count as a token and its level in the filter."""
-        own = np.searchsorted(hashes, self.hashes)
-        exact, level = times[own], levels[own]
+        hashes = np.concatenate([self.words, self.pairs])
+        times = np.concatenate(self.times(np.ones(len(self.sizes), bool)))
+        return hashes, times, np.arange(len(hashes)) < len(self.words)
+
+    def scored(self, exact: np.ndarray, levels: np.ndarray, pair_levels: np.ndarray, n: int, v: int) -> tuple[np.ndarray, ...]:
+        """n_tokens, n_known, base score and score of each text, given the exact count and the level in the
+        filter of each word, and the level of each of the pairs."""
         base = np.log10((exact + 1) / (n + v + 1))
-        count = np.append(middle(level), middle(levels[np.searchsorted(hashes, np.uint64(BEGIN))]))
-        left, right = np.divmod(self.pairs, len(self.hashes))
-        pair = middle(levels[np.searchsorted(hashes, self.pair_hashes())])
-        seen = np.minimum(1.0, np.divide(pair, count[left], out=np.zeros(len(pair)), where=count[left] > 0))
+        pair = middle(pair_levels)[self.pair_at]
+        times = np.append(middle(levels), pair[-1])
+        left = times[self.before]
+        seen = np.minimum(1.0, np.divide(pair[:-1], left, out=np.zeros(len(left)), where=left > 0))
         # Quantised counts may pass N, as the middle of a level may; a probability never passes 1.
-        single = np.minimum(1.0, (count[right] + 1) / (n + v + 1))
-        smooth = np.log10(MIX * seen + (1 - MIX) * single) if n else np.zeros(len(pair))
+        single = np.minimum(1.0, (times[:-1] + 1) / (n + v + 1))
+        smooth = np.log10(MIX * seen + (1 - MIX) * single[self.numbers]) if n else np.zeros(len(seen))
         text = np.repeat(np.arange(len(self.sizes)), self.sizes)
         total = lambda x: np.bincount(text, x, minlength=len(self.sizes))
-        return (self.sizes, total((exact > 0)[self.numbers]).astype(np.int64),
-                total(base[self.numbers]), total(smooth[self.pair_at]))
+        return self.sizes, total((exact > 0)[self.numbers]).astype(np.int64), total(base[self.numbers]), total(smooth)
 
 
 def quantised(count: np.ndarray) -> np.ndarray:
@@ -304,82 +322,153 @@ def _scores_from_broadcast(docs: DataFrame, cells: DataFrame, shift: int, n: int
         for b in batches:
             for rows in _text_parts(b, 6 * PART_WORDS):
                 part = Part.read(rows.column(1).to_pylist())
-                need = part.needed()
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), *map(pa.array, part.scored(need, held.exact(need), held.levels(need), n, v))], names=["doc_id", *_SCORES])
+                scores = part.scored(held.exact(part.words), held.levels(part.words), held.levels(part.pairs), n, v)
+                yield pa.RecordBatch.from_arrays([rows.column(0), *map(pa.array, scores)], names=["doc_id", *_SCORES])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
 
 
-def _scores_from_cells(docs: DataFrame, cells: DataFrame, shift: int, n: int, v: int) -> DataFrame:
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = f"part long, cell long, hashes binary, numbers binary, sizes binary, ids array<{kind}>"
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte of each and compressed: small or like ones take little."""
+    planes = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return len(x).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(x: bytes) -> np.ndarray:
+    n = int.from_bytes(x[:8], "little")
+    planes = np.frombuffer(pa.decompress(x[8:], 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u8")
+
+
+def _packed_hashes(x: np.ndarray) -> bytes:
+    """Sorted hashes, by their differences."""
+    return _packed(np.diff(x, prepend=np.uint64(0)))
+
+
+def _unpacked_hashes(x: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(x), dtype=np.uint64)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, Part, np.ndarray, list]]:
+    """Whether a block is to be scored, its texts, which of them count, and their ids."""
+    held: dict[bool, tuple[Reader, list, list]] = {}
+    for b in batches:
+        for rows in _text_parts(b, 6 * PART_WORDS):
+            ids, texts, counted, asked = (c.to_pylist() for c in rows.columns)
+            for kind in {*asked}:
+                own = [i for i, a in enumerate(asked) if a == kind]
+                reader, counts, names = held.setdefault(kind, (Reader(), [], []))
+                reader.add([texts[i] for i in own])
+                counts += [counted[i] for i in own]
+                names += [ids[i] for i in own]
+                if len(reader.numbers) >= BLOCK_WORDS:
+                    yield kind, reader.part(), np.array(counts, bool), names
+                    del held[kind]
+    for kind, (reader, counts, names) in held.items():
+        yield kind, reader.part(), np.array(counts, bool), names
+
+
+def _scores_from_cells(rows: DataFrame, shift: int) -> DataFrame:
+    """n, v and the scores of the rows (doc_id, text, counted, asked) that are asked for, by a model of those that are counted."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
     id_type = pa.list_(pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string())
+    # The tokens of block b travel as cell -1 - b. Blocks that are only counted have number -1.
+    texts = f"numbers binary, sizes binary, ids array<{kind}>"
+    sent = pa.schema([("block", pa.int64()), ("cell", pa.int64()), *((c, pa.binary()) for c in ("words", "times", "pairs", "pair_times", "numbers", "sizes")),
+                      ("ids", id_type)])
+    answered = pa.schema([*((c, pa.int64()) for c in ("block", "cell", "n", "v")), *((c, pa.binary()) for c in ("words", "times", "levels", "pair_levels", "numbers", "sizes")),
+                      ("ids", id_type)])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each part of the texts a row of its tokens (cell -1), and one row of hashes for each cell."""
+        """For each block a row of its tokens, and one row for each cell."""
         name = TaskContext.get().partitionId() << 32
-        for b in batches:
-            for rows in _text_parts(b, 6 * PART_WORDS):
-                part = Part.read(rows.column(1).to_pylist())
-                need = part.needed()
-                asked, ranges = _pieces(need, shift)
-                none = [None] * len(ranges)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * (1 + len(ranges)), pa.int64()), pa.array([-1, *asked.tolist()], pa.int64()),
-                     pa.array([part.hashes.tobytes(), *(need[i:j].tobytes() for i, j in ranges)], pa.binary()),
-                     pa.array([part.numbers.astype("<i4").tobytes(), *none], pa.binary()),
-                     pa.array([part.sizes.astype("<i4").tobytes(), *none], pa.binary()),
-                     pa.array([rows.column(0).to_pylist(), *none], id_type)],
-                    names=["part", "cell", "hashes", "numbers", "sizes", "ids"])
+        for asked, part, counted, ids in _blocks(batches):
+            times, pair_times = part.times(counted)
+            words, pairs = dict(zip(*_pieces(part.words, shift))), dict(zip(*_pieces(part.pairs, shift)))
+            out = []
+            for cell in sorted({*words, *pairs}):
+                (i, j), (k, m) = words.get(cell, (0, 0)), pairs.get(cell, (0, 0))
+                out.append({"block": name if asked else -1, "cell": int(cell), "words": _packed_hashes(part.words[i:j]), "times": _packed(times[i:j]),
+                            "pairs": _packed_hashes(part.pairs[k:m]), "pair_times": _packed(pair_times[k:m])})
+            if asked:
+                out.append({"block": name, "cell": -1 - name, "numbers": _packed(part.numbers), "sizes": _packed(part.sizes), "ids": ids})
                 name += 1
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            times, levels = [], []
-            for r in b.to_pylist():
-                hashes = np.frombuffer(r["hashes"], "<u8")
-                held = Cells([r] if r["bits"] is not None else [], shift)
-                times.append(held.exact(hashes).astype("<i8").tobytes())
-                levels.append(held.levels(hashes).astype("<u1").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(times, pa.binary()), pa.array(levels, pa.binary())],
-                                             names=["part", "cell", "hashes", "times", "levels"])
-
-    def score(tokens: pa.Table, answers: pa.Table) -> pa.Table:
-        own, answers = tokens.to_pylist()[0], answers.sort_by("cell")
-        joined = lambda c, t: np.frombuffer(b"".join(answers.column(c).to_pylist()), t)
-        part = Part(np.frombuffer(own["hashes"], "<u8"), np.frombuffer(own["numbers"], "<i4").astype(np.int64),
-                    np.frombuffer(own["sizes"], "<i4").astype(np.int64))
-        columns = part.scored(joined("hashes", "<u8"), joined("times", "<i8"), joined("levels", "<u1").astype(np.int64), n, v)
+            yield pa.RecordBatch.from_pylist(out, schema=sent)
+
+    def answer(table: pa.Table) -> pa.Table:
+        """A row of tokens as it is; else the sums of the cell and its answers to the blocks."""
+        if table.column("cell")[0].as_py() < 0:
+            return pa.Table.from_pylist(table.select(["block", "cell", "numbers", "sizes", "ids"]).to_pylist(), schema=answered)
+        own = table.select(["block", "cell", "words", "times", "pairs", "pair_times"]).to_pylist()
+        hashes = [_unpacked_hashes(r[c]) for c in ("words", "pairs") for r in own]
+        times = np.concatenate([_unpacked(r[c]) for c in ("times", "pair_times") for r in own]).astype(np.int64)
+        token = np.arange(len(times)) < sum(map(len, hashes[:len(own)]))
+        ends = np.cumsum([0, *map(len, hashes)])
+        hashes, first, at = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        times, token = np.bincount(at, times, len(hashes)).astype(np.int64), token[first]
+        known = times > 0
+        cell = {"cell": own[0]["cell"], "bits": bit_field(hashes[known], times[known]).tobytes(), "words": b"", "times": b""}
+        levels = Cells([cell], shift).levels(hashes)
+        known &= token
+        out = [{"block": -1, "cell": cell["cell"], "n": int(times[known].sum()), "v": int(known.sum())}]
+        for i, r in enumerate(own):
+            if r["block"] >= 0:
+                words, pairs = (at[ends[k]:ends[k + 1]] for k in (i, len(own) + i))
+                out.append({"block": r["block"], "cell": r["cell"], "words": r["words"], "times": _packed(times[words]),
+                            "levels": _packed(levels[words]), "pair_levels": _packed(levels[pairs])})
+        return pa.Table.from_pylist(out, schema=answered)
+
+    def score(table: pa.Table) -> pa.Table:
+        # The row of tokens comes first, then the cells in order of their hashes.
+        own, *cells = table.sort_by("cell").to_pylist()
+        joined = lambda c, read: np.concatenate([read(r[c]) for r in cells])
+        part = Part(joined("words", _unpacked_hashes), _unpacked(own["numbers"]).astype(np.int64), _unpacked(own["sizes"]).astype(np.int64))
+        columns = part.scored(*(joined(c, _unpacked).astype(np.int64) for c in ("times", "levels", "pair_levels")), n, v)
         return pa.table([pa.array(own["ids"], id_type.value_type), *map(pa.array, columns)], names=["doc_id", *_SCORES])
 
-    asked = docs.select("doc_id", "text").mapInArrow(ask, texts).checkpoint()
-    answers = (asked.filter("cell >= 0").select("part", "cell", "hashes").join(cells.select("cell", "bits", "words", "times"), "cell", "left")
-               .select("part", "cell", "hashes", "bits", "words", "times")
-               .mapInArrow(answer, "part long, cell long, hashes binary, times binary, levels binary"))
-    return (asked.filter("cell = -1").groupBy("part").cogroup(answers.groupBy("part"))
-            .applyInArrow(score, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double"))
+    with shuffles_released(rows.sparkSession):
+        # As many tasks as cells, so a task's share does not grow with the corpus.
+        answers = (rows.mapInArrow(ask, f"block long, cell long, words binary, times binary, pairs binary, pair_times binary, {texts}")
+                 .repartition(1 << (64 - shift), "cell").groupBy("cell")
+                 .applyInArrow(answer, f"block long, cell long, n long, v long, words binary, times binary, levels binary, pair_levels binary, {texts}")
+                 .checkpoint())
+    sums = answers.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.count_if(F.col("cell") < 0).alias("blocks")).first()
+    n, v = sums.n or 0, sums.v or 0
+    return _with_total(answers.filter("block >= 0").repartition(max(1, sums.blocks), "block").groupBy("block").applyInArrow(
+        score, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double"), n)
 
 
-def scored(docs: DataFrame, train: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of each row of `docs`, by a model of the texts of `train`."""
+def _with_total(scores: DataFrame, n: int) -> DataFrame:
+    return scores.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def scored(docs: DataFrame, train: DataFrame | Column, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score of each row of `docs`, by a model of the texts of
+    `train`, a frame or a condition on the rows of `docs` (whose texts are then read once where the filter is not broadcast)."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
-    size = train.agg(F.sum(F.octet_length("text")).alias("size")).first().size or 0
+    frame = docs.filter(train) if isinstance(train, Column) else train
+    size = frame.agg(F.sum(F.octet_length("text")).alias("size")).first().size or 0
     # The cells are the ranges of the leading bits of a hash.
     shift = 64 - max(0, math.ceil(math.log2(max(1, size / CELL_BYTES))))
-    with shuffles_released(spark):
-        cells = filter_cells(ngram_counts(train, shift), shift).checkpoint()
-    sums = cells.agg(F.sum("n").alias("n"), F.sum("v").alias("v"),
-                     F.sum(F.length("bits") + F.length("words") + F.length("times") / 2).alias("bytes")).first()
-    n, v = sums.n or 0, sums.v or 0
-    way = _scores_from_broadcast if (sums.bytes or 0) <= broadcast_bytes else _scores_from_cells
-    return way(docs, cells, shift, n, v).select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    if size <= TEXT_BYTES * broadcast_bytes:
+        with shuffles_released(spark):
+            cells = filter_cells(ngram_counts(frame, shift), shift).checkpoint()
+        sums = cells.agg(F.sum("n").alias("n"), F.sum("v").alias("v"),
+                         F.sum(F.length("bits") + F.length("words") + F.length("times") / 2).alias("bytes")).first()
+        if (sums.bytes or 0) <= broadcast_bytes:
+            return _with_total(_scores_from_broadcast(docs, cells, shift, sums.n or 0, sums.v or 0), sums.n or 0)
+    if isinstance(train, Column):
+        rows = docs.select("doc_id", "text", F.coalesce(train, F.lit(False)).alias("counted"), F.lit(True).alias("asked"))
+    else:
+        rows = (docs.select("doc_id", "text", F.lit(False).alias("counted"), F.lit(True).alias("asked"))
+                .union(train.select(F.lit(None).cast(docs.schema["doc_id"].dataType), "text", F.lit(True), F.lit(False))))
+    return _scores_from_cells(rows, shift)
 
 
 def corpus_scores(docs: DataFrame) -> DataFrame:
     """The contract's query: all documents, by a model of those outside the held-out fold."""
     out = held_out(F.col("doc_id"))
-    return (scored(docs, docs.filter(~out))
+    return (scored(docs, ~out)
             .select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"))
