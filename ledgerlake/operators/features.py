@@ -72,9 +72,12 @@ def ratio_features(cols: set[str]) -> dict:
     }
 
 
-def engineer_features(df: DataFrame) -> DataFrame:
-    """Calendar, industry, YTD differencing, ratios, missing flags, growth and
-    next-quarter targets; finally every ±Inf/NaN becomes missing (P13)."""
+GROWTH_COLUMNS = ["sales_growth_qoq", "niq_growth_qoq", "asset_growth_qoq",
+                  "days_to_next_observation", "target_next_niq", TARGET_COL, "target_next_sale_growth"]
+
+
+def window_features(df: DataFrame) -> DataFrame:
+    """Calendar, industry, YTD differencing, growth and next-quarter targets: one Window operator."""
     cols = set(df.columns)
     w = pw.entity_window()
     base = [F.col(c) for c in df.columns if c != ROW_ORDER]
@@ -82,30 +85,38 @@ def engineer_features(df: DataFrame) -> DataFrame:
     stage1 = {**calendar_features(), **industry_features()}
     stage1["oancfq_approx"] = pw.ytd_to_quarter("oancfy", "oancfy" in cols, w)
     stage1["capxq_approx"] = pw.ytd_to_quarter("capxy", "capxy" in cols, w, floor_zero=True)
-    # Window expressions first (one Window operator), ratios read them after.
-    win = df.select(*base, *[e.alias(k) for k, e in stage1.items()],
-                    pw.growth_qoq("saleq", w).alias("sales_growth_qoq"),
-                    pw.growth_qoq("niq", w).alias("niq_growth_qoq"),
-                    pw.growth_qoq("atq", w).alias("asset_growth_qoq"),
-                    pw.days_to_next(w).alias("days_to_next_observation"),
-                    F.lead("niq", 1).over(w).alias("target_next_niq"),
-                    pw.next_row_growth("niq", w).alias(TARGET_COL),
-                    pw.next_row_growth("saleq", w).alias("target_next_sale_growth"))
-
-    ratios = ratio_features(cols)
+    return df.select(*base, *[e.alias(k) for k, e in stage1.items()],
+                     pw.growth_qoq("saleq", w).alias("sales_growth_qoq"),
+                     pw.growth_qoq("niq", w).alias("niq_growth_qoq"),
+                     pw.growth_qoq("atq", w).alias("asset_growth_qoq"),
+                     pw.days_to_next(w).alias("days_to_next_observation"),
+                     F.lead("niq", 1).over(w).alias("target_next_niq"),
+                     pw.next_row_growth("niq", w).alias(TARGET_COL),
+                     pw.next_row_growth("saleq", w).alias("target_next_sale_growth"))
+
+
+def row_features(win: DataFrame, apart: tuple[str, ...] = ()) -> DataFrame:
+    """Ratios and missing flags, each from its own row of the window features (or of those columns of them
+    that the ratios read); finally every ±Inf/NaN becomes missing (P13). Columns `apart` stay as they are."""
+    cols = {c for c in win.columns if c not in apart}
     flags = {f"{c}_missing": missing_flag(c) for c in CORE_NUMERIC_COLUMNS if c in cols}
-    front = [c for c in df.columns if c != ROW_ORDER] + list(stage1)
-    growth = ["sales_growth_qoq", "niq_growth_qoq", "asset_growth_qoq",
-              "days_to_next_observation", "target_next_niq", TARGET_COL, "target_next_sale_growth"]
-    out = win.select(*front, *[e.alias(k) for k, e in ratios.items()],
-                     *[e.alias(k) for k, e in flags.items()], *growth,
-                     positive_flag(TARGET_COL).alias("target_earnings_growth_positive"))
-    return replace_non_finite(out)
-
-
-def replace_non_finite(df: DataFrame) -> DataFrame:
-    """±Inf / NaN → missing over every floating column."""
-    return df.select([finite_or_null(c).alias(c) if t in ("double", "float") else F.col(c)
+    out = win.select(*[c for c in win.columns if c in cols and c not in GROWTH_COLUMNS],
+                     *[e.alias(k) for k, e in ratio_features(cols).items()],
+                     *[e.alias(k) for k, e in flags.items()], *[c for c in GROWTH_COLUMNS if c in cols],
+                     positive_flag(TARGET_COL).alias("target_earnings_growth_positive"), *apart)
+    return replace_non_finite(out, apart)
+
+
+def engineer_features(df: DataFrame) -> DataFrame:
+    """Calendar, industry, YTD differencing, ratios, missing flags, growth and
+    next-quarter targets; finally every ±Inf/NaN becomes missing (P13).
+    Window expressions first, ratios read them after."""
+    return row_features(window_features(df))
+
+
+def replace_non_finite(df: DataFrame, apart: tuple[str, ...] = ()) -> DataFrame:
+    """±Inf / NaN → missing over every floating column (P13) that is not `apart`."""
+    return df.select([finite_or_null(c).alias(c) if t in ("double", "float") and c not in apart else F.col(c)
                       for c, t in df.dtypes])
 
 

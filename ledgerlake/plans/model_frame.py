@@ -42,13 +42,13 @@ def fit_preprocessor(train: DataFrame, numeric: list[str], categorical: list[str
 
 
 def write_back(engineered: DataFrame, art: ClusterArtifacts | None = None,
-               target: str = TARGET_COL) -> DataFrame:
+               target: str = TARGET_COL, panel: DataFrame | None = None) -> DataFrame:
     """Split label (and cluster features) on the full panel; rows without a
     target get missing values (J3). Computed in place as conditional columns
     of each row — the model rows are a filter of the same frame, so no join
-    back is needed."""
+    back is needed. The cut dates are those of `panel` where `engineered` holds a part of its rows."""
     has_target = F.col(target).isNotNull()
-    cuts = split_cuts(engineered.where(has_target)).select(
+    cuts = split_cuts((engineered if panel is None else panel).where(has_target)).select(
         F.struct("train_end_date", "validation_end_date")).scalar()
     out = engineered.withColumn("split", F.when(has_target, split_label(F.col("datadate"), cuts)))
     if art is not None:

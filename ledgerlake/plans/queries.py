@@ -20,6 +20,7 @@ from ledgerlake.constants import (
     CLUSTER_FEATURES,
     CORE_NUMERIC_COLUMNS,
     CORRELATION_FEATURES,
+    NUMERIC_FEATURES,
     PRICE_CATEGORICAL_FEATURES,
     PRICE_NUMERIC_FEATURES,
     PRICE_TARGET_COL,
@@ -28,7 +29,7 @@ from ledgerlake.constants import (
 from ledgerlake.functions import categorical_clean, parse_date
 from ledgerlake.operators import dedupe as dd
 from ledgerlake.operators import profile as pf
-from ledgerlake.operators.features import feature_columns, model_rows
+from ledgerlake.operators.features import feature_columns, model_rows, row_features, window_features
 from ledgerlake.operators.invalid import invalid_value_audit, treat_invalid_values
 from ledgerlake.operators.prep import category_levels, join_levels, numeric_params, transform_numeric
 from ledgerlake.operators.prices import (
@@ -46,7 +47,7 @@ from ledgerlake.operators.unsupervised import cluster_profile, component_residua
 from ledgerlake.plans import model_frame as mf
 from ledgerlake.plans import prices as pp
 from ledgerlake.plans import quarterly
-from ledgerlake.plans.stages import Stages
+from ledgerlake.plans.stages import Stages, Tables
 from ledgerlake.sources import fixtures
 from ledgerlake.session import path_exists, scratch_path
 from ledgerlake.sources.csv_scan import apply_csv_missing, read_daily_csv, read_quarterly_csv
@@ -545,16 +546,19 @@ def forget(spark: SparkSession) -> None:
     _FITS.clear()
 
 
+def _fit(spark, sf, rows: Callable[[], DataFrame], restarts=None):
+    key = (spark.sparkContext.applicationId, sf, restarts)
+    if key not in _FITS:
+        _, _FITS[key] = mf.fit_clusters(rows(), restarts=restarts)
+    return _FITS[key]
+
+
 def _clustered(spark, sf, restarts=None, cols=None):
     """Model rows (the clustering features, or `cols` beside them) with cluster features. The fit
     (numeric pipeline, PCA, k-means restarts on the training rows) is done once per session and
     input folder and reused, as a fitted model is."""
     m = cluster_model(spark, sf)
-    key = (spark.sparkContext.applicationId, sf, restarts)
-    if key not in _FITS:
-        _, art = mf.fit_clusters(m, restarts=restarts)
-        _FITS[key] = art
-    art = _FITS[key]
+    art = _fit(spark, sf, lambda: m, restarts)
     from ledgerlake.operators.unsupervised import add_cluster_features
     return add_cluster_features(model(spark, sf, [*art.features, *cols]) if cols else m, art), art
 
@@ -640,16 +644,26 @@ def q_price_numeric_params(spark, sf):
 
 def q_price_numeric_pipeline(spark, sf):
     """Price-model preprocessor fitted on the linked training rows (M9): parameters
-    of the numeric pipeline over panel + price features."""
-    _, art = _clustered(spark, sf, restarts=None)
-    wb = mf.write_back(engineered(spark, sf), art)
-    num, _, _ = feature_columns(wb.columns)
-    num = num + [c for c in PRICE_NUMERIC_FEATURES if c not in num]
-    linked = _stage(spark, sf, "linked_write_back", lambda: pp.linked_panel(wb, monthly_final(spark, sf))
-                    .where(F.col(PRICE_TARGET_COL).isNotNull()).select("datadate", PRICE_TARGET_COL, *num))
-    pm = pp.price_model_frame(linked)
-    tr = mf.train_rows(pm, "crsp_split")
-    return rounded(numeric_params(tr, num).table(spark))
+    of the numeric pipeline over panel + price features.
+
+    Every step ends in a table, so that the panel is computed once and disk holds one step at a time. The tables hold
+    the columns that the features are computed from, and the features of a row follow after the link."""
+    read = {*KEY, "cusip", TARGET_COL, *CORE_NUMERIC_COLUMNS, *NUMERIC_FEATURES}
+    prices = (PRICE_TARGET_COL, *PRICE_NUMERIC_FEATURES)
+    with Tables(spark) as tables:
+        final = tables.write("prices", pp.monthly_prices(fixtures.panel_d(spark, sf), stage=lambda m: tables.write("monthly", m)))
+        tables.drop("monthly")
+        windows = window_features(quarterly.cleaned_panel(tables.write("raw", raw_q(spark, sf))))
+        panel = tables.write("panel", windows.select([c for c in windows.columns if c in read]))
+        tables.drop("raw")
+        art = _fit(spark, sf, lambda: quarterly.model_frame(row_features(panel)))
+        linked = tables.write("linked", pp.linked_panel(panel, final).where(F.col(PRICE_TARGET_COL).isNotNull())
+                              .select(*panel.columns, *prices))
+        wb = mf.write_back(row_features(linked, prices), art, panel=row_features(panel))
+        num, _, _ = feature_columns(wb.columns)
+        num = num + [c for c in PRICE_NUMERIC_FEATURES if c not in num]
+        tr = mf.train_rows(pp.price_model_frame(wb.select("datadate", PRICE_TARGET_COL, *num)), "crsp_split")
+        return rounded(numeric_params(tr, num).table(spark))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
